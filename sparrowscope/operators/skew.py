@@ -1,0 +1,50 @@
+"""Hot keys: finding them cheaply and splitting the work of one key.
+
+Window functions need all rows of a partition key in one task, and adaptive
+execution does not split them. Operators that use a window over an account
+therefore ask for the few accounts that are too large for a task and give
+those a finer, exact plan.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Rows of one key that a single task may hold without trouble.
+HOT_ROWS = 2_000_000
+# A key ranked below this holds less than 1/1000 of all rows, that is no more
+# than one executor's fair share, so it needs no splitting.
+MAX_HOT_KEYS = 1_000
+PROBE_FRACTION = 0.01
+
+
+def find_hot_keys(
+    df: DataFrame,
+    key: str,
+    *,
+    hot_rows: int = HOT_ROWS,
+    fraction: float = PROBE_FRACTION,
+    max_keys: int = MAX_HOT_KEYS,
+) -> list:
+    """Keys with an estimated ``hot_rows`` rows or more, largest first.
+
+    Reads one column, counts a random share of it, and returns at most
+    ``max_keys`` values. The answer steers only the physical plan: operators
+    give the same rows for every set of hot keys.
+    """
+    probe = df.select(F.col(f"`{key}`").alias("key")).sample(fraction, seed=17)
+    counted = probe.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    large = counted.filter(F.col("n") >= max(1, int(hot_rows * fraction)))
+    return [row["key"] for row in large.orderBy(F.desc("n"), "key").limit(max_keys).collect()]
+
+
+def is_hot(key: str, hot_keys: Sequence) -> Column:
+    """True for rows of a hot key, false (never null) for all others. A null
+    key can be hot too."""
+    column = F.col(f"`{key}`")
+    known = [value for value in hot_keys if value is not None]
+    hot = F.coalesce(column.isin(known), F.lit(False)) if known else F.lit(False)
+    return hot | column.isNull() if len(known) < len(hot_keys) else hot
