@@ -35,17 +35,18 @@ def engagement_search(
 ) -> DataFrame:
     """Posts that contain a keyword (any case) and reach both floors.
 
-    A post appears once per keyword it contains. The keywords are expressions
-    of a projection, so the posts are read once and nothing is joined or
-    shuffled; the floors reach the scan.
+    A post appears once per keyword it contains. The keywords are expressions,
+    so the posts are read once and nothing is joined or shuffled; the floors
+    reach the scan, and text is lowered once per post that passes them.
     """
-    lowered = F.lower(F.col(text))
+    popular = posts.filter((F.col(likes) >= min_faves) & (F.col(reposts) >= min_retweets))
     hits = [
-        F.when(F.contains(lowered, F.lower(F.lit(word))), F.lit(word))
+        F.when(F.contains("_lowered", F.lower(F.lit(word))), F.lit(word))
         for word in dict.fromkeys(keywords)
     ]
-    popular = posts.filter((F.col(likes) >= min_faves) & (F.col(reposts) >= min_retweets))
-    return popular.select(F.explode(F.array_compact(F.array(*hits))).alias("keyword"), "*")
+    lowered = popular.withColumn("_lowered", F.lower(F.col(text)))
+    matched = lowered.select(F.explode(F.array(*hits)).alias("keyword"), "*").drop("_lowered")
+    return matched.filter(F.col("keyword").isNotNull())
 
 
 def top_posts_per_keyword(

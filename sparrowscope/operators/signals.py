@@ -273,7 +273,8 @@ def classify_accounts(
     At or above the quantile: ``bot`` (unverified) or ``project`` (verified);
     below it: ``default_user`` or ``KOL``. Labelled accounts, and accounts
     with a null score or verification, stay as they are. The threshold is a
-    scalar subquery of the same plan.
+    scalar subquery of the same plan. It reads ``scored`` a second time, so pass
+    a stored frame where scores take long to compute.
     """
     if threshold is None:
         threshold = score_threshold(scored, score=score, quantile=quantile)

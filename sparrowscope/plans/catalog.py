@@ -55,7 +55,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.classify_accounts(_scored(spark, sf_dir))
+    return signals.classify_accounts(stored(_scored(spark, sf_dir)))
 
 
 def _scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -492,8 +492,8 @@ def cluster_sizes(spark, sf_dir):
 
 @query
 def cluster_silhouette(spark, sf_dir):
-    scaled = stored(_scaled(spark, sf_dir))
-    return clustering.cluster_silhouette(clustering.assign_clusters(scaled))
+    clustered = clustering.assign_clusters(stored(_scaled(spark, sf_dir)))
+    return clustering.cluster_silhouette(clustered)
 
 
 @query
