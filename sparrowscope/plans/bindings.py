@@ -28,7 +28,7 @@ def posts_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(text.alias("text"))
 
     tags = F.array(tag(kind), tag(F.concat(F.lit("k"), F.col("k").cast("string"))))
-    no_tags = F.array().cast(T.ArrayType(T.StructType.fromDDL("text string")))
+    no_tags = F.array().cast(POST_RECORD["hashtags"].dataType)
     languages = F.array(*[F.lit(code) for code in ("en", "fr", "de", "es")])
     return events.select(
         number.alias("id"),

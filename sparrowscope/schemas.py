@@ -4,50 +4,67 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+STRING, LONG, BOOLEAN = T.StringType(), T.LongType(), T.BooleanType()
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def struct(**fields: T.DataType) -> T.StructType:
+    """Struct of nullable fields."""
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 # ---------------------------------------------------------------------------
 # Raw records: a post, or a thread that carries posts.
 # ---------------------------------------------------------------------------
 
-USER_RECORD = _struct(
-    """
-    screen_name string, verified_type string, verified boolean,
-    can_dm boolean, can_media_tag boolean, default_profile boolean,
-    has_custom_timelines boolean, created_at string, description string,
-    location string, profile_url string, favourites_count bigint,
-    followers_count bigint, friends_count bigint, listed_count bigint,
-    media_count bigint, statuses_count bigint, fast_followers_count bigint,
-    is_translator boolean, translator_type string, want_retweets boolean,
-    protected boolean
-    """
+USER_RECORD = struct(
+    screen_name=STRING,
+    verified_type=STRING,
+    verified=BOOLEAN,
+    can_dm=BOOLEAN,
+    can_media_tag=BOOLEAN,
+    default_profile=BOOLEAN,
+    has_custom_timelines=BOOLEAN,
+    created_at=STRING,
+    description=STRING,
+    location=STRING,
+    profile_url=STRING,
+    favourites_count=LONG,
+    followers_count=LONG,
+    friends_count=LONG,
+    listed_count=LONG,
+    media_count=LONG,
+    statuses_count=LONG,
+    fast_followers_count=LONG,
+    is_translator=BOOLEAN,
+    translator_type=STRING,
+    want_retweets=BOOLEAN,
+    protected=BOOLEAN,
 )
 
-POST_DETAIL = _struct(
-    """
-    conversation_id_str string, lang string, created_at string,
-    bookmark_count bigint, favorite_count bigint, is_quote_status boolean,
-    quote_count bigint, reply_count bigint, retweet_count bigint,
-    user_id_str string
-    """
+POST_DETAIL = struct(
+    conversation_id_str=STRING,
+    lang=STRING,
+    created_at=STRING,
+    bookmark_count=LONG,
+    favorite_count=LONG,
+    is_quote_status=BOOLEAN,
+    quote_count=LONG,
+    reply_count=LONG,
+    retweet_count=LONG,
+    user_id_str=STRING,
 )
 
-POST_RECORD = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("views", T.StringType()),
-        T.StructField("is_retweet", T.BooleanType()),
-        T.StructField("is_quoted", T.BooleanType()),
-        T.StructField("is_reply", T.BooleanType()),
-        T.StructField("hashtags", T.ArrayType(_struct("text string"))),
-        T.StructField("original_tweet", POST_DETAIL),
-        T.StructField("author", T.StructType([T.StructField("original_user", USER_RECORD)])),
-    ]
+POST_RECORD = struct(
+    id=STRING,
+    text=STRING,
+    url=STRING,
+    views=STRING,
+    is_retweet=BOOLEAN,
+    is_quoted=BOOLEAN,
+    is_reply=BOOLEAN,
+    hashtags=T.ArrayType(struct(text=STRING)),
+    original_tweet=POST_DETAIL,
+    author=struct(original_user=USER_RECORD),
 )
 
 THREAD_IDS = "all_tweets_id"
@@ -56,10 +73,7 @@ CONVERSATION_PATH = "original_tweet.conversation_id_str"
 
 RECORD = T.StructType(
     list(POST_RECORD.fields)
-    + [
-        T.StructField(THREAD_IDS, T.ArrayType(T.StringType())),
-        T.StructField(THREAD_POSTS, T.ArrayType(POST_RECORD)),
-    ]
+    + struct(**{THREAD_IDS: T.ArrayType(STRING), THREAD_POSTS: T.ArrayType(POST_RECORD)}).fields
 )
 
 # Key paths from a post record to the flat tables; the last key is the column

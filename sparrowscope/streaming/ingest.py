@@ -12,10 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.dedup import conversation_key
 from ..operators.messages import decode_messages
 from ..operators.signals import account_signals, posting_gaps, view_inflation
-from ..schemas import RECORD
+from ..schemas import RECORD, struct
 
 # Columns of a message as a broker source delivers them.
-MESSAGE = T.StructType.fromDDL("key binary, value binary, timestamp timestamp")
+MESSAGE = struct(key=T.BinaryType(), value=T.BinaryType(), timestamp=T.TimestampType())
 
 
 def read_kafka(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
