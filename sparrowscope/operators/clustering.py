@@ -53,9 +53,23 @@ def fit_clusters(scaled: DataFrame, k: int = CLUSTERS, seed: int | None = SEED)
     return kmeans.fit(scaled)
 
 
+def distinct_up_to(scaled: DataFrame, k: int) -> int:
+    """Number of distinct scaled vectors, counted no further than ``k``. A few
+    rows decide it, except where almost all accounts are alike."""
+    vectors = scaled.select("scaled_features")
+    for rows in (vectors.limit(20 * k), vectors):
+        found = rows.distinct().limit(k).count()
+        if found == k:
+            break
+    return found
+
+
 def assign_clusters(scaled: DataFrame, k: int = CLUSTERS, seed: int | None = SEED) -> DataFrame:
-    """Add the k-means cluster of every account. With fewer than ``k`` distinct
-    accounts there are fewer clusters."""
+    """Add the k-means cluster of every account. Fewer than ``k`` distinct
+    accounts give one cluster each."""
+    k = distinct_up_to(scaled, k)
+    if k < 2:
+        return scaled.withColumn("cluster", F.lit(0))
     return fit_clusters(scaled, k, seed).transform(scaled)
 
 
@@ -68,8 +82,10 @@ def cluster_sizes(clustered: DataFrame) -> DataFrame:
     return clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("count"))
 
 
-def silhouette(clustered: DataFrame, distance: str = "cosine") -> float:
-    """Mean silhouette of a clustering with two clusters or more."""
+def silhouette(clustered: DataFrame, distance: str = "cosine") -> float | None:
+    """Mean silhouette; None for fewer than two clusters."""
+    if clustered.select("cluster").distinct().limit(2).count() < 2:
+        return None
     evaluator = ClusteringEvaluator(
         featuresCol="scaled_features",
         predictionCol="cluster",
@@ -82,7 +98,7 @@ def silhouette(clustered: DataFrame, distance: str = "cosine") -> float:
 def cluster_silhouette(clustered: DataFrame, distance: str = "cosine") -> DataFrame:
     """One row with the silhouette."""
     score = silhouette(clustered, distance)
-    return clustered.sparkSession.createDataFrame([(float(score),)], "silhouette double")
+    return clustered.sparkSession.createDataFrame([(score,)], "silhouette double")
 
 
 def k_sweep(

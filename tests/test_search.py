@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+from collections import Counter
+
+from sparrowscope.operators import search
+
+from helpers import executed_plan_of, make_posts, rows_of
+
+
+def texts(spark):
+    return spark.createDataFrame(
+        [
+            (1, "Buy BITCOIN near here", 100, 10),
+            (2, "near", 99, 10),
+            (3, "nearby", 100, 9),
+            (4, "Nearly #Ark", 500, 50),
+            (5, None, 500, 50),
+            (6, "50% off_", 500, 50),
+        ],
+        "id int, text string, favorite_count int, retweet_count int",
+    )
+
+
+def test_search_floors_are_inclusive_and_case_is_ignored(spark):
+    hits = search.engagement_search(texts(spark), ["bitcoin", "Near", "#ark", "Near"])
+    assert rows_of(hits, "keyword", "id") == Counter(
+        {("bitcoin", 1): 1, ("Near", 1): 1, ("Near", 4): 1, ("#ark", 4): 1}
+    )
+    assert hits.columns == ["keyword", *texts(spark).columns]
+
+
+def test_search_with_lower_floors(spark):
+    hits = search.engagement_search(texts(spark), ["near"], min_faves=50, min_retweets=5)
+    assert rows_of(hits, "id") == Counter({(1,): 1, (2,): 1, (3,): 1, (4,): 1})
+
+
+def test_keywords_are_not_patterns(spark):
+    assert rows_of(search.engagement_search(texts(spark), ["%", "_", "."]), "keyword") == Counter(
+        {("%",): 1, ("_",): 1}
+    )
+
+
+def test_search_shuffles_nothing(spark):
+    plan = executed_plan_of(search.engagement_search(texts(spark), ["near"]))
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_account_timeline(spark):
+    posts = make_posts(
+        spark, [{"screen_name": s, "id": i} for i, s in enumerate(["a", "b", None, "a"])]
+    )
+    assert rows_of(search.account_timeline(posts, ["a", "z"]), "id") == Counter({(0,): 1, (3,): 1})
+    accounts = spark.createDataFrame([("a",), ("a",), ("z",)], "screen_name string")
+    assert rows_of(search.account_timeline(posts, accounts), "id") == Counter({(0,): 1, (3,): 1})
+
+
+def test_filter_lang_drops_unknown_languages(spark):
+    df = spark.createDataFrame([("en",), ("fr",), (None,)], "lang string")
+    assert search.filter_lang(df).count() == 1
