@@ -33,9 +33,14 @@ def flat_users(
 ) -> DataFrame:
     """One row per author of a post in the language, from the author's first
     such post. Null text becomes ``none``; the date becomes epoch seconds."""
-    spoken = filter_lang(posts, lang, LANG_PATH)
-    first = first_per_key(spoken, path_column(AUTHOR_PATH), order_by or post_order())
-    users = extract_paths(first, paths, strict=strict)
+    order = {f"_order{i}": F.col(c) if isinstance(c, str) else c
+             for i, c in enumerate(order_by or post_order())}
+    keyed = filter_lang(posts, lang, LANG_PATH).withColumns(
+        {"_author": path_column(AUTHOR_PATH), **order}
+    )
+    # Account columns only from here on; posts are wide.
+    authors = extract_paths(keyed, paths, keep=["_author", *order], strict=strict)
+    users = first_per_key(authors, "_author", list(order)).drop("_author", *order)
     return fill_null_strings(users.withColumn("created_at", parse_epoch(F.col("created_at"))))
 
 

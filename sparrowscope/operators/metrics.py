@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ..schemas import ACCOUNT_MEANS, POST_TOTALS, USER_DOCUMENT
 from .columns import prefix_columns
+from .skew import within_rows
+
+# Most accounts that are broadcast; their columns take some tens of megabytes.
+BROADCAST_ROWS = 100_000
 
 
 def account_columns(accounts: DataFrame) -> DataFrame:
@@ -20,12 +24,16 @@ def join_posts_accounts(
     *,
     key: str = "screen_name",
     account_key: str = "user_screen_name",
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Posts of the given (prefixed) accounts, with the account columns.
 
-    No hint: a small segment is broadcast by its measured size, a large one is
-    sort-merged, where adaptive execution splits the posts of a hot account.
+    A segment of up to ``broadcast_rows`` accounts goes to the posts. A larger
+    one is sort-merged, where adaptive execution splits the posts of a hot
+    account.
     """
+    if within_rows(accounts, broadcast_rows):
+        accounts = F.broadcast(accounts)
     matched = posts.join(accounts, posts[key] == accounts[account_key], "inner")
     return matched.drop(account_key)
 
@@ -36,17 +44,25 @@ def account_metrics(
     *,
     key: str = "screen_name",
     account_key: str = "user_screen_name",
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per account with posts: post count, six totals, nine means.
 
     Posts are summed per account before the join, so what is shuffled is one
-    partial row per account and map task, however many posts an account has. The
-    means are over the account's own rows; every one of its posts would carry
-    the same values.
+    partial row per account and map task, however many posts an account has.
+    Posts of other accounts are left out first if the segment is small enough to
+    be sent to them. The means are over the account's own rows; every one of its
+    posts would carry the same values.
     """
+    small = within_rows(accounts, broadcast_rows)
+    if small:
+        wanted = accounts.select(F.col(account_key).alias(key))
+        posts = posts.join(F.broadcast(wanted), key, "left_semi")
     totals = posts.groupBy(key).agg(
         F.count("id").alias("tweet_count"),
         *[F.sum(name).alias(f"total_{name}") for name in POST_TOTALS],
     )
     means = accounts.groupBy(account_key).agg(*[F.avg(n).alias(n) for n in ACCOUNT_MEANS])
+    if small:
+        means = F.broadcast(means)
     return totals.join(means, totals[key] == means[account_key], "inner").drop(account_key)

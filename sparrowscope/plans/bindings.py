@@ -8,48 +8,50 @@ from pyspark.sql import types as T
 
 from ..functions import join_array_text
 from ..schemas import POST_RECORD, THREAD_IDS, THREAD_POSTS, USER_RECORD
+from ..sources.batch import read_table
 
 RECORD_ORDER = ("conv_id", "phase", "turn")
 RAW_DATE = "EEE MMM dd HH:mm:ss Z yyyy"
 
 
+# Schemas of test tables seen before: reading them again starts no footer job.
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    found = read_table(spark, path, schema=_schemas.get(path))
+    _schemas[path] = found.schema
+    return found
 
 
 def posts_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts from ``events``, hashtags as an array of structs."""
-    events = table(spark, sf_dir, "events").withColumn(
-        "k", F.from_json("props", "k bigint").getField("k")
+    events = table(spark, sf_dir, "events").selectExpr(
+        "*", "from_json(props, 'k bigint').k AS k"
     )
-    kind, number = F.col("event_type"), F.col("event_id")
-
-    def tag(text: Column) -> Column:
-        return F.struct(text.alias("text"))
-
-    tags = F.array(tag(kind), tag(F.concat(F.lit("k"), F.col("k").cast("string"))))
-    no_tags = F.array().cast(POST_RECORD["hashtags"].dataType)
-    languages = F.array(*[F.lit(code) for code in ("en", "fr", "de", "es")])
-    return events.select(
-        number.alias("id"),
-        F.col("user_id").cast("string").alias("screen_name"),
-        F.col("user_id").cast("string").alias("user_id_str"),
-        F.when(kind == "error", no_tags).otherwise(tags).alias("hashtags"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("created_at"),
-        F.when(kind == "error", "Unavailable")
-        .otherwise((F.col("k") * 200).cast("string"))
-        .alias("views"),
-        F.floor("value").cast("bigint").alias("favorite_count"),
-        F.col("k").alias("retweet_count"),
-        (number % 7).alias("reply_count"),
-        (number % 5).alias("quote_count"),
-        (number % 3).alias("bookmark_count"),
-        (kind == "view").alias("is_retweet"),
-        (kind == "click").alias("is_reply"),
-        (kind == "signup").alias("is_quoted"),
-        (kind == "signup").alias("is_quote_status"),
-        F.concat(F.lit("https://example.com/status/"), number.cast("string")).alias("url"),
-        F.get(languages, (number % 4).cast("int")).alias("lang"),
+    return events.selectExpr(
+        "event_id AS id",
+        "CAST(user_id AS STRING) AS screen_name",
+        "CAST(user_id AS STRING) AS user_id_str",
+        """CASE WHEN event_type = 'error' THEN CAST(array() AS ARRAY<STRUCT<text: STRING>>)
+           ELSE array(named_struct('text', event_type),
+                      named_struct('text', concat('k', CAST(k AS STRING)))) END AS hashtags""",
+        "unix_seconds(CAST(ts AS TIMESTAMP)) AS created_at",
+        """CASE WHEN event_type = 'error' THEN 'Unavailable'
+           ELSE CAST(k * 200 AS STRING) END AS views""",
+        "CAST(floor(value) AS BIGINT) AS favorite_count",
+        "k AS retweet_count",
+        "event_id % 7 AS reply_count",
+        "event_id % 5 AS quote_count",
+        "event_id % 3 AS bookmark_count",
+        "event_type = 'view' AS is_retweet",
+        "event_type = 'click' AS is_reply",
+        "event_type = 'signup' AS is_quoted",
+        "event_type = 'signup' AS is_quote_status",
+        "concat('https://example.com/status/', CAST(event_id AS STRING)) AS url",
+        """CASE event_id % 4 WHEN 0 THEN 'en' WHEN 1 THEN 'fr'
+                             WHEN 2 THEN 'de' ELSE 'es' END AS lang""",
     )
 
 
@@ -67,33 +69,32 @@ def post_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts from ``customer``, located by ``nation``."""
-    number = F.col("c_custkey")
     located = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
-    return located.select(
-        number.cast("string").alias("screen_name"),
-        F.when(F.col("c_mktsegment") == "MACHINERY", "Business").alias("verified_type"),
-        (F.col("c_acctbal") > 0).alias("verified"),
-        (number % 2 == 0).alias("can_dm"),
-        (number % 3 == 0).alias("can_media_tag"),
-        (number % 5 == 0).alias("default_profile"),
-        (number % 11 == 0).alias("has_custom_timelines"),
-        (F.lit(1500000000) + number * 3600).alias("created_at"),
-        F.col("c_name").alias("description"),
-        F.col("n_name").alias("location"),
-        F.concat(F.lit("https://example.com/"), number.cast("string")).alias("profile_url"),
-        (number % 1000).alias("favourites_count"),
-        ((number % 7) * 500).alias("followers_count"),
-        F.abs("c_acctbal").cast("bigint").alias("friends_count"),
-        F.col("c_nationkey").cast("bigint").alias("listed_count"),
-        (number % 50).alias("media_count"),
-        (number % 5000).alias("statuses_count"),
-        F.lit(0).cast("bigint").alias("fast_followers_count"),
-        F.lit(False).alias("is_translator"),
-        F.lit("none").alias("translator_type"),
-        F.lit(False).alias("want_retweets"),
-        F.lit(False).alias("protected"),
+    return located.selectExpr(
+        "CAST(c_custkey AS STRING) AS screen_name",
+        "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Business' END AS verified_type",
+        "c_acctbal > 0 AS verified",
+        "c_custkey % 2 = 0 AS can_dm",
+        "c_custkey % 3 = 0 AS can_media_tag",
+        "c_custkey % 5 = 0 AS default_profile",
+        "c_custkey % 11 = 0 AS has_custom_timelines",
+        "1500000000 + c_custkey * 3600 AS created_at",
+        "c_name AS description",
+        "n_name AS location",
+        "concat('https://example.com/', CAST(c_custkey AS STRING)) AS profile_url",
+        "c_custkey % 1000 AS favourites_count",
+        "(c_custkey % 7) * 500 AS followers_count",
+        "CAST(abs(c_acctbal) AS BIGINT) AS friends_count",
+        "CAST(c_nationkey AS BIGINT) AS listed_count",
+        "c_custkey % 50 AS media_count",
+        "c_custkey % 5000 AS statuses_count",
+        "CAST(0 AS BIGINT) AS fast_followers_count",
+        "false AS is_translator",
+        "'none' AS translator_type",
+        "false AS want_retweets",
+        "false AS protected",
     )
 
 

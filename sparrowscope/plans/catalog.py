@@ -28,19 +28,21 @@ TOP_N = 20
 ACCOUNTS = ("1", "5", "7", "11", "13")
 SEGMENTS = ("project",)
 MESSAGE_TIME = 1704067200
+FILE_RECORDS = 200
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    """Register a query under its function name."""
+    """Register a query under its function name (``_query`` at the end is for
+    names that a function of the package has already)."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return function(spark, sf_dir)
 
-    QUERIES[function.__name__] = run
+    QUERIES[function.__name__.removesuffix("_query")] = run
     return function
 
 
@@ -159,7 +161,7 @@ def class_counts(spark, sf_dir):
 
 
 @query
-def safe_ratio_users(spark, sf_dir):
+def safe_ratio_query(spark, sf_dir):
     return bindings.users(spark, sf_dir).select(
         "screen_name",
         safe_ratio(F.col("friends_count"), F.col("followers_count")).alias("ratio"),
@@ -167,14 +169,14 @@ def safe_ratio_users(spark, sf_dir):
 
 
 @query
-def sentinel_to_number_posts(spark, sf_dir):
+def sentinel_to_number_query(spark, sf_dir):
     return bindings.posts(spark, sf_dir).select(
         "id", sentinel_to_number(F.col("views")).alias("views")
     )
 
 
 @query
-def parse_epoch_dates(spark, sf_dir):
+def parse_epoch_query(spark, sf_dir):
     return bindings.raw_dates(spark, sf_dir).select(
         "id",
         parse_epoch(F.col("raw_date")).alias("raw_seconds"),
@@ -183,7 +185,7 @@ def parse_epoch_dates(spark, sf_dir):
 
 
 @query
-def epoch_to_timestamp_posts(spark, sf_dir):
+def epoch_to_timestamp_query(spark, sf_dir):
     moments = bindings.posts(spark, sf_dir).select(
         "id", epoch_to_timestamp(F.col("created_at")).alias("created_at")
     )
@@ -191,7 +193,7 @@ def epoch_to_timestamp_posts(spark, sf_dir):
 
 
 @query
-def join_array_text_posts(spark, sf_dir):
+def join_array_text_query(spark, sf_dir):
     return bindings.posts_with_tags(spark, sf_dir).select(
         "id", join_array_text(F.col("hashtags")).alias("hashtags")
     )
@@ -209,13 +211,13 @@ def scan_parquet(spark, sf_dir):
 def scan_json_array(spark, sf_dir):
     """Records written as files of one JSON array each and read again."""
     path = fresh_path(spark, "records")
-    record = F.struct(*RECORD.names)
-    arrays = (
-        bindings.records(spark, sf_dir)
-        .groupBy(F.floor(F.col("conv_id") / 50).alias("file"))
-        .agg(F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
+    block = F.floor(F.monotonically_increasing_id() / FILE_RECORDS)
+    records = bindings.records(spark, sf_dir).select(
+        F.struct(*RECORD.names).alias("record"), block.alias("block")
     )
-    arrays.write.partitionBy("file").text(path)
+    array = F.to_json(F.collect_list("record"), {"pretty": "true"})
+    arrays = records.groupBy("block").agg(array.alias("value")).select("value")
+    arrays.write.option("maxRecordsPerFile", 1).text(path)
     read = batch.read_records(spark, path, position=True)
     return read.select(
         "id",

@@ -202,15 +202,15 @@ SELECTS = {
     "class_counts": """
         SELECT verified_type, count(*) AS accounts FROM classified GROUP BY verified_type
     """,
-    "safe_ratio_users": "SELECT screen_name, ratio FROM imbalance",
-    "sentinel_to_number_posts": "SELECT id, views FROM flagged",
-    "parse_epoch_dates": """
+    "safe_ratio": "SELECT screen_name, ratio FROM imbalance",
+    "sentinel_to_number": "SELECT id, views FROM flagged",
+    "parse_epoch": """
         SELECT id, created_at AS raw_seconds, created_at AS iso_seconds FROM posts
     """,
-    "epoch_to_timestamp_posts": """
+    "epoch_to_timestamp": """
         SELECT event_id AS id, date_trunc('second', ts) AS created_at FROM events
     """,
-    "join_array_text_posts": "SELECT id, hashtags FROM posts",
+    "join_array_text": "SELECT id, hashtags FROM posts",
     "scan_parquet": "SELECT * FROM events",
     "scan_json_array": """
         SELECT id, text, conversation, NULL AS thread_ids, NULL AS thread_size FROM singles

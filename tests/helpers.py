@@ -65,9 +65,8 @@ def by_key(df: DataFrame, key: str, *names: str) -> dict:
     return out
 
 
-def plan_of(df: DataFrame) -> str:
-    """Physical plan before adaptive changes."""
-    return df._jdf.queryExecution().sparkPlan().toString()
+def logical_plan_of(df: DataFrame) -> str:
+    return df._jdf.queryExecution().analyzed().toString()
 
 
 def executed_plan_of(df: DataFrame) -> str:

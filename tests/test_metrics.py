@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sparrowscope.operators import clustering, metrics, signals
 from sparrowscope.schemas import FEATURES, POST_TOTALS
 
-from helpers import by_key, executed_plan_of, make_posts, make_users, rows_of
+from helpers import by_key, executed_plan_of, logical_plan_of, make_posts, make_users, rows_of
 
 
 def scored(spark):
@@ -60,10 +60,19 @@ def test_repeated_account_rows_do_not_inflate_totals(spark):
     )
 
 
+def test_large_segments_are_not_broadcast(spark):
+    posts, accounts = scored(spark)
+    for operator in (metrics.account_metrics, metrics.join_posts_accounts):
+        small, large = operator(posts, accounts), operator(posts, accounts, broadcast_rows=1)
+        assert rows_of(small) == rows_of(large)
+        assert "ResolvedHint" in logical_plan_of(small)
+        assert "ResolvedHint" not in logical_plan_of(large)
+
+
 def test_posts_are_summed_before_the_join(spark):
-    plan = executed_plan_of(metrics.account_metrics(*scored(spark)))
+    plan = executed_plan_of(metrics.account_metrics(*scored(spark), broadcast_rows=1))
     join = plan.index("Join")
-    assert plan.index("partial_count") > join and "BroadcastNestedLoop" not in plan
+    assert plan.index("partial_count") > join and "NestedLoop" not in plan
 
 
 @pytest.fixture(scope="module")
