@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .signals import SLOT_SECONDS
 from .skew import find_hot_keys, is_hot
 
 # Most records one message carries.
@@ -46,32 +45,29 @@ def account_messages(
     tie: str = "id",
     max_records: int = MESSAGE_RECORDS,
     hot_keys: Sequence | None = None,
-    slot_seconds: int = SLOT_SECONDS,
 ) -> DataFrame:
     """Kafka-shaped rows (``key``, ``value``): JSON arrays of an account's posts.
 
     An account with up to ``max_records`` posts gives one message, a larger one
-    gives as many as it takes, each of posts next to one another in time. Hot
-    accounts are numbered per time slot, so no task holds a whole one.
+    gives as many as it takes, each in order of time. Posts of hot accounts are
+    numbered per input split, so no task holds all posts of one.
     """
     if hot_keys is None:
         hot_keys = find_hot_keys(posts, key)
-    fields = F.struct(*[F.col(f"`{name}`") for name in posts.columns])
-    slot = F.when(
-        is_hot(key, hot_keys),
-        F.coalesce(F.floor(F.col(time) / slot_seconds), -F.pmod(F.xxhash64(tie), F.lit(1024))),
-    )
-    cell = [F.col(key), F.col("_slot")] if hot_keys else [F.col(key)]
     numbered = posts.select(
-        F.col(key), F.col(time).alias("_time"), F.col(tie).alias("_tie"),
-        slot.alias("_slot"), fields.alias("_post"),
+        F.col(key),
+        F.col(time).alias("_time"),
+        F.col(tie).alias("_tie"),
+        F.when(is_hot(key, hot_keys), F.spark_partition_id()).alias("_split"),
+        F.struct(*[F.col(f"`{name}`") for name in posts.columns]).alias("_post"),
     )
-    number = F.row_number().over(Window.partitionBy(*cell).orderBy("_time", "_tie"))
+    part = [key, "_split"] if hot_keys else [key]
+    number = F.row_number().over(Window.partitionBy(*part).orderBy("_time", "_tie"))
     chunked = numbered.withColumn("_number", number).withColumn(
         "_chunk", F.floor((F.col("_number") - 1) / max_records)
     )
     records = F.sort_array(F.collect_list(F.struct("_number", "_post")))
-    grouped = chunked.groupBy(*cell, "_chunk").agg(records.alias("_records"))
+    grouped = chunked.groupBy(*part, "_chunk").agg(records.alias("_records"))
     value = F.to_json(F.col("_records").getField("_post"), JSON_OPTIONS)
     return grouped.select(
         F.col(key).cast("string").cast("binary").alias("key"),

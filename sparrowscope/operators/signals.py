@@ -23,9 +23,6 @@ UNLABELLED = "none"
 
 # Account history of a hot account is cut into slots of this many seconds.
 SLOT_SECONDS = 60
-# Undated posts of a hot account have no place in its history; they spread over
-# this many groups.
-UNDATED_GROUPS = 1024
 
 
 # ---------------------------------------------------------------------------
@@ -84,24 +81,34 @@ def _gaps_by_slot(
     posts: DataFrame, key: str, time: str, tie: str, slot_seconds: int
 ) -> DataFrame:
     """Same rows as ``_gaps_by_account`` with the history of an account spread
-    over many tasks.
-
-    A gap can cross a slot border only at the first post of a slot. The last
-    time of every slot, moved to the account's next slot, is therefore added to
-    that slot as a carry row; the window over (account, slot) then finds it like
-    any other previous post.
+    over many tasks, also where many posts share a second.
+
+    A post that is not the first of its second has gap 0. Such posts are found
+    per input split and stay spread by split. The others meet per (account,
+    slot), where their gap can cross a slot border only at the first post of the
+    slot. The last time of every slot, moved to the account's next slot, is
+    therefore added there as a carry row, and the window finds it like any other
+    previous post.
     """
     seconds = F.col(time).cast("long")
-    slot = F.floor(seconds / slot_seconds)
-    slotted = posts.select("*", slot.alias("_slot"), F.lit(0).alias("_carry"))
+    slotted = posts.select(
+        "*",
+        F.floor(seconds / slot_seconds).alias("_slot"),
+        F.spark_partition_id().alias("_split"),
+        F.lit(0).alias("_carry"),
+    )
+    same_second = Window.partitionBy(key, time, "_split").orderBy(tie)
+    ranked = slotted.withColumn("_repeat", F.row_number().over(same_second) > 1)
 
-    dated = slotted.filter(F.col(time).isNotNull())
-    last = dated.groupBy(key, "_slot").agg(F.max(time).alias("_last"))
+    dated = posts.filter(F.col(time).isNotNull())
+    last = dated.groupBy(key, F.floor(seconds / slot_seconds).alias("_slot")).agg(
+        F.max(time).alias("_last")
+    )
     previous_slot = Window.partitionBy(key).orderBy("_slot")
     carry = (
         last.withColumn(time, F.lag("_last").over(previous_slot))
         .filter(F.col(time).isNotNull())
-        .select(key, "_slot", time, F.lit(1).alias("_carry"))
+        .select(key, "_slot", time, F.lit(1).alias("_carry"), F.lit(False).alias("_repeat"))
     )
 
     # Gaps of an account add up to its time span, so the mean needs no window.
@@ -113,14 +120,14 @@ def _gaps_by_slot(
         .agg(F.try_divide(span, F.count(time) - 1).alias("average_time_diff"))
     )
 
-    undated = F.when(F.col(time).isNull(), F.pmod(F.xxhash64(tie), F.lit(UNDATED_GROUPS)))
-    cell = Window.partitionBy(key, "_slot", undated)
-    ordered = cell.orderBy(F.desc("_carry"), time, tie)
+    spread = F.when(F.col("_repeat") | F.col(time).isNull(), F.col("_split"))
+    cell = Window.partitionBy(key, "_slot", spread).orderBy(F.desc("_carry"), time, tie)
+    gap = seconds - F.lag(seconds).over(cell)
+    repeated = F.col("_repeat") & F.col(time).isNotNull()
     return (
-        slotted.unionByName(carry, allowMissingColumns=True)
-        .withColumn("time_diff", seconds - F.lag(seconds).over(ordered))
+        ranked.unionByName(carry, allowMissingColumns=True)
+        .withColumn("time_diff", F.when(repeated, F.lit(0).cast("long")).otherwise(gap))
         .filter(F.col("_carry") == 0)
-        .drop("_slot", "_carry")
         .join(F.broadcast(means), key, "left")
         .select(*posts.columns, "time_diff", "average_time_diff")
     )

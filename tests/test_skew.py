@@ -67,6 +67,18 @@ def test_repeated_posts_of_a_hot_account(spark):
     assert rows_of(split, *names) == expected_gaps(rows + rows)
 
 
+def test_copies_and_busy_seconds_of_a_hot_account(spark):
+    chance = random.Random(5)
+    rows = [
+        {"screen_name": "a", "id": chance.randrange(40), "created_at": chance.choice([7, 9, 80])}
+        for _ in range(600)
+    ] + random_rows(5, ["b", "a"], 50, 200)
+    posts = make_posts(spark, rows).repartition(5)
+    names = ("id", "screen_name", "created_at", "time_diff", "average_time_diff", "time_bot")
+    split = signals.posting_gaps(posts, hot_keys=["a"])
+    assert rows_of(split, *names) == expected_gaps(rows)
+
+
 def test_hot_account_of_one_post_or_no_date(spark):
     posts = make_posts(
         spark,
@@ -98,7 +110,7 @@ def test_messages_of_hot_accounts_carry_the_same_posts(spark):
     rows = random_rows(11, ["a", "a", "b", "c"], 300, 500)
     posts = make_posts(spark, rows)
     for hot in ([], ["a"]):
-        sent = messages.account_messages(posts, max_records=10, hot_keys=hot, slot_seconds=60)
+        sent = messages.account_messages(posts, max_records=10, hot_keys=hot)
         decoded = messages.decode_messages(sent, posts.schema)
         assert rows_of(decoded) == rows_of(posts)
         sizes = sent.select(F.size(messages.decode_value(F.col("value"), posts.schema)).alias("n"))
