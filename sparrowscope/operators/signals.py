@@ -285,20 +285,14 @@ def classify_accounts(
     """
     if threshold is None:
         threshold = score_threshold(scored, score=score, quantile=quantile)
-    limit = threshold.scalar()
-    high, low = F.col(score) >= limit, F.col(score) < limit
-    label = (
-        F.when(high & ~F.col("verified"), "bot")
-        .when(high & F.col("verified"), "project")
-        .when(low & ~F.col("verified"), "default_user")
-        .when(low & F.col("verified"), "KOL")
+    high = F.col(score) >= threshold.scalar()
+    verified, label = F.col("verified"), F.col("verified_type")
+    found = F.when(high, F.when(verified, "project").otherwise("bot")).when(
+        ~high, F.when(verified, "KOL").otherwise("default_user")
     )
-    unlabelled = F.col("verified_type") == UNLABELLED
+    open_case = (label == UNLABELLED) & verified.isNotNull()
     return scored.withColumn(
-        "verified_type",
-        F.when(unlabelled, F.coalesce(label, F.col("verified_type"))).otherwise(
-            F.col("verified_type")
-        ),
+        "verified_type", F.when(open_case, F.coalesce(found, label)).otherwise(label)
     )
 
 

@@ -54,22 +54,28 @@ def read_records(
     )
 
 
+def _by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one partition value side by side, so that not every task writes
+    every value. Adaptive execution splits a frequent value over several tasks."""
+    if not partition_by:
+        return df
+    return df.hint("rebalance", *[F.col(f"`{name}`") for name in partition_by])
+
+
 def write_table(
     df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()
 ) -> None:
     """Parquet table; by default an existing one is an error."""
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    _by_partition(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_json(
     df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()
 ) -> None:
-    """JSON Lines, one folder per value of the partition columns.
-
-    Tasks write the folders side by side, so a frequent value needs no task of
-    its own. Null fields are kept.
-    """
-    df.write.mode(mode).partitionBy(*partition_by).option("ignoreNullFields", False).json(path)
+    """JSON Lines, one folder per value of the partition columns. Null fields
+    are kept."""
+    writer = _by_partition(df, partition_by).write.mode(mode).partitionBy(*partition_by)
+    writer.option("ignoreNullFields", False).json(path)
 
 
 def write_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

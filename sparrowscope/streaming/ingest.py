@@ -102,7 +102,10 @@ def rescore_accounts(
     def rescore(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{posts_path}/batch_id={batch_id}")
-        landed = spark.read.parquet(posts_path).filter(F.col("batch_id") <= batch_id)
+        schema = T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])
+        landed = spark.read.schema(schema).parquet(posts_path).filter(
+            F.col("batch_id") <= batch_id
+        )
         touched = landed.filter(F.col("batch_id") == batch_id).select(key).distinct()
         history = landed.drop("batch_id").join(touched, key, "left_semi")
         signals = account_signals(view_inflation(posting_gaps(history, key=key)), key=key)
