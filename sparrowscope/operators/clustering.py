@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -18,6 +19,9 @@ CLUSTERS = 3
 SEED = 42
 SWEEP = tuple(range(2, 10))
 
+# Rows of one partition while fitting.
+PARTITION_ROWS = 100_000
+
 
 def feature_vectors(
     metrics: DataFrame, features: Sequence[str] = FEATURES, *, handle_invalid: str = "error"
@@ -46,11 +50,26 @@ def unpack_vector(df: DataFrame, vector: str, names: Sequence[str] = FEATURES) -
     return df.select(*others, *[values[i].alias(name) for i, name in enumerate(names)])
 
 
-def fit_clusters(scaled: DataFrame, k: int = CLUSTERS, seed: int | None = SEED) -> KMeansModel:
+def in_order(df: DataFrame, key: str = "screen_name", rows: int = PARTITION_ROWS) -> DataFrame:
+    """The frame in a layout that only its content decides: partitions of about
+    ``rows`` rows by key, sorted."""
+    partitions = max(1, math.ceil(df.count() / rows))
+    return df.repartition(partitions, key).sortWithinPartitions(key)
+
+
+def fit_clusters(
+    scaled: DataFrame,
+    k: int = CLUSTERS,
+    seed: int | None = SEED,
+    *,
+    key: str = "screen_name",
+) -> KMeansModel:
+    """Fit on a fixed layout: the choice of first centres goes by partition, so
+    only then does the seed decide it."""
     kmeans = KMeans(k=k, featuresCol="scaled_features", predictionCol="cluster")
     if seed is not None:
         kmeans = kmeans.setSeed(seed)
-    return kmeans.fit(scaled)
+    return kmeans.fit(in_order(scaled.select(key, "scaled_features"), key))
 
 
 def distinct_up_to(scaled: DataFrame, k: int) -> int:

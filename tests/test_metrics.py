@@ -125,6 +125,19 @@ def test_clusters_find_the_groups(spark, metrics_table):
     assert best["k"] == 3
 
 
+def test_layout_of_the_input_does_not_change_clusters(spark):
+    numbers = spark.range(400).select(
+        F.col("id").cast("string").alias("screen_name"),
+        *[(F.xxhash64("id", F.lit(i)) % 100).cast("double").alias(n) for i, n in enumerate(FEATURES)],
+    )
+    found = []
+    for layout in (numbers.coalesce(1), numbers.orderBy(F.desc("tweet_count")).repartition(7)):
+        scaled = clustering.scaled_features(clustering.feature_vectors(layout))
+        found.append(by_key(clustering.assign_clusters(scaled), "screen_name", "cluster"))
+    assert found[0] == found[1]
+    assert clustering.in_order(numbers, rows=150).rdd.getNumPartitions() == 3
+
+
 def test_fewer_accounts_than_clusters(spark, metrics_table):
     two = clustering.scaled_features(
         clustering.feature_vectors(metrics_table.filter("screen_name in ('0', '1')"))
