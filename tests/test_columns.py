@@ -3,7 +3,6 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from sparrowscope.operators import columns, messages
 from sparrowscope.schemas import UNSCORED_USER_COLUMNS

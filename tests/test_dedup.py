@@ -96,7 +96,8 @@ def test_first_rows_are_cut_before_the_shuffle(spark):
 
 
 def test_distinct_rows(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (1, None), (2, "a")], "n int, s string")
+    data = [(1, "a"), (1, "a"), (1, None), (1, None), (2, "a")]
+    df = spark.createDataFrame(data, "n int, s string")
     assert rows_of(dedup.distinct_rows(df)) == Counter({(1, "a"): 1, (1, None): 1, (2, "a"): 1})
     assert dedup.distinct_rows(df, ["n"]).count() == 2
 

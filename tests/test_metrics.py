@@ -128,7 +128,10 @@ def test_clusters_find_the_groups(spark, metrics_table):
 def test_layout_of_the_input_does_not_change_clusters(spark):
     numbers = spark.range(400).select(
         F.col("id").cast("string").alias("screen_name"),
-        *[(F.xxhash64("id", F.lit(i)) % 100).cast("double").alias(n) for i, n in enumerate(FEATURES)],
+        *[
+            (F.xxhash64("id", F.lit(i)) % 100).cast("double").alias(name)
+            for i, name in enumerate(FEATURES)
+        ],
     )
     found = []
     for layout in (numbers.coalesce(1), numbers.orderBy(F.desc("tweet_count")).repartition(7)):

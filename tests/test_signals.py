@@ -213,7 +213,9 @@ def test_no_scores_leave_all_labels(spark):
 
 
 def test_partitioning_does_not_change_scores(spark):
-    rows = [r for i in range(20) for r in posts_at(f"u{i}", *range(i, 5000, 91 + i), first_id=i * 1000)]
+    rows = []
+    for i in range(20):
+        rows += posts_at(f"u{i}", *range(i, 5000, 91 + i), first_id=i * 1000)
     posts = make_posts(spark, rows)
     users = make_users(spark, [{"screen_name": f"u{i}"} for i in range(25)])
     one = signals.account_scores(users.coalesce(1), posts.coalesce(1))

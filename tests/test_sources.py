@@ -79,7 +79,8 @@ def test_tables(spark, tmp_path):
 
 
 def test_json_by_keyword(spark, tmp_path):
-    df = spark.createDataFrame([("k1", 1, "é"), ("k2", 2, None)], "keyword string, id int, t string")
+    data = [("k1", 1, "é"), ("k2", 2, None)]
+    df = spark.createDataFrame(data, "keyword string, id int, t string")
     path = str(tmp_path / "hits")
     batch.write_json(df, path, partition_by=["keyword"])
     assert rows_of(spark.read.schema(df.schema).json(path), *df.columns) == rows_of(df, *df.columns)
