@@ -152,14 +152,13 @@ def view_inflation(
     The tests run on single-precision values, which decides cases right above
     a limit.
     """
-    counted = posts.withColumn(views, sentinel_to_number(F.col(views)))
-    ratio = safe_ratio(F.col(views), F.col(likes))
-    inflated = (F.col("`views/like`").cast("float") > VIEWS_PER_LIKE_LIMIT) & (
-        F.col(views).cast("float") > VIEWS_LIMIT
-    )
-    return counted.withColumn("views/like", ratio).withColumn(
-        "views_score", F.when(inflated, 1).otherwise(0)
+    number = sentinel_to_number(F.col(views))
+    ratio = safe_ratio(number, F.col(likes))
+    inflated = (ratio.cast("float") > VIEWS_PER_LIKE_LIMIT) & (
+        number.cast("float") > VIEWS_LIMIT
     )
+    flag = F.when(inflated, 1).otherwise(0)
+    return posts.withColumns({views: number, "views/like": ratio, "views_score": flag})
 
 
 def follow_imbalance(
@@ -167,12 +166,9 @@ def follow_imbalance(
 ) -> DataFrame:
     """Add the following-to-follower ratio and its 0/1 flag."""
     ratio = safe_ratio(F.col(following), F.col(followers))
-    imbalanced = (F.col("`following/follower`").cast("float") > FOLLOW_RATIO_LIMIT) & (
-        F.col(following) > FRIENDS_LIMIT
-    )
-    return users.withColumn("following/follower", ratio).withColumn(
-        "friend_score", F.when(imbalanced, 1).otherwise(0)
-    )
+    imbalanced = (ratio.cast("float") > FOLLOW_RATIO_LIMIT) & (F.col(following) > FRIENDS_LIMIT)
+    flag = F.when(imbalanced, 1).otherwise(0)
+    return users.withColumns({"following/follower": ratio, "friend_score": flag})
 
 
 # ---------------------------------------------------------------------------
@@ -183,9 +179,13 @@ def follow_imbalance(
 def scored_posts(posts: DataFrame, *, key: str = "screen_name", **options) -> DataFrame:
     """The scored post table: all post-level signals, dates as timestamps."""
     scored = view_inflation(posting_gaps(posts.drop("lang"), key=key, **options))
-    return scored.withColumn("created_at", epoch_to_timestamp(F.col("created_at"))).select(
-        *[F.col(f"`{name}`") for name in POST_DOCUMENT]
-    )
+    return _document(scored, POST_DOCUMENT)
+
+
+def _document(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The named columns, with the date as a timestamp."""
+    date = epoch_to_timestamp(F.col("created_at")).alias("created_at")
+    return df.select(*[date if name == "created_at" else F.col(f"`{name}`") for name in names])
 
 
 def account_signals(post_flags: DataFrame, *, key: str = "screen_name") -> DataFrame:
@@ -223,11 +223,7 @@ def score_accounts(
     filled = ["time_bot_count", "views_score"] if fill_missing_scores else ["time_bot_count"]
     joined = follow_imbalance(users).join(signals, key, "left").na.fill(0, filled)
     score = F.col("friend_score") + F.col("views_score") + F.col("time_bot_count")
-    return (
-        joined.withColumn("bot_score", score)
-        .withColumn("created_at", epoch_to_timestamp(F.col("created_at")))
-        .select(*[F.col(f"`{name}`") for name in USER_DOCUMENT])
-    )
+    return _document(joined.withColumn("bot_score", score), USER_DOCUMENT)
 
 
 def account_scores(

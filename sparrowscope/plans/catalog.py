@@ -100,6 +100,12 @@ def account_scores(spark, sf_dir):
     return _plain_dates(_scored(spark, sf_dir))
 
 
+@query
+def account_signals(spark, sf_dir):
+    flags = signals.view_inflation(signals.posting_gaps(bindings.posts(spark, sf_dir)))
+    return signals.account_signals(flags)
+
+
 @query
 def posting_gaps(spark, sf_dir):
     return signals.posting_gaps(bindings.posts(spark, sf_dir)).select(

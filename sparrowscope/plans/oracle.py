@@ -172,6 +172,7 @@ def _summary_row(label: str, expression: str) -> str:
 SELECTS = {
     "classify_accounts": f"SELECT {_columns(USER_DOCUMENT)} FROM classified",
     "account_scores": f"SELECT {_columns(USER_DOCUMENT)} FROM scored",
+    "account_signals": "SELECT * FROM signals",
     "posting_gaps": """
         SELECT id, screen_name, created_at, time_diff, average_time_diff, time_diff_seconds,
                average_time_diff_seconds, time_bot

@@ -166,12 +166,3 @@ def test_jobs_from_crawl_files_to_clusters(spark, tmp_path):
     assert [line for line in lines if "index" in line] == [{"index": {"_index": "accounts"}}] * 3
     assert all(set(line) == set(USER_DOCUMENT) for line in lines if "index" not in line)
     assert spark.read.text(out["p_lines"]).count() == 10
-
-
-def test_two_post_parts_cluster_like_one(spark, tmp_path):
-    """Parts are joined on their common columns; nothing of the first is lost."""
-    from sparrowscope.operators.columns import union_common_columns
-
-    left = spark.range(5).withColumn("x", F.lit(1))
-    right = spark.range(5, 9).withColumn("y", F.lit(1))
-    assert union_common_columns(left, right).count() == 9
