@@ -127,7 +127,7 @@ def k_sweep(
     seed: int | None = None,
     distance: str = "squaredEuclidean",
 ) -> DataFrame:
-    """Silhouette for every cluster count. ``scaled`` is read once per fit and
-    evaluation, so pass a stored frame."""
+    """Silhouette for every cluster count. ``scaled`` is read for each, so derive
+    it from stored metrics."""
     scores = [(k, silhouette(assign_clusters(scaled, k, seed), distance)) for k in ks]
     return scaled.sparkSession.createDataFrame(scores, "k int, silhouette double")

@@ -489,24 +489,24 @@ def scaled_features(spark, sf_dir):
 
 @query
 def account_clusters(spark, sf_dir):
-    scaled = stored(_scaled(spark, sf_dir))
-    return clustering.account_clusters(clustering.assign_clusters(scaled))
+    clustered = clustering.assign_clusters(_scaled(spark, sf_dir))
+    return clustering.account_clusters(clustered)
 
 
 @query
 def cluster_sizes(spark, sf_dir):
-    return clustering.cluster_sizes(clustering.assign_clusters(stored(_scaled(spark, sf_dir))))
+    return clustering.cluster_sizes(clustering.assign_clusters(_scaled(spark, sf_dir)))
 
 
 @query
 def cluster_silhouette(spark, sf_dir):
-    clustered = clustering.assign_clusters(stored(_scaled(spark, sf_dir)))
+    clustered = clustering.assign_clusters(_scaled(spark, sf_dir))
     return clustering.cluster_silhouette(clustered)
 
 
 @query
 def k_sweep(spark, sf_dir):
-    return clustering.k_sweep(stored(_scaled(spark, sf_dir)), seed=clustering.SEED)
+    return clustering.k_sweep(_scaled(spark, sf_dir), seed=clustering.SEED)
 
 
 # -- Streams -----------------------------------------------------------------

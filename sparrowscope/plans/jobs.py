@@ -82,7 +82,7 @@ def clustering_job(
         posts = union_common_columns(posts, part)
     accounts = filter_segment(read_table(spark, scored_users_path), segments)
     metrics = account_metrics(posts, account_columns(accounts))
-    scaled = stored(scaled_features(feature_vectors(stored(metrics))))
+    scaled = scaled_features(feature_vectors(stored(metrics)))
     clustered = stored(assign_clusters(scaled))
     write_table(account_clusters(clustered), predictions_path)
     return cluster_silhouette(clustered), cluster_sizes(clustered)
