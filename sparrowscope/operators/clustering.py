@@ -86,7 +86,10 @@ def distinct_up_to(scaled: DataFrame, k: int) -> int:
 def assign_clusters(scaled: DataFrame, k: int = CLUSTERS, seed: int | None = SEED) -> DataFrame:
     """Add the k-means cluster of every account. Fewer than ``k`` distinct
     accounts give one cluster each."""
-    k = distinct_up_to(scaled, k)
+    return _assign(scaled, distinct_up_to(scaled, k), seed)
+
+
+def _assign(scaled: DataFrame, k: int, seed: int | None) -> DataFrame:
     if k < 2:
         return scaled.withColumn("cluster", F.lit(0))
     return fit_clusters(scaled, k, seed).transform(scaled)
@@ -129,5 +132,7 @@ def k_sweep(
 ) -> DataFrame:
     """Silhouette for every cluster count. ``scaled`` is read for each, so derive
     it from stored metrics."""
-    scores = [(k, silhouette(assign_clusters(scaled, k, seed), distance)) for k in ks]
+    ks = list(ks)
+    most = distinct_up_to(scaled, max(ks))
+    scores = [(k, silhouette(_assign(scaled, min(k, most), seed), distance)) for k in ks]
     return scaled.sparkSession.createDataFrame(scores, "k int, silhouette double")
