@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparrowscope.llm import quality
+from sparrowscope.llm import quality, tokens
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -19,6 +19,21 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), statistics=STATISTICS)
 
 
+def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = tokens.archive_folder(spark)
+    tokens.write_archives(
+        _table(spark, sf_dir, "documents"),
+        path,
+        public_tokenizers.path("word_bpe_49k.json"),
+        end_id=2,
+        by_word=True,
+    )
+    return tokens.token_index(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op9_tokens": op9_tokens,
 }
