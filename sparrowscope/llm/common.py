@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +25,33 @@ def limit_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(BATCH_SETTING, str(rows))
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Once per application: send this package to the Python workers, so that they can
+    import it wherever they and the driver were started."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for file in sorted(package.rglob("*.py")):
+            target.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def map_texts(
-    df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    make: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
+    rows: int = BATCH_ROWS,
 ) -> DataFrame:
     """mapInArrow over batches small enough for whole texts."""
-    limit_batches(df.sparkSession)
+    ship_package(df.sparkSession)
+    limit_batches(df.sparkSession, rows)
     return df.mapInArrow(make, schema)
 
 

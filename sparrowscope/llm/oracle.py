@@ -35,6 +35,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+# Words of documents and items, every window of the items, its occurrences.
+_OP10 = r"""
+WITH low AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+bench AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+starts AS (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+    FROM bench WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM starts),
+sizes AS (SELECT DISTINCT k FROM windows),
+places AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM low, sizes WHERE len(w) >= k),
+found AS (
+    SELECT doc_id, i, p.k, item_id
+    FROM (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM places) p
+    JOIN windows USING (k, g)
+),
+hits AS (
+    SELECT doc_id, count(DISTINCT pos) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM found) GROUP BY doc_id
+),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality": _OP1,
+    "op10_decontaminate": _OP10,
 }

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparrowscope.llm import quality, tokens
+from sparrowscope.llm import classifier, decontaminate, language, quality, tokens
+from sparrowscope.llm.common import crc_mod
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -19,6 +20,25 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), statistics=STATISTICS)
 
 
+def op3_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    trees = classifier.fit(docs, labels.where(crc_mod(F.col("doc_id"), 5) != 0))
+    return classifier.score(docs, trees).select(
+        "doc_id",
+        (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(crc_mod(F.col("doc_id"), 3) != 1))
+    return language.predict(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,7 +53,16 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_index(spark, path)
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op3_classifier": op3_classifier,
+    "op6_language": op6_language,
     "op9_tokens": op9_tokens,
+    "op10_decontaminate": op10_decontaminate,
 }

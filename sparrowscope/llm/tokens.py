@@ -27,7 +27,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparrowscope.llm.common import limit_batches, map_texts, store, utf8
+from sparrowscope.llm.common import map_texts, store, utf8
 from sparrowscope.sources.shared import fresh_path
 
 # Fixed values of the seekable zstandard format.
@@ -202,7 +202,6 @@ def read_archives(
     """Rows of every archive: the columns that `rows` makes from an archive and the
     places of its documents (all, or those whose id is in `wanted`), after the number of
     the partition and of the file that wrote it."""
-    limit_batches(spark, 4)  # whole archives
     chosen = None if wanted is None else frozenset(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +225,7 @@ def read_archives(
         F.regexp_extract("path", r"part-(\d+)-.*-c(\d+)[^/]*$", 2).cast("int").alias("file"),
         "content",
     )
-    return files.mapInArrow(run, f"part int, file int, {schema}")
+    return map_texts(files, run, f"part int, file int, {schema}")
 
 
 def _digest(archive: Archive, places: Iterable[int]) -> dict[str, list]:
