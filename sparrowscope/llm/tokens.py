@@ -14,8 +14,10 @@ the seek table, are that separator.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
@@ -23,6 +25,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -37,9 +40,9 @@ CHECKSUM_FLAG = 0x80
 
 LEVEL = 3
 # Token bytes after which a new archive begins; a longer document has one of its own.
-ARCHIVE_BYTES = 24 << 20
+ARCHIVE_BYTES = 16 << 20
 # Words whose ids a Python worker keeps.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 600_000
 
 _DIRECTORY = np.dtype([("known", "u1"), ("doc_id", "<i8")])
 _ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
@@ -55,13 +58,86 @@ def _tokenizer(path: str):
 
 _words: dict[bytes, bytes] = {}
 _words_of: list[str] = []
-_TRAILING = re.compile(rb"([a-z])([!-&(-/:-@\[-`{-~]+) ")
 _BREAKS = bytes.maketrans(b"\n", b" ")
+# A letter, then the punctuation that ends the word.
+_TRAILING = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+# Bytes of text whose words are looked up at a time.
+_CHUNK = 8 << 20
+
+
+def _byte_letters() -> dict[int, str]:
+    """The visible character that byte-level vocabularies write for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _one_run(word: bytes) -> str | None:
+    """The word as the model of a byte-level tokenizer sees it, if it is one run of
+    lower-case letters in composed form; else null, for the whole tokenizer."""
+    if word.isalpha():
+        return word.decode()
+    if len(word) > 1 and (text := word.decode()).isalpha() and text == text.lower():
+        if unicodedata.is_normalized("NFC", text) and all(c in _LATIN for c in text):
+            return "".join([_BYTE_LETTERS[byte] for byte in word])
+    return None
+
+
+# Letters without special casing rules: a to z and the small letters of Latin-1.
+_LATIN = frozenset(map(chr, [*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+
+
+def _word_ids(tokenizer, words: list[bytes]) -> list[bytes]:
+    """Ids of each word; of words not seen before, trailing punctuation is looked up on
+    its own."""
+    known = _words
+    out = [*map(known.get, words)]
+    missing = [k for k, ids in enumerate(out) if ids is None]
+    cut = [_TRAILING.fullmatch(words[k]) for k in missing]
+    parts = [match.groups() if match else (words[k],) for k, match in zip(missing, cut)]
+    fresh = {part for group in parts for part in group if part not in known}
+    model, byte_level, mixed = tokenizer.model, _is_byte_level(tokenizer), []
+    for word in fresh:
+        run = _one_run(word) if byte_level else None
+        if run is None:
+            mixed.append(word)
+        else:
+            known[word] = array("I", [token.id for token in model.tokenize(run)]).tobytes()
+    found = tokenizer.encode_batch_fast([word.decode() for word in mixed], add_special_tokens=False)
+    for word, encoding in zip(mixed, found):
+        known[word] = array("I", encoding.ids).tobytes()
+    for k, group in zip(missing, parts):
+        if len(group) == 2:
+            known[words[k]] = known[group[0]] + known[group[1]]
+        out[k] = known[words[k]]
+    return out
 
 
-def _pieces(data: bytes) -> list[bytes]:
-    """The text cut at spaces, and between a letter and the punctuation that ends a word."""
-    return _TRAILING.sub(rb"\1 \2 ", data.lower().translate(_BREAKS)).split(b" ")
+@cache
+def _is_byte_level(tokenizer) -> bool:
+    """Whether the model gets runs of letters as bytes written by visible characters."""
+    stages = json.loads(tokenizer.to_str())
+    split = json.dumps(stages["pre_tokenizer"])
+    return '"ByteLevel"' in split and r"[\\p{L}]+" in split
+
+
+def _encode_by_word(tokenizer, texts: list[bytes]) -> list[bytes]:
+    """Split at spaces, encode the distinct words, put the ids together again."""
+    lists = pc.split_pattern(pa.array(texts, pa.binary()), b" ")
+    offsets, coded = lists.offsets.to_numpy(), lists.values.dictionary_encode()
+    found = _word_ids(tokenizer, coded.dictionary.to_pylist())
+    places = coded.indices.to_numpy()
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    ids = np.frombuffer(b"".join(found), "<u4")
+    starts = np.cumsum(sizes) - sizes
+    lengths = sizes[places]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    joined = ids[np.repeat(starts[places] - ends[:-1], lengths) + np.arange(ends[-1])]
+    bounds = ends[offsets]
+    return [joined[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def encode_texts(path: str, texts: list[str | None], by_word: bool) -> list[bytes]:
@@ -79,17 +155,19 @@ def encode_texts(path: str, texts: list[str | None], by_word: bool) -> list[byte
         out[k] = np.asarray(encoding.ids, "<u4").tobytes()
     if not by_word:
         return out
-    if len(_words) > CACHED_WORDS or _words_of != [path]:
-        _words.clear()
-        _words_of[:] = [path]
-    rest = sorted({*range(len(texts))} - {*whole})
-    split = [_pieces(utf8(texts[k])) for k in rest]
-    fresh = [*set().union(*split).difference(_words)]
-    found = tokenizer.encode_batch_fast([word.decode() for word in fresh], add_special_tokens=False)
-    for word, encoding in zip(fresh, found):
-        _words[word] = array("I", encoding.ids).tobytes()
-    for k, words in zip(rest, split):
-        out[k] = b"".join(map(_words.__getitem__, words))
+    rest = [k for k in range(len(texts)) if texts[k] and "<|" not in texts[k]]
+    at = 0
+    while at < len(rest):
+        if len(_words) > CACHED_WORDS or _words_of != [path]:
+            _words.clear()
+            _words_of[:] = [path]
+        chunk, size = [], 0
+        while at + len(chunk) < len(rest) and size < _CHUNK:
+            chunk.append(utf8(texts[rest[at + len(chunk)]]).lower().translate(_BREAKS))
+            size += len(chunk[-1])
+        for k, content in zip(rest[at : at + len(chunk)], _encode_by_word(tokenizer, chunk)):
+            out[k] = content
+        at += len(chunk)
     return out
 
 
@@ -186,7 +264,7 @@ def write_archives(
 
     rows = docs.select(docs[id].cast("bigint").alias("id"), docs[text].alias("text"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-    archives = map_texts(ordered, run, "value binary").select(F.col("value").cast("string"))
+    archives = map_texts(ordered, run, "value binary", rows=1024).select(F.col("value").cast("string"))
     archives.write.option("encoding", "ISO-8859-1").option("lineSep", _MAGIC.decode("latin-1")).option(
         "maxRecordsPerFile", 1
     ).text(path)
