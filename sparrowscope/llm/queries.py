@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparrowscope.llm import classifier, decontaminate, language, quality, tokens
+from sparrowscope.llm import classifier, decontaminate, language, quality, spans, tokens
 from sparrowscope.llm.common import crc_mod
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -31,6 +31,11 @@ def op3_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.remove_repeats(docs, counts=True)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language.fit(docs.where(crc_mod(F.col("doc_id"), 3) != 1))
@@ -62,6 +67,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_classifier": op3_classifier,
+    "op5_spans": op5_spans,
     "op6_language": op6_language,
     "op9_tokens": op9_tokens,
     "op10_decontaminate": op10_decontaminate,
