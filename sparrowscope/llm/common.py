@@ -60,10 +60,19 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+# Shuffle files of a finished write are of no more use: the table holds the rows.
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def write_table(df: DataFrame, name: str) -> str:
     """Write the frame below the shared folder; returns the path."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    spark = df.sparkSession
+    path, before = fresh_path(spark, name), spark.conf.get(CLEANUP_SETTING)
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_SETTING, before)
     return path
 
 
@@ -77,6 +86,26 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return read_table(df.sparkSession, write_table(df, name), df.schema)
 
 
+class Tables:
+    """Tables that one job writes; `drop` removes those it has read for the last time."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[int, str] = {}
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = write_table(df, name)
+        table = read_table(self.spark, path, df.schema)
+        self._paths[id(table)] = path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            path = self._paths.pop(id(table), None)
+            if path is not None:
+                drop_path(self.spark, path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a table that this job wrote and has read for the last time."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

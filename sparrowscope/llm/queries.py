@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparrowscope.llm import classifier, decontaminate, language, quality, spans, tokens
+from sparrowscope.llm import classifier, decontaminate, jaccard, language, quality, spans, tokens
 from sparrowscope.llm.common import crc_mod
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -44,6 +44,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_classifier": op3_classifier,
     "op5_spans": op5_spans,
     "op6_language": op6_language,
+    "op8_jaccard": op8_jaccard,
     "op9_tokens": op9_tokens,
     "op10_decontaminate": op10_decontaminate,
 }
