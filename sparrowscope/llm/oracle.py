@@ -69,7 +69,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM low LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# Payloads are compared as texts.
+_OP4 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY t) AS last FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(t) AS payload_digest,
+    CASE WHEN n >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 1000 AND page_id < last THEN last END AS refers_to
+FROM m
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality": _OP1,
+    "op4_warc": _OP4,
     "op10_decontaminate": _OP10,
 }

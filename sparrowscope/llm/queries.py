@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparrowscope.llm import classifier, decontaminate, jaccard, language, quality, spans, tokens
+from sparrowscope.llm import classifier, decontaminate, jaccard, language, quality, spans, tokens, warc
 from sparrowscope.llm.common import crc_mod
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -31,6 +31,12 @@ def op3_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.archive_folder(spark)
+    warc.write_captures(_table(spark, sf_dir, "pages"), path)
+    return warc.captured_pages(spark, path)
+
+
 def op5_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return spans.remove_repeats(docs, counts=True)
@@ -71,6 +77,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_classifier": op3_classifier,
+    "op4_warc": op4_warc,
     "op5_spans": op5_spans,
     "op6_language": op6_language,
     "op8_jaccard": op8_jaccard,
