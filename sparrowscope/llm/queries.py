@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparrowscope.llm import classifier, decontaminate, jaccard, language, quality, spans, tokens, warc
+from sparrowscope.llm import classifier, decontaminate, jaccard, language, quality, spans, suffixes, tokens, warc
 from sparrowscope.llm.common import crc_mod
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -50,6 +50,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_substrings(_table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=90)
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_spans": op5_spans,
     "op6_language": op6_language,
+    "op7_suffixes": op7_suffixes,
     "op8_jaccard": op8_jaccard,
     "op9_tokens": op9_tokens,
     "op10_decontaminate": op10_decontaminate,
