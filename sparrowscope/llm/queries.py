@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparrowscope.llm import classifier, decontaminate, jaccard, language, quality, spans, suffixes, tokens, warc
+from sparrowscope.llm import classifier, decontaminate, jaccard, language, pieces, quality, spans, suffixes, tokens, warc
 from sparrowscope.llm.common import crc_mod
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -20,6 +20,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), statistics=STATISTICS)
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
 def op3_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     trees = classifier.fit(docs, labels.where(crc_mod(F.col("doc_id"), 5) != 0))
@@ -80,6 +87,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_pieces": op2_pieces,
     "op3_classifier": op3_classifier,
     "op4_warc": op4_warc,
     "op5_spans": op5_spans,
