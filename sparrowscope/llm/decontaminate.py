@@ -226,3 +226,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
         F.sha2(F.coalesce("__items", F.lit("")), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
+    """The rows of `docs` without an occurrence of an item's window, all columns as they
+    are."""
+    id, text = names.get("id", "doc_id"), names.get("text", "text")
+    _, spans = contaminated_spans(docs, items, **names)
+    hit = spans.select(F.col("__id").alias("__i"), F.col("__t").alias("__s"))
+    mark = F.xxhash64(F.lit(1), docs[id], F.lit(2), docs[text])
+    marked = docs.withColumn("__mark", mark)
+    same_row = marked[id].eqNullSafe(F.col("__i")) & (F.col("__mark") == F.col("__s"))
+    return marked.join(hit, same_row, "left_anti").drop("__mark")

@@ -1,0 +1,75 @@
+"""Winnowing against plain loops, short items, odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from sparrowscope.llm import decontaminate
+
+WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
+
+
+def words(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(low)
+
+
+def plain(rows, items):
+    out = []
+    for d, text in rows:
+        w, hit, found = words(text), set(), set()
+        for i, t in items:
+            v = words(t)
+            k = min(10, len(v))
+            windows = {tuple(v[p : p + k]) for p in range(len(v) - k + 1)} if v else set()
+            for p in range(len(w) - k + 1):
+                if k and tuple(w[p : p + k]) in windows:
+                    hit |= set(range(p, p + k))
+                    if i is not None:
+                        found.add(str(i))
+        listed = ",".join(sorted(found))
+        out.append((d, len(w), len(hit), len(found), hashlib.sha256(listed.encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=str)
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    word = lambda: rng.choice(["É", "é", "Foo", "foo", "x1", "the", "of", "日本", "a", "b", "c", "d"]) + rng.choice(["", "k", "m"])
+    items = [(i, " ".join(word() for _ in range(rng.randint(10, 30)))) for i in range(8)]
+    items += [(20, "one two three"), (21, "One, TWO three!"), (22, "single"), (23, None), (24, ""), (100, items[0][1]),
+              (None, "null item words that are ten or more in number here"), (25, " ".join(["rep"] * 14)), (26, "a b c d e f g")]
+    rows = []
+    for i in range(80):
+        text = [word() for _ in range(rng.randint(0, 40))]
+        for _ in range(rng.randint(0, 2)):
+            v = (rng.choice(items)[1] or "").split()
+            a = rng.randint(0, max(0, len(v) - 8))
+            text[rng.randint(0, len(text)) :] += v[a : a + rng.randint(3, 25)] + [word()]
+        rows.append((i, rng.choice([" ", "-", ", "]).join(text).replace("foo", rng.choice(["foo", "FOO"]))))
+    rows += [(90, None), (91, ""), (92, "rep " * 30), (93, "and one two three single x"), (None, items[1][1]),
+             (94, items[2][1]), (94, items[3][1]), (95, items[4][1]), (95, items[4][1]), (96, "null item words that are ten or more in number here"),
+             (97, "z " * 30_000 + items[5][1])]
+    return rows, items
+
+
+def test_against_loops(spark, docs_of):
+    rows, items = corpus(3)
+    table = spark.createDataFrame(items, "item_id bigint, text string").repartition(2)
+    found = decontaminate.decontaminate(docs_of(rows, "n_words"), table)
+    assert found.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert sorted(map(tuple, found.collect()), key=str) == plain(rows, items)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    kept = decontaminate.keep_clean(docs_of(rows, "v"), table)
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(r[0]) for r in plain(rows, items) if not r[5])
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "v"]
+
+
+def test_nothing_to_compare(spark, docs_of):
+    none = spark.createDataFrame([(1, None)], "item_id bigint, text string")
+    found = decontaminate.decontaminate(docs_of([(1, "a b"), (2, None)]), none).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["contaminated"]) for r in found) == [(1, 2, 0, False), (2, 0, 0, False)]
+    items = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
+    assert decontaminate.decontaminate(docs_of([(1, "a")]).where("doc_id > 5"), items).collect() == []
