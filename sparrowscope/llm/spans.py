@@ -115,6 +115,7 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     first = spans.groupBy("h", "g").agg(
         F.min(F.struct("__id", "at")).alias("first"), F.count(F.lit(1)).alias("n")
     ).where("n > 1")
+    first = store(first, "first-spans")  # apart, so that a hot span can be split in the join
     again = spans.join(first, ["h", "g"]).where(F.struct("__id", "at") != F.col("first"))
     return again.select("__id", "at", "h").distinct()
 
