@@ -3,7 +3,7 @@
 Features are hashed letter trigrams of the whole text, square-rooted and scaled to unit
 length. Families are told apart, and the languages of one family, by one-versus-one
 linear support vector machines (squared hinge loss). They are fitted on a bounded sample:
-per language the PER_LANGUAGE rows with the smallest hash of their id.
+about PER_LANGUAGE rows of every language, chosen by the hash of their id.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sparrowscope.llm.common import map_texts, utf8
 
@@ -129,19 +129,15 @@ def fit(
     lang: str = "lang",
 ) -> LanguageModel:
     """Fit on rows with a language and a letter. What comes to the driver are the hashed
-    counts of at most `per_language` rows a language."""
+    counts of about `per_language` rows a language: those whose hashed id lies in the
+    lowest per_language / rows share."""
     rows = docs.where(docs[lang].isNotNull()).select(
         docs[id].alias("id"), docs[lang].cast("string").alias("lang"), docs[text].alias("text")
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    picked = (
-        rows.select("id", "lang")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= per_language)
-        .select("id", "lang")
-        .distinct()
-    )
-    sample = rows.join(F.broadcast(picked), ["id", "lang"]).select("lang", "text")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / float(1 << 40)
+    sample = rows.join(F.broadcast(counts), "lang").where(place * F.col("rows") < per_language)
+    sample = sample.select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
