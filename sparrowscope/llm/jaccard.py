@@ -12,19 +12,27 @@ are indexed singly and frequent ones in combinations of two. Sets of more than L
 tokens index frequent tokens singly, as their combinations would be too many; sets near
 that size do both, so no link is lost.
 
-Sets with an index entry in common are candidates. They are not paired with each other
-but with pivots: one per entry in the first round, then four times as many each round,
-while an entry still holds sets of several components. When all sets of an entry are
-pivots, nothing is left to test. Candidates are verified by their whole sets.
+Every set makes its entries once for each size class that partners may have: the more is
+known of the sizes, the more tokens have to be shared, and the shorter is the prefix.
+
+Sets with an index entry in common are candidates. At most FEW of them are compared with
+each other. Of larger entries all sets are compared with its pivot (the set with the fewest tokens of its
+own, as the original of a family of edited copies has). Two sets that are not both linked
+with the pivot can only link when they share tokens in which they differ from it, and by
+the prefix argument one of the rarest such tokens. So an entry with sets that do not link
+with its pivot is replaced by entries for (pivot, differing token), until there is none
+left. Each time the pivot drops out. Comparisons use the whole sets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sparrowscope.llm.common import Tables, map_texts, mix64
 from sparrowscope.llm.components import components
@@ -33,6 +41,8 @@ from sparrowscope.llm.shingles import digest, shingle_sets
 # Sets in which a token has to occur to be of the frequent class.
 FREQUENT = 16
 LONG = 400
+# Sets of an entry that are compared with each other at once; larger entries go by pivot.
+FEW = 24
 
 
 def slack(n: int, percent: int) -> int:
@@ -51,7 +61,8 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
 
 
 def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, set (digest), n and the lowest hashes of every row."""
+    """doc_id, mark, set (digest), n and the lowest hashes of every row (doc_id, text,
+    mark)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,11 +73,11 @@ def _sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 counts.append(len(tokens))
                 low.append(tokens[: free + free // 2 + 1] if len(tokens) > 1 else tokens[:0])
             yield pa.record_batch(
-                [batch.column(0), pa.array(names, pa.int64()), pa.array(counts, pa.int64()), _lists(low)],
-                names=["doc_id", "set", "n", "low"],
+                [batch.column(0), batch.column(2), pa.array(names, pa.int64()), pa.array(counts, pa.int64()), _lists(low)],
+                names=["doc_id", "mark", "set", "n", "low"],
             )
 
-    return map_texts(docs, run, "doc_id bigint, set bigint, n bigint, low array<bigint>")
+    return map_texts(docs, run, "doc_id bigint, mark bigint, set bigint, n bigint, low array<bigint>")
 
 
 def _whole_sets(rows: DataFrame, size: int) -> DataFrame:
@@ -87,16 +98,51 @@ def _whole_sets(rows: DataFrame, size: int) -> DataFrame:
     return map_texts(rows, run, "set bigint, n bigint, tokens array<bigint>")
 
 
+def size_bin(n: int) -> int:
+    """Number of the size class; sizes of one class differ by 3 % at most."""
+    return int(math.log(n) / math.log(1.03) + 1e-9)
+
+
+def _least_of_bin(number: int) -> int:
+    size = max(1, int(1.03**number) - 1)
+    while size_bin(size) < number:
+        size += 1
+    return size
+
+
+@cache
+def partner_bins(n: int, percent: int) -> list[tuple[int, int]]:
+    """Size classes of possible partners, and how many of n tokens may be missing in a
+    partner of that class: similar sets share percent / (100 + percent) of both sizes."""
+    low, high = -(-percent * n // 100), 100 * n // percent
+    out = []
+    for number in range(size_bin(low), size_bin(high) + 1):
+        least = max(low, _least_of_bin(number))
+        if least <= high and size_bin(least) == number:
+            out.append((number, n - -(-percent * (n + least) // (100 + percent))))
+    return out
+
+
 def index_entries(
     n: int, tokens: np.ndarray, counts: np.ndarray, percent: int, frequent: int, long: int
 ) -> np.ndarray:
     """Entries of a set of `n` tokens, of which `tokens` are the first slack + 2 or more,
     rarest first; `counts` are the sets that have them. Tokens of no other set need no
-    entry."""
-    free = slack(n, percent)
-    base, wide = tokens[: free + 1], tokens[: free + 2]
-    often = counts[: free + 2] >= frequent
-    shared = counts[: free + 2] > 1
+    entry. Entries are made for every size class of partners, and name both classes."""
+    own, made = size_bin(n), []
+    for other, free in partner_bins(n, percent):
+        entries = _class_entries(n, tokens[: free + 2], counts[: free + 2], free, percent, frequent, long)
+        if len(entries):
+            low, high = min(own, other), max(own, other)
+            made.append(mix64(entries ^ mix64(np.array([(low << 32) + high + 1], np.uint64))))
+    return np.unique(np.concatenate(made)) if made else tokens[:0]
+
+
+def _class_entries(
+    n: int, wide: np.ndarray, counts: np.ndarray, free: int, percent: int, frequent: int, long: int
+) -> np.ndarray:
+    base = wide[: free + 1]
+    often, shared = counts >= frequent, counts > 1
     if not often[: free + 1].any():
         return base[shared[: free + 1]]
     entries = [wide[shared & ~often]]
@@ -106,16 +152,16 @@ def index_entries(
         common = np.sort(wide[often])
         first, second = np.triu_indices(len(common), 1)
         entries.append(mix64(mix64(common[first]) ^ (common[second] + np.uint64(0x9E3779B97F4A7C15))))
-    return np.unique(np.concatenate(entries))
+    return np.concatenate(entries)
 
 
 def _index(ordered: DataFrame, percent: int, frequent: int, long: int) -> DataFrame:
-    """entry, set and n for every index entry."""
+    """entry, set, n and alone (tokens of no other set) for every index entry."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(column.to_pylist() for column in batch.columns))
-            entries, names, sizes = [], [], []
+            entries, names, sizes, alone = [], [], [], []
             for name, n, tokens, counts in rows:
                 made = index_entries(
                     n, np.array(tokens, np.int64).view(np.uint64), np.array(counts, np.int64), percent, frequent, long
@@ -123,26 +169,75 @@ def _index(ordered: DataFrame, percent: int, frequent: int, long: int) -> DataFr
                 entries.append(_signed(made))
                 names.append(np.full(len(made), name))
                 sizes.append(np.full(len(made), n))
+                alone.append(np.full(len(made), counts.count(1)))
             yield pa.record_batch(
-                [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (entries, names, sizes)],
-                names=["entry", "set", "n"],
+                [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (entries, names, sizes, alone)],
+                names=["entry", "set", "n", "alone"],
             )
 
-    return map_texts(ordered, run, "entry bigint, set bigint, n bigint")
-
-
-def _similar(n: Column, m: Column, percent: int) -> Column:
-    return (100 * F.least(n, m)) >= percent * F.greatest(n, m)
+    return map_texts(ordered, run, "entry bigint, set bigint, n bigint, alone bigint")
+
+
+def difference_entries(
+    x: np.ndarray, counts: np.ndarray, y: np.ndarray, other_counts: np.ndarray, percent: int
+) -> tuple[bool, np.ndarray]:
+    """Whether a set x (tokens with the sets that have them) links with the pivot y, and
+    entries from their symmetric difference X. Of another set z with the difference Z,
+    entries meet if x and z link, unless both link with y.
+
+    Linked x and z differ in at most `bound` tokens, and they differ in X and Z but for
+    twice the tokens that X and Z share. So (|X| + |Z| - bound) / 2 are shared, and at
+    least one. Ordered rarest first, the prefixes of X and Z share one then. Entries are
+    made for every class of |Z|; tokens of x alone need none."""
+    inside, found = np.isin(x, y, assume_unique=True), np.isin(y, x, assume_unique=True)
+    both = int(inside.sum())
+    linked = 100 * both >= percent * (len(x) + len(y) - both)
+    apart = np.concatenate([x[~inside], y[~found]])
+    held = np.concatenate([counts[~inside], other_counts[~found]])
+    # Tokens of the pivot alone are missing in every other set: they come last.
+    only = np.concatenate([np.zeros(len(x) - both, bool), other_counts[~found] == 1])
+    order = np.lexsort((apart, held, only))
+    apart, useful = apart[order], (held > 1)[order] | only[order]
+    bound = (len(x) + 100 * len(x) // percent) * (100 - percent) // (100 + percent)
+    width = max(1, len(y) * (100 - percent) // (100 + percent) // 3)
+    size, own, made = len(apart), len(apart) // width, []
+    for other in range(max(0, size - bound) // width, (size + bound) // width + 1):
+        shared = max(1, -(-(size + other * width - bound) // 2))
+        entries = apart[: size - shared + 1][useful[: size - shared + 1]] if shared <= size else apart[:0]
+        if len(entries):
+            low, high = min(own, other), max(own, other)
+            made.append(mix64(entries.view(np.uint64) ^ mix64(np.array([(low << 32) + high + 1], np.uint64))))
+    return linked, np.unique(np.concatenate(made)) if made else np.zeros(0, np.uint64)
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """set, pivot, last, alone, linked and, unless last, the difference entries of the pairs."""
+    left = sets.select("set", "n", "tokens", "counts")
+    right = sets.select(F.col("set").alias("pivot"), F.col("tokens").alias("y"), F.col("counts").alias("m"))
+    joined = pairs.join(left, "set").join(right, "pivot").select(
+        "set", "pivot", "tokens", "counts", "y", "m", "last"
+    )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, counts, y, m = (batch.column(k) for k in range(2, 6))
+            made = [
+                difference_entries(*(np.asarray(column[k].values) for column in (x, counts, y, m)), percent)
+                for k in range(batch.num_rows)
+            ]
+            last = batch.column(6).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), batch.column(1), batch.column(6),
+                    pa.array([int((np.asarray(counts[k].values) == 1).sum()) for k in range(batch.num_rows)], pa.int64()),
+                    pa.array([linked for linked, _ in made], pa.bool_()),
+                    _lists([apart[:0] if final else apart for (_, apart), final in zip(made, last)]),
+                ],
+                names=["set", "pivot", "last", "alone", "linked", "apart"],
+            )
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    left = sets.select(F.col("set").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("set").alias("b"), F.col("tokens").alias("y"))
-    joined = pairs.join(left, "a").join(right, "b")
-    joined = joined.withColumn("both", F.size(F.array_intersect("x", "y")))
-    union = F.size("x") + F.size("y") - F.col("both")
-    return joined.where(100 * F.col("both") >= percent * union).select("a", "b")
+    schema = "set bigint, pivot bigint, last boolean, alone bigint, linked boolean, apart array<bigint>"
+    return map_texts(joined, run, schema)
 
 
 def _candidates(docs: DataFrame, members: DataFrame, tables: Tables, size: int, percent: int) -> DataFrame:
@@ -169,9 +264,8 @@ def _candidates(docs: DataFrame, members: DataFrame, tables: Tables, size: int,
     return found
 
 
-def linked_sets(sets: DataFrame, tables: Tables, percent: int, frequent: int, long: int) -> DataFrame | None:
-    """node and root of every set that links with another one; null without links."""
-    spark = sets.sparkSession
+def linked_sets(sets: DataFrame, tables: Tables, percent: int, frequent: int, long: int) -> DataFrame:
+    """node and root of every set that links with another one."""
     tokens = sets.select("set", "n", F.explode("tokens").alias("token"))
     counts = tables.store(
         tokens.groupBy("token").agg(F.count(F.lit(1)).alias("count")).where("count > 1"), "token-counts"
@@ -180,52 +274,76 @@ def linked_sets(sets: DataFrame, tables: Tables, percent: int, frequent: int, lo
         "set", "n", F.struct(F.coalesce("count", F.lit(1)).alias("count"), "token").alias("t")
     )
     ranked = ranked.groupBy("set", "n").agg(F.sort_array(F.collect_list("t")).alias("t"))
-    head = F.slice("t", 1, F.greatest(F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100) + 2).cast("int"))
-    ordered = ranked.select("set", "n", head.alias("t"), F.size("t").alias("size"))
-    ordered = ordered.select(
+    ordered = ranked.select(
         "set", "n", F.transform("t", lambda t: t["token"]).alias("tokens"),
         F.transform("t", lambda t: t["count"]).alias("counts"),
     )
-    index = tables.store(_index(ordered, percent, frequent, long), "index")
+    ordered = tables.store(ordered, "ordered-sets")
     tables.drop(counts)
+    head = F.lit(1), F.greatest(F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100) + 2).cast("int")
+    heads = ordered.select("set", "n", F.slice("tokens", *head).alias("tokens"), F.slice("counts", *head).alias("counts"))
+    index = tables.store(_index(heads, percent, frequent, long).withColumn("linked", F.lit(False)), "index")
 
-    links = tested = None
-    nodes = None
-    pivots = 1
-    entries = index.groupBy("entry").agg(F.count(F.lit(1)).alias("held"), F.min("set").alias("least"))
-    entries = tables.store(entries.where("held > 1"), "entries")
-    open_rows = index.join(entries, "entry").withColumn("root", F.col("set"))
+    links = None
     while True:
-        if pivots == 1:
-            heads = F.col("set") == F.col("least")
-        else:
-            share = F.pmod(F.xxhash64("set", F.lit(pivots)), F.lit(1 << 30)) / float(1 << 30)
-            heads = share * F.col("held") < pivots
-        chosen = open_rows.where(heads).select(
-            "entry", F.col("set").alias("p"), F.col("n").alias("m"), F.col("root").alias("r")
+        held = index.groupBy("entry").agg(
+            F.count(F.lit(1)).alias("held"), F.min(F.struct("alone", "set")).alias("first"),
+            F.bool_and("linked").alias("linked"),
         )
-        pairs = open_rows.join(chosen, "entry").where(
-            (F.col("root") != F.col("r")) & (F.col("set") != F.col("p")) & _similar(F.col("n"), F.col("m"), percent)
+        # Sets that all link with the pivot of their entry are one component already.
+        held = held.where("held > 1 AND NOT linked").select("entry", "held", F.col("first.set").alias("pivot"))
+        held = tables.store(held, "open-entries")
+        few, many = F.col("held") <= FEW, F.col("held") > FEW
+        rows = index.select("entry", "set", "linked")
+        small = rows.join(held.where(few).select("entry"), "entry")
+        other = small.select("entry", F.col("set").alias("pivot"), F.col("linked").alias("known"))
+        inside = small.join(other, "entry").where("set > pivot AND NOT (linked AND known)")
+        to_pivot = rows.join(held.where(many).select("entry", "pivot"), "entry").where("set != pivot")
+        pairs = inside.select("set", "pivot", F.lit(True).alias("last")).union(
+            to_pivot.select("set", "pivot", F.lit(False).alias("last"))
         )
-        pairs = pairs.select(F.least("set", "p").alias("a"), F.greatest("set", "p").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = tables.store(pairs, "pairs")
-        found = tables.store(_verified(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        tested = pairs if tested is None else tested.union(pairs)
-        if found.limit(1).count() or nodes is None:
-            nodes = components(links, tables)
-        named = index.join(entries.where(F.col("held") > 2 * pivots if pivots == 1 else F.col("held") > pivots), "entry")
-        named = named.join(nodes, F.col("set") == F.col("node"), "left").withColumn(
-            "at", F.coalesce("root", "set")
-        ).select("entry", "held", "least", "set", "n", F.col("at").alias("root"))
-        mixed = named.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        mixed = mixed.where("lo != hi").select("entry")
-        open_rows = tables.store(named.join(mixed, "entry", "left_semi"), "open-entries")
-        if not open_rows.limit(1).count():
-            return nodes
-        pivots *= 4
+        pairs = pairs.groupBy("set", "pivot").agg(F.bool_and("last").alias("last"))
+        found = tables.store(_compared(pairs, ordered, percent), "compared")
+        links = _pairs_of(found) if links is None else links.union(_pairs_of(found))
+        tables.drop(index, held)
+        if not found.where("NOT last").limit(1).count():
+            return components(links, tables)
+        index = found.where("NOT last").select("pivot", "set", "alone", "linked", F.explode("apart").alias("token"))
+        index = index.select(F.xxhash64("pivot", "token").alias("entry"), "set", "alone", "linked").distinct()
+        index = tables.store(index, "index")
+        # Only sets of open entries are looked at again.
+        left = tables.store(ordered.join(index.select("set").distinct(), "set", "left_semi"), "ordered-sets")
+        tables.drop(ordered)
+        ordered = left
+
+
+def _pairs_of(found: DataFrame) -> DataFrame:
+    return found.where("linked").select(F.col("set").alias("a"), F.col("pivot").alias("b"))
+
+
+def _placed_rows(
+    docs: DataFrame, size: int, percent: int, id: str, text: str, frequent: int, long: int
+) -> DataFrame:
+    """doc_id, mark (hash of the text), n and component_id of every row."""
+    tables = Tables(docs.sparkSession)
+    rows = docs.select(
+        docs[id].cast("bigint").alias("doc_id"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("mark")
+    )
+    members = tables.store(_sets(rows, size, percent), "members")
+    known = members.where("doc_id IS NOT NULL")
+    sets = _candidates(rows, known, tables, size, percent)
+    nodes = linked_sets(sets, tables, percent, frequent, long)
+    least = known.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("least"))
+    placed = least.join(nodes, F.col("set") == F.col("node"), "left").withColumn(
+        "at", F.coalesce("root", "set")
+    )
+    placed = tables.store(placed.select("set", "at", "least"), "placed-sets")
+    lowest = placed.groupBy("at").agg(F.min("least").alias("component_id"))
+    named = placed.join(lowest, "at").select("set", "component_id")
+    component = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
+    return members.select("doc_id", "mark", "set", "n").join(named, "set", "left").select(
+        "doc_id", "mark", "n", component.alias("component_id")
+    )
 
 
 def near_duplicates(
@@ -240,20 +358,27 @@ def near_duplicates(
     Repeated rows have equal results; rows of one id with other texts link each by its own
     text. An empty table gives an empty result. Other columns are not read.
     """
+    placed = _placed_rows(docs, size, percent, id, text, frequent, long)
+    return placed.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(
+    docs: DataFrame, size: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text",
+    frequent: int = FREQUENT, long: int = LONG,
+) -> DataFrame:
+    """The rows of `docs`, all columns as they are, but of each component only one: that
+    of the smallest id. Rows with a null id stay, and so does one row of every id whose
+    text has no word."""
     tables = Tables(docs.sparkSession)
-    rows = docs.select(docs[id].cast("bigint").alias("doc_id"), docs[text].alias("text"))
-    members = tables.store(_sets(rows, size, percent), "members")
-    known = members.where("doc_id IS NOT NULL")
-    sets = _candidates(rows, known, tables, size, percent)
-    nodes = linked_sets(sets, tables, percent, frequent, long)
-    least = known.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("least"))
-    placed = least.join(nodes, F.col("set") == F.col("node"), "left").withColumn(
-        "at", F.coalesce("root", "set")
-    )
-    placed = tables.store(placed.select("set", "at", "least"), "placed-sets")
-    lowest = placed.groupBy("at").agg(F.min("least").alias("component_id"))
-    named = placed.join(lowest, "at").select("set", "component_id")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return members.select("doc_id", "set", "n").join(named, "set", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
+    placed = _placed_rows(docs, size, percent, id, text, frequent, long)
+    kept = placed.where("doc_id IS NOT NULL").groupBy("component_id", F.col("n") == 0).agg(
+        F.min(F.struct("doc_id", "mark")).alias("kept")
     )
+    kept = tables.store(kept.select(F.col("kept.doc_id").alias("__id"), F.col("kept.mark").alias("__mark")), "kept")
+    columns = [docs[c] for c in docs.columns]
+    own, mark = docs[id].cast("bigint"), F.xxhash64(docs[text])
+    marked = docs.select(*columns, own.alias("__own"), mark.alias("__text"))
+    stay = marked.where("__own IS NOT NULL").join(
+        kept.distinct(), (F.col("__own") == F.col("__id")) & (F.col("__text") == F.col("__mark")), "left_semi"
+    ).dropDuplicates(["__own", "__text"])
+    return stay.union(marked.where("__own IS NULL")).drop("__own", "__text")

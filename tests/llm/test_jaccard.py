@@ -95,3 +95,34 @@ def test_entries_of_linked_sets_meet():
 
 def test_empty_table(docs_of):
     assert jaccard.near_duplicates(docs_of([(1, "a")]).where("doc_id > 5")).collect() == []
+
+
+def test_difference_entries_of_linked_sets_meet():
+    rng = random.Random(12)
+    tested = 0
+    for _ in range(6000):
+        percent = rng.choice([70, 80, 90])
+        size = rng.randint(5, 60)
+        counts = {t: rng.choice([1, 2, 3, 20, 30]) for t in range(200)}
+        pivot = set(rng.sample(range(200), size))
+
+        def edited(base, n):
+            base = set(base)
+            for _ in range(n):
+                base -= set(rng.sample(sorted(base), min(len(base) - 1, rng.randint(0, 3))))
+                base |= set(rng.sample(range(200), rng.randint(0, 3)))
+            return base
+
+        x = edited(pivot, rng.randint(0, 4))
+        z = edited(x, rng.randint(0, 2))
+        for t in x & z:
+            counts[t] = max(2, counts[t])
+        linked = lambda a, b: 100 * len(a & b) >= percent * len(a | b)
+        if x == z or pivot in (x, z) or not linked(x, z) or (linked(x, pivot) and linked(z, pivot)):
+            continue
+        tested += 1
+        arrays = {k: (np.array(sorted(s)), np.array([counts[t] for t in sorted(s)])) for k, s in (("x", x), ("z", z), ("p", pivot))}
+        made = {k: jaccard.difference_entries(*arrays[k], *arrays["p"], percent) for k in "xz"}
+        assert made["x"][0] == linked(x, pivot)
+        assert set(made["x"][1].tolist()) & set(made["z"][1].tolist())
+    assert tested > 300
