@@ -14,8 +14,9 @@ offsets. All strings around one anchor are a segment of the text.
    Burrows-Wheeler order of the round) and the common prefixes of neighbours. Neighbours
    with LENGTH bytes in common hold equal strings, and the smallest id decides.
 
-Everything that travels is packed: a row for each batch of texts and bucket. Work and
-memory of a bucket follow BUCKET_BYTES, and the number of buckets follows the input.
+Everything that travels is packed: a row for each batch of texts and bucket, and on the
+way back for each bucket and group of documents. Work and memory of a bucket or group
+follow BUCKET_BYTES, and their number follows the input.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from sparrowscope.llm.common import Tables, map_texts, mix64, utf8
@@ -176,31 +178,64 @@ def _shared_prints(rows: DataFrame, buckets: int) -> DataFrame:
             known = np.unique(np.concatenate(ids))
             owner = np.concatenate([np.searchsorted(known, i)[d] for i, d in zip(ids, docs)])
             every = np.concatenate(prints)
-            key = np.unique((every.astype(np.uint64) << np.uint64(32)) | owner.astype(np.uint64))
-            key >>= np.uint64(32)
-            shared = np.unique(key[1:][key[1:] == key[:-1]]).astype(np.uint32)
+            key = (every.astype(np.uint64) << np.uint64(32)) | owner.astype(np.uint64)
+            key.sort()
+            key = key[np.concatenate([[True], key[1:] != key[:-1]])] >> np.uint64(32)
+            shared = key[1:][key[1:] == key[:-1]].astype(np.uint32)
+            shared = shared[np.concatenate([[True], shared[1:] != shared[:-1]])] if len(shared) else shared
             del key, every, owner
+            found = []
             for r, i, d, p in zip(held, ids, docs, prints):
                 at = np.searchsorted(shared, p)
                 kept = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == p) if len(shared) else at[:0]
-                if not len(kept):
-                    continue
-                d, p = d[kept], p[kept]
-                order = np.argsort(d, kind="stable")
-                d, p = d[order], p[order]
-                edges = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1], [True]]))
-                marks = np.frombuffer(r[2], np.int64)
-                yield pa.record_batch(
-                    [
-                        pa.array(i[d[edges[:-1]]], pa.int64()),
-                        pa.array(marks[d[edges[:-1]]], pa.int64()),
-                        pa.array([p[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary()),
-                    ],
-                    names=["id", "mark", "prints"],
-                )
+                made = np.zeros(len(kept), _PRINT)
+                made["id"], made["mark"] = i[d[kept]], np.frombuffer(r[2], np.int64)[d[kept]]
+                made["print"] = p[kept]
+                found.append(made)
+            yield _group_rows(np.concatenate(found), buckets)
 
     dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return map_texts(dealt, run, "id bigint, mark bigint, prints binary")
+    return map_texts(dealt, run, "group bigint, packed binary")
+
+
+# What goes back to documents: a shared fingerprint, or a range of bytes to remove.
+_PRINT = np.dtype([("id", "<i8"), ("mark", "<i8"), ("print", "<u4")])
+_RANGE = np.dtype([("id", "<i8"), ("mark", "<i8"), ("begin", "<i8"), ("end", "<i8")])
+
+
+def _group_rows(table: np.ndarray, groups: int) -> pa.RecordBatch:
+    """A packed row for each group of documents."""
+    group = np.mod(table["id"] ^ table["mark"], groups)
+    order = np.lexsort((table["mark"], table["id"], group))
+    edges = np.searchsorted(group[order], np.arange(groups + 1))
+    packer = zstandard.ZstdCompressor(level=3)
+    rows = [
+        (g, packer.compress(table[order[edges[g] : edges[g + 1]]].tobytes()))
+        for g in range(groups)
+        if edges[g] < edges[g + 1]
+    ]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
+        names=["group", "packed"],
+    )
+
+
+def _of_documents(packed: pa.Table, kind: np.dtype) -> dict[tuple[int, int], np.ndarray]:
+    """The unpacked rows of a group by document."""
+    unpacker = zstandard.ZstdDecompressor()
+    blobs = [unpacker.decompress(blob) for blob in packed.column("packed").to_pylist()]
+    table = np.concatenate([np.zeros(0, kind), *(np.frombuffer(blob, kind) for blob in blobs)])
+    table = table[np.lexsort((table["mark"], table["id"]))]
+    new = np.ones(len(table) + 1, bool)
+    new[1:-1] = (table["id"][1:] != table["id"][:-1]) | (table["mark"][1:] != table["mark"][:-1])
+    edges = np.flatnonzero(new)
+    return {
+        (int(table["id"][a]), int(table["mark"][a])): table[a:b] for a, b in zip(edges[:-1], edges[1:]) if a < b
+    }
+
+
+def _group(groups: int):
+    return F.pmod(F.col("id").bitwiseXOR(F.col("mark")), F.lit(groups)).alias("group")
 
 
 # A segment that travels: id, mark, offset of the anchor in the text, columns before the
@@ -210,16 +245,25 @@ _SEGMENT = np.dtype(
 )
 
 
-def _segment_rows(rows: DataFrame, buckets: int) -> DataFrame:
-    """Step 2: rows of documents with what is decided (ranges of removed bytes), and rows
-    of buckets with the segments still to sort."""
+def _segment_rows(docs: DataFrame, prints: DataFrame, buckets: int) -> DataFrame:
+    """Step 2: rows of buckets with the segments still to sort, their bytes compressed, and
+    rows with what is decided (ranges of removed bytes), without bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            shared = [np.unique(np.frombuffer(b"".join(p), np.uint32)) for p in batch.column(3).to_pylist()]
-            for pieces in pieces_of(batch.column(2).to_pylist()):
-                yield from _of_pieces(pieces, ids, marks, shared)
+    def run(texts: pa.Table, packed: pa.Table) -> pa.Table:
+        shared = _of_documents(packed, _PRINT)
+        ids, marks = texts.column("id").to_numpy(), texts.column("mark").to_numpy()
+        rows = [k for k, key in enumerate(zip(ids.tolist(), marks.tolist())) if key in shared]
+        made = []
+        for at in range(0, len(rows), 256):
+            part = rows[at : at + 256]
+            kept = [np.unique(shared[int(ids[k]), int(marks[k])]["print"]) for k in part]
+            values = texts.column("text").take(pa.array(part)).to_pylist()
+            for pieces in pieces_of(values):
+                made.extend(_of_pieces(pieces, ids[part], marks[part], kept))
+        kinds = (pa.int32(), pa.binary(), pa.binary())
+        return pa.Table.from_arrays(
+            [pa.array([r[k] for r in made], kind) for k, kind in enumerate(kinds)], names=["bucket", "packed", "bytes"]
+        )
 
     def _of_pieces(pieces, ids, marks, shared):
         piece, first, strings, anchor, hashes = anchors_of(pieces)
@@ -246,19 +290,18 @@ def _segment_rows(rows: DataFrame, buckets: int) -> DataFrame:
         bucket = _bucket(hashes[kept][sent], buckets)
         order = np.argsort(bucket, kind="stable")
         at = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        made = []
+        packer = zstandard.ZstdCompressor(level=3)
         for b in range(buckets):
             part = sent[order[at[b] : at[b + 1]]]
             if len(part):
-                made.append((b, None, None, table[part].tobytes(), b"".join([content[k] for k in part.tolist()])))
-        made.extend((None, *row, None) for row in packed_ranges(table[decided], None))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in made], kind) for k, kind in enumerate(
-                (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
-            names=["bucket", "id", "mark", "packed", "bytes"],
-        )
+                packed = packer.compress(b"".join([content[k] for k in part.tolist()]))
+                yield b, table[part].tobytes(), packed
+        if len(decided):
+            ranges = removed_ranges(table[decided], None)
+            yield int(ranges["id"][0] % buckets), packer.compress(ranges.tobytes()), None
 
-    return map_texts(rows, run, "bucket int, id bigint, mark bigint, packed binary, bytes binary")
+    left = docs.select("id", "mark", "text", _group(buckets)).groupBy("group")
+    return left.cogroup(prints.groupBy("group")).applyInArrow(run, "bucket int, packed binary, bytes binary")
 
 
 def split_equal(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -272,26 +315,23 @@ def split_equal(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[ids == least], order[ids != least]
 
 
-def packed_ranges(table: np.ndarray, strings: np.ndarray | None) -> list[tuple[int, int, bytes]]:
-    """(id, mark, packed ranges) per document. Ranges are the bytes under the marked
-    strings: all of a segment, or those of `strings` (a column per string)."""
+def removed_ranges(table: np.ndarray, strings: np.ndarray | None) -> np.ndarray:
+    """Ranges of the bytes under the marked strings: all of a segment, or those of
+    `strings` (a column per offset of the anchor), runs of neighbours as one."""
     if strings is None:
+        row = np.arange(len(table))
         begin = table["anchor"] - table["before"]
         end = begin + table["strings"] + (LENGTH - 1)
     else:
-        row, column = np.nonzero(strings)
-        table, begin = table[row], table["anchor"][row] + column - (OFFSETS - 1)
-        end = begin + LENGTH
-    if not len(table):
-        return []
-    order = np.lexsort((begin, table["mark"], table["id"]))
-    ids, marks, begin, end = table["id"][order], table["mark"][order], begin[order], end[order]
-    cut = np.ones(len(ids) + 1, bool)
-    cut[1:-1] = (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])
-    out = []
-    edges = np.flatnonzero(cut)
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        out.append((int(ids[a]), int(marks[a]), np.stack([begin[a:b], end[a:b]], 1).astype("<i8").tobytes()))
+        wide = np.zeros((len(table), OFFSETS + 2), np.int8)
+        wide[:, 1:-1] = strings
+        step = np.diff(wide, axis=1)
+        row, first = np.nonzero(step == 1)
+        last = np.nonzero(step == -1)[1]
+        begin = table["anchor"][row] + first - (OFFSETS - 1)
+        end = begin + (last - first) + (LENGTH - 1)
+    out = np.zeros(len(row), _RANGE)
+    out["id"], out["mark"], out["begin"], out["end"] = table["id"][row], table["mark"][row], begin, end
     return out
 
 
@@ -375,57 +415,51 @@ def _sorted_buckets(rows: DataFrame, buckets: int) -> DataFrame:
     """Step 3: ranges of removed bytes per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for held in _by_bucket(batches):
-            table = np.concatenate([np.frombuffer(r[1], _SEGMENT) for r in held])
-            content = b"".join([r[2] for r in held])
-            held.clear()
-            sizes = table["strings"].astype(np.int64) + (LENGTH - 1)
-            starts = np.cumsum(sizes) - sizes
-            kept, decided = split_equal(table)
-            made = packed_ranges(table[decided], None)
-            content = b"".join(
-                [content[a : a + s] for a, s in zip(starts[kept].tolist(), sizes[kept].tolist())]
-            )
-            table = table[kept]
-            made += packed_ranges(table, marked_strings(table, content))
-            for at in range(0, len(made), 4096):
-                part = made[at : at + 4096]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[k] for r in part], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))],
-                    names=["id", "mark", "packed"],
+            made = [np.frombuffer(unpacker.decompress(r[1]), _RANGE) for r in held if r[2] is None]
+            held = [r for r in held if r[2] is not None]
+            if held:
+                table = np.concatenate([np.frombuffer(r[1], _SEGMENT) for r in held])
+                content = b"".join([unpacker.decompress(r[2]) for r in held])
+                held.clear()
+                sizes = table["strings"].astype(np.int64) + (LENGTH - 1)
+                starts = np.cumsum(sizes) - sizes
+                kept, decided = split_equal(table)
+                made.append(removed_ranges(table[decided], None))
+                content = b"".join(
+                    [content[a : a + s] for a, s in zip(starts[kept].tolist(), sizes[kept].tolist())]
                 )
+                table = table[kept]
+                made.append(removed_ranges(table, marked_strings(table, content)))
+            yield _group_rows(np.concatenate(made), buckets)
 
     dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return map_texts(dealt, run, "id bigint, mark bigint, packed binary")
+    return map_texts(dealt, run, "group bigint, packed binary")
 
 
-def repeated_ranges(docs: DataFrame, tables: Tables, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """id, mark and packed ranges to remove, several rows a document, for the rows
-    (id, mark, text) of `docs`."""
+def repeated_ranges(docs: DataFrame, tables: Tables, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
+    """For the rows (id, mark, text) of `docs`: packed ranges to remove by group of
+    documents, as a written table, and the number of groups."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
     anchors = _anchor_rows(docs, buckets)
     shared = tables.store(_shared_prints(anchors, buckets), "shared-anchors")
-    prints = shared.groupBy("id", "mark").agg(F.collect_list("prints").alias("prints"))
-    segments = docs.join(prints, ["id", "mark"]).select("id", "mark", "text", "prints")
-    segments = tables.store(_segment_rows(segments, buckets), "segments")
+    ranges = tables.store(_sorted_buckets(_segment_rows(docs, shared, buckets), buckets), "ranges")
     tables.drop(shared)
-    decided = segments.where("bucket IS NULL").select("id", "mark", "packed")
-    open_rows = segments.where("bucket IS NOT NULL").select("bucket", "packed", "bytes")
-    return decided.union(_sorted_buckets(open_rows, buckets))
+    return ranges, buckets
 
 
-def remaining(text: str | None, packed: list[bytes] | None) -> tuple[bytes, int, int]:
+def remaining(text: str | None, ranges: np.ndarray | None) -> tuple[bytes, int, int]:
     """Remaining bytes, removed bytes and maximal removed runs."""
     data = utf8(text)
-    if not packed:
+    if ranges is None:
         return data, 0, 0
-    ranges = np.frombuffer(b"".join(packed), "<i8").reshape(-1, 2)
     depth = np.zeros(len(data) + 1, np.int64)
-    np.add.at(depth, ranges[:, 0], 1)
-    np.add.at(depth, ranges[:, 1], -1)
+    np.add.at(depth, ranges["begin"], 1)
+    np.add.at(depth, ranges["end"], -1)
     gone = np.cumsum(depth)[:-1] > 0
-    runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
+    runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
     return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
 
 
@@ -443,25 +477,23 @@ def remove_substrings(docs: DataFrame, id: str = "doc_id", text: str = "text", b
         docs[id].alias("own"), F.coalesce(docs[id].cast("bigint"), F.lit(_NO_ID)).alias("id"),
         F.xxhash64(docs[text]).alias("mark"), docs[text].alias("text"),
     )
-    distinct = rows.select("id", "mark", "text")
-    ranges = tables.store(repeated_ranges(distinct, tables, bucket_bytes), "ranges")
-    ranges = ranges.groupBy("id", "mark").agg(F.collect_list("packed").alias("packed"))
-    joined = rows.join(ranges, ["id", "mark"], "left").select("own", "text", "packed")
+    ranges, groups = repeated_ranges(rows.select("id", "mark", "text"), tables, bucket_bytes)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [remaining(t, p) for t, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            yield pa.record_batch(
-                [
-                    batch.column(0),
-                    pa.array([len(kept) + gone for kept, gone, _ in made], pa.int64()),
-                    pa.array([gone for _, gone, _ in made], pa.int64()),
-                    pa.array([runs for _, _, runs in made], pa.int64()),
-                    pa.array([hashlib.sha256(kept).hexdigest() for kept, _, _ in made], pa.string()),
-                ],
-                names=["own", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-            )
+    def run(texts: pa.Table, packed: pa.Table) -> pa.Table:
+        gone = _of_documents(packed, _RANGE)
+        made = []
+        for batch in texts.select(["id", "mark", "text"]).to_batches(max_chunksize=256):
+            for i, mark, value in zip(*(column.to_pylist() for column in batch.columns)):
+                kept, removed, runs = remaining(value, gone.get((i, mark)))
+                made.append((len(kept) + removed, removed, runs, hashlib.sha256(kept).hexdigest()))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+        return pa.Table.from_arrays(
+            [texts.column("own"), *[pa.array([m[k] for m in made], kind) for k, kind in enumerate(kinds)]],
+            names=["own", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+        )
 
     kind = rows.schema["own"].dataType.simpleString()
     schema = f"own {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return map_texts(joined, run, schema).withColumnRenamed("own", id)
+    left = rows.select("own", "id", "mark", "text", _group(groups)).groupBy("group")
+    found = left.cogroup(ranges.groupBy("group")).applyInArrow(run, schema)
+    return found.withColumnRenamed("own", id)
