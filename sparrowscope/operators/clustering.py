@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -13,14 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURES
+from ..sources.shared import stored
 
 # Cluster count and seed of the reported clustering.
 CLUSTERS = 3
 SEED = 42
 SWEEP = tuple(range(2, 10))
 
-# Rows of one partition while fitting.
-PARTITION_ROWS = 100_000
+# Partitions while fitting. The first centres are drawn by partition, so the number is
+# part of what decides a clustering; raise it so that a partition fits a task.
+FIT_PARTITIONS = 8
 
 
 def feature_vectors(
@@ -50,10 +51,9 @@ def unpack_vector(df: DataFrame, vector: str, names: Sequence[str] = FEATURES) -
     return df.select(*others, *[values[i].alias(name) for i, name in enumerate(names)])
 
 
-def in_order(df: DataFrame, key: str = "screen_name", rows: int = PARTITION_ROWS) -> DataFrame:
-    """The frame in a layout that only its content decides: partitions of about
-    ``rows`` rows by key, sorted."""
-    partitions = max(1, math.ceil(df.count() / rows))
+def in_order(df: DataFrame, key: str = "screen_name", partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """The frame in a layout that only its content decides: a fixed number of partitions
+    by key, sorted."""
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
@@ -63,36 +63,30 @@ def fit_clusters(
     seed: int | None = SEED,
     *,
     key: str = "screen_name",
+    partitions: int = FIT_PARTITIONS,
 ) -> KMeansModel:
     """Fit on a fixed layout: the choice of first centres goes by partition, so
     only then does the seed decide it."""
     kmeans = KMeans(k=k, featuresCol="scaled_features", predictionCol="cluster")
     if seed is not None:
         kmeans = kmeans.setSeed(seed)
-    return kmeans.fit(in_order(scaled.select(key, "scaled_features"), key))
+    return kmeans.fit(in_order(scaled.select(key, "scaled_features"), key, partitions))
 
 
-def distinct_up_to(scaled: DataFrame, k: int) -> int:
-    """Number of distinct scaled vectors, counted no further than ``k``. A few
-    rows decide it, except where almost all accounts are alike."""
-    vectors = scaled.select("scaled_features")
-    for rows in (vectors.limit(20 * k), vectors):
-        found = rows.distinct().limit(k).count()
-        if found == k:
-            break
-    return found
+def _distinct(scaled: DataFrame, most: int) -> int:
+    """Number of distinct vectors, at most ``most``: k-means cannot give more clusters."""
+    return scaled.select("scaled_features").distinct().limit(most).count()
 
 
-def assign_clusters(scaled: DataFrame, k: int = CLUSTERS, seed: int | None = SEED) -> DataFrame:
-    """Add the k-means cluster of every account. Fewer than ``k`` distinct
-    accounts give one cluster each."""
-    return _assign(scaled, distinct_up_to(scaled, k), seed)
-
-
-def _assign(scaled: DataFrame, k: int, seed: int | None) -> DataFrame:
+def assign_clusters(
+    scaled: DataFrame, k: int = CLUSTERS, seed: int | None = SEED, partitions: int = FIT_PARTITIONS
+) -> DataFrame:
+    """Add the k-means cluster of every account. Fewer than ``k`` distinct accounts give
+    one cluster each."""
+    k = min(k, _distinct(scaled, k))
     if k < 2:
         return scaled.withColumn("cluster", F.lit(0))
-    return fit_clusters(scaled, k, seed).transform(scaled)
+    return fit_clusters(scaled, k, seed, partitions=partitions).transform(scaled)
 
 
 def account_clusters(clustered: DataFrame) -> DataFrame:
@@ -127,12 +121,24 @@ def k_sweep(
     scaled: DataFrame,
     ks: Iterable[int] = SWEEP,
     *,
+    key: str = "screen_name",
     seed: int | None = None,
     distance: str = "squaredEuclidean",
+    partitions: int = FIT_PARTITIONS,
 ) -> DataFrame:
-    """Silhouette for every cluster count. ``scaled`` is read for each, so derive
-    it from stored metrics."""
+    """Clusters found and silhouette for every cluster count; null where there are fewer
+    distinct accounts than that. The vectors are laid out and stored once, and every fit
+    reads that table."""
     ks = list(ks)
-    most = distinct_up_to(scaled, max(ks))
-    scores = [(k, silhouette(_assign(scaled, min(k, most), seed), distance)) for k in ks]
-    return scaled.sparkSession.createDataFrame(scores, "k int, silhouette double")
+    laid = stored(in_order(scaled.select(key, "scaled_features"), key, partitions))
+    most, scores = _distinct(laid, max(ks)), []
+    for k in ks:
+        if k > most or k < 2:
+            scores.append((k, None, None))
+            continue
+        model = KMeans(k=k, featuresCol="scaled_features", predictionCol="cluster")
+        fitted = (model if seed is None else model.setSeed(seed)).fit(laid)
+        clustered = fitted.transform(laid)
+        found = clustered.select("cluster").distinct().count()
+        scores.append((k, found, silhouette(clustered, distance) if found > 1 else None))
+    return scaled.sparkSession.createDataFrame(scores, "k int, clusters int, silhouette double")

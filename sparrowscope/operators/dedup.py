@@ -41,12 +41,18 @@ def conversation_key(
     )
 
 
-def _as_posts(records: DataFrame, thread_posts: str) -> DataFrame:
+# Place of a post in its record.
+PLACE = "post_place"
+
+
+def _as_posts(records: DataFrame, thread_posts: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per post: the posts of threads, and single posts as they are."""
     element = records.schema[thread_posts].dataType.elementType
     single = F.array(F.struct(*[F.col(f"`{name}`") for name in element.names]))
     posts = F.when(F.col(thread_posts).isNotNull(), F.col(thread_posts)).otherwise(single)
-    return records.select(F.explode(posts).alias("post")).select("post.*")
+    if not keep:
+        return records.select(F.explode(posts).alias("post")).select("post.*")
+    return records.select(*keep, F.posexplode(posts).alias(PLACE, "post")).select(*keep, PLACE, "post.*")
 
 
 def dedup_conversations(
@@ -56,15 +62,20 @@ def dedup_conversations(
     thread_ids: str = THREAD_IDS,
     thread_posts: str = THREAD_POSTS,
     conversation: str = CONVERSATION_PATH,
+    keep_order: bool = False,
 ) -> DataFrame:
     """Keep the first record of every conversation and flatten it to posts.
 
     Threads and single posts compete under one key, so of a conversation either
     the earliest single post or the earliest thread survives. Posts inside a
-    kept thread are not compared with each other.
+    kept thread are not compared with each other. Records without a key compete
+    with none and all stay. ``keep_order`` keeps the order columns and adds the
+    place of a post in its record.
     """
     key = conversation_key(thread_ids, thread_posts, conversation)
-    return _as_posts(first_per_key(records, key, order_by), thread_posts)
+    kept = first_per_key(records.filter(key.isNotNull()), key, order_by)
+    kept = kept.unionByName(records.filter(key.isNull()))
+    return _as_posts(kept, thread_posts, list(order_by) if keep_order else ())
 
 
 def flatten_threads(records: DataFrame, *, thread_posts: str = THREAD_POSTS) -> DataFrame:
@@ -80,15 +91,17 @@ def dedup_audit(
     thread_posts: str = THREAD_POSTS,
     conversation: str = CONVERSATION_PATH,
 ) -> DataFrame:
-    """One row: records before, posts after conversation de-duplication.
+    """One row: records before, posts after conversation de-duplication, records
+    without a key (all of which stay).
 
     Only keys, order columns and thread sizes are shuffled, not the posts.
     """
     key = conversation_key(thread_ids, thread_posts, conversation)
     size = F.when(F.col(thread_posts).isNotNull(), F.size(thread_posts)).otherwise(1)
     narrow = records.select(key.alias("_key"), size.alias("_size"), *order_by)
-    kept = first_per_key(narrow, "_key", order_by)
+    kept = first_per_key(narrow.filter("_key IS NOT NULL"), "_key", order_by).select("_size")
+    kept = kept.union(narrow.filter("_key IS NULL").select("_size"))
     posts_out = kept.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("posts_out"))
-    return records.agg(F.count(F.lit(1)).alias("records_in")).select(
-        "records_in", posts_out.scalar().alias("posts_out")
-    )
+    return narrow.agg(
+        F.count(F.lit(1)).alias("records_in"), F.count_if(F.col("_key").isNull()).alias("without_key")
+    ).select("records_in", posts_out.scalar().alias("posts_out"), "without_key")

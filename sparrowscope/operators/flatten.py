@@ -31,8 +31,10 @@ def flat_users(
     order_by: Sequence[str | Column] | None = None,
     strict: bool = False,
 ) -> DataFrame:
-    """One row per author of a post in the language, from the author's first
-    such post. Null text becomes ``none``; the date becomes epoch seconds."""
+    """One row per author of a post in the language, from the author's first such post in
+    ``order_by``: give the order in which records came in (``dedup_conversations`` with
+    ``keep_order``), as the first profile seen counts. Without it posts go by date and id.
+    Null text becomes ``none``; the date becomes epoch seconds."""
     order = {f"_order{i}": F.col(c) if isinstance(c, str) else c
              for i, c in enumerate(order_by or post_order())}
     keyed = filter_lang(posts, lang, LANG_PATH).withColumns(

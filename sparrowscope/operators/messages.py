@@ -7,12 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from .skew import find_hot_keys, is_hot
-
-# Most records one message carries.
-MESSAGE_RECORDS = 1_000
+# Length of the time slot whose posts of one account make a message.
+SLOT_SECONDS = 86_400
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -31,9 +28,11 @@ def decode_documents(documents: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def bulk_lines(documents: DataFrame, index: str) -> DataFrame:
-    """Bulk-request text: per document an action line and a source line."""
-    action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index")).alias("index")))
+def bulk_lines(documents: DataFrame, index: str, *, with_id: bool = False) -> DataFrame:
+    """Bulk-request text: per document an action line and a source line. With ``with_id``
+    the document's key is its id in the index, so that sending it again replaces it."""
+    target = [F.lit(index).alias("_index")] + ([F.col("key").alias("_id")] if with_id else [])
+    action = F.to_json(F.struct(F.struct(*target).alias("index")))
     return documents.select(F.concat_ws("\n", action, F.col("document")).alias("value"))
 
 
@@ -43,34 +42,26 @@ def account_messages(
     key: str = "screen_name",
     time: str = "created_at",
     tie: str = "id",
-    max_records: int = MESSAGE_RECORDS,
-    hot_keys: Sequence | None = None,
+    slot_seconds: int = SLOT_SECONDS,
 ) -> DataFrame:
-    """Kafka-shaped rows (``key``, ``value``): JSON arrays of an account's posts.
+    """Kafka-shaped rows (``key``, ``part``, ``value``): JSON arrays of an account's posts.
 
-    An account with up to ``max_records`` posts gives one message, a larger one
-    gives as many as it takes, each in order of time. Posts of hot accounts are
-    numbered per input split, so no task holds all posts of one.
+    A message holds the posts of one account in one slot of time (``part``, the number of
+    slots since the epoch; posts without a time share the null part), in order of time. The
+    cut depends on nothing but key and time, so messages are the same for every layout of
+    the input, and a consumer puts an account together by key and part.
     """
-    if hot_keys is None:
-        hot_keys = find_hot_keys(posts, key)
-    numbered = posts.select(
+    post = F.struct(*[F.col(f"`{name}`") for name in posts.columns])
+    slotted = posts.select(
         F.col(key),
-        F.col(time).alias("_time"),
-        F.col(tie).alias("_tie"),
-        F.when(is_hot(key, hot_keys), F.spark_partition_id()).alias("_split"),
-        F.struct(*[F.col(f"`{name}`") for name in posts.columns]).alias("_post"),
-    )
-    part = [key, "_split"] if hot_keys else [key]
-    number = F.row_number().over(Window.partitionBy(*part).orderBy("_time", "_tie"))
-    chunked = numbered.withColumn("_number", number).withColumn(
-        "_chunk", F.floor((F.col("_number") - 1) / max_records)
+        F.floor(F.col(time).cast("long") / slot_seconds).alias("part"),
+        F.struct(F.col(time).alias("_time"), F.col(tie).alias("_tie"), post.alias("_post")).alias("_record"),
     )
-    records = F.sort_array(F.collect_list(F.struct("_number", "_post")))
-    grouped = chunked.groupBy(*part, "_chunk").agg(records.alias("_records"))
+    grouped = slotted.groupBy(key, "part").agg(F.sort_array(F.collect_list("_record")).alias("_records"))
     value = F.to_json(F.col("_records").getField("_post"), JSON_OPTIONS)
     return grouped.select(
         F.col(key).cast("string").cast("binary").alias("key"),
+        "part",
         F.encode(value, "UTF-8").alias("value"),
     )
 
@@ -80,11 +71,48 @@ def decode_value(value: Column, record: T.StructType) -> Column:
     return F.from_json(F.decode(value, "UTF-8"), T.ArrayType(record))
 
 
-def decode_messages(messages: DataFrame, record: T.StructType, *keep: str) -> DataFrame:
-    """One row per record of Kafka-shaped messages, batch or stream."""
-    return messages.select(
-        *keep, F.explode(decode_value(F.col("value"), record)).alias("_record")
-    ).select(*keep, "_record.*")
+CORRUPT = "_corrupt"
+
+
+def _decoded(messages: DataFrame, record: T.StructType, keep: Sequence[str]) -> DataFrame:
+    """Records next to the text of what could not be read: of a record with a field of the
+    wrong kind, or of a message that is no array of records."""
+    text = F.decode(F.col("value"), "UTF-8")
+    items = F.from_json(text, T.ArrayType(T.StringType()))
+    listed = messages.select(*keep, text.alias("_text"), items.alias("_items"))
+    rows = listed.select(*keep, "_text", F.col("_items").isNull().alias("_bad"), F.explode_outer("_items").alias("_item"))
+    parsed = F.from_json("_item", T.StructType([*record.fields, T.StructField(CORRUPT, T.StringType())]), {"columnNameOfCorruptRecord": CORRUPT})
+    rows = rows.select(*keep, "_text", "_bad", "_item", parsed.alias("_record"))
+    broken = F.when(F.col("_bad"), F.coalesce("_text", F.lit(""))).otherwise(F.col(f"_record.{CORRUPT}"))
+    return rows.filter(F.col("_bad") | F.col("_item").isNotNull()).select(
+        *keep, *[F.col(f"_record.`{name}`") for name in record.names if name != CORRUPT], broken.alias(CORRUPT)
+    )
+
+
+def decode_messages(
+    messages: DataFrame, record: T.StructType, *keep: str, on_error: str = "fail"
+) -> DataFrame:
+    """One row per record of Kafka-shaped messages, batch or stream.
+
+    A message that is no JSON array, or a record with a field of the wrong kind, fails the
+    query; with ``on_error="mark"`` it is a row of its own with its text in ``_corrupt``
+    (null for good records), which ``reject_messages`` picks out.
+    """
+    record = T.StructType(list(record.fields))
+    rows = _decoded(messages, record, keep)
+    if on_error == "mark":
+        return rows
+    if on_error != "fail":
+        raise ValueError(f"on_error is fail or mark, not {on_error}")
+    failure = F.raise_error(F.concat(F.lit("unreadable message: "), F.col(CORRUPT)))
+    checked = F.when(F.col(CORRUPT).isNotNull(), failure.cast("boolean")).otherwise(F.lit(True))
+    return rows.filter(checked).drop(CORRUPT)
+
+
+def reject_messages(messages: DataFrame, record: T.StructType, *keep: str) -> DataFrame:
+    """What ``decode_messages`` cannot read: a row per broken message or record."""
+    marked = decode_messages(messages, record, *keep, on_error="mark")
+    return marked.filter(F.col(CORRUPT).isNotNull()).select(*keep, CORRUPT)
 
 
 def json_roundtrip(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

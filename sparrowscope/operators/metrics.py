@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ACCOUNT_MEANS, POST_TOTALS, USER_DOCUMENT
 from .columns import prefix_columns
-from .skew import within_rows
-
-# Most accounts that are broadcast; their columns take some tens of megabytes.
-BROADCAST_ROWS = 100_000
+from .dedup import first_per_key
 
 
 def account_columns(accounts: DataFrame) -> DataFrame:
@@ -18,22 +17,27 @@ def account_columns(accounts: DataFrame) -> DataFrame:
     return prefix_columns(accounts, USER_DOCUMENT)
 
 
+def one_version(
+    accounts: DataFrame, key: str = "user_screen_name", order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per account: the first in the given order, by default that of all columns.
+    Accounts that were crawled more than once would multiply their posts otherwise."""
+    order = order_by or [name for name in accounts.columns if name != key]
+    return first_per_key(accounts, key, [F.col(f"`{name}`") for name in order])
+
+
 def join_posts_accounts(
     posts: DataFrame,
     accounts: DataFrame,
     *,
     key: str = "screen_name",
     account_key: str = "user_screen_name",
-    broadcast_rows: int = BROADCAST_ROWS,
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Posts of the given (prefixed) accounts, with the account columns.
-
-    A segment of up to ``broadcast_rows`` accounts goes to the posts. A larger
-    one is sort-merged, where adaptive execution splits the posts of a hot
-    account.
-    """
-    if within_rows(accounts, broadcast_rows):
-        accounts = F.broadcast(accounts)
+    """Posts of the given (prefixed) accounts, with the columns of the account's first
+    version. Whether the accounts are broadcast is left to their measured size; in a
+    sort-merge join adaptive execution splits the posts of a hot account."""
+    accounts = one_version(accounts, account_key, order_by)
     matched = posts.join(accounts, posts[key] == accounts[account_key], "inner")
     return matched.drop(account_key)
 
@@ -44,25 +48,19 @@ def account_metrics(
     *,
     key: str = "screen_name",
     account_key: str = "user_screen_name",
-    broadcast_rows: int = BROADCAST_ROWS,
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per account with posts: post count, six totals, nine means.
+    """One row per account with posts: post count, six totals, nine account values.
 
-    Posts are summed per account before the join, so what is shuffled is one
-    partial row per account and map task, however many posts an account has.
-    Posts of other accounts are left out first if the segment is small enough to
-    be sent to them. The means are over the account's own rows; every one of its
-    posts would carry the same values.
+    Posts are summed per account before the join, so what is shuffled is one partial row
+    per account and map task, however many posts an account has. Every post of an account
+    carries the values of its first version, so their mean is that value.
     """
-    small = within_rows(accounts, broadcast_rows)
-    if small:
-        wanted = accounts.select(F.col(account_key).alias(key))
-        posts = posts.join(F.broadcast(wanted), key, "left_semi")
     totals = posts.groupBy(key).agg(
         F.count("id").alias("tweet_count"),
         *[F.sum(name).alias(f"total_{name}") for name in POST_TOTALS],
     )
-    means = accounts.groupBy(account_key).agg(*[F.avg(n).alias(n) for n in ACCOUNT_MEANS])
-    if small:
-        means = F.broadcast(means)
-    return totals.join(means, totals[key] == means[account_key], "inner").drop(account_key)
+    values = one_version(accounts, account_key, order_by).select(
+        account_key, *[F.col(n).cast("double").alias(n) for n in ACCOUNT_MEANS]
+    )
+    return totals.join(values, totals[key] == values[account_key], "inner").drop(account_key)

@@ -45,8 +45,8 @@ def engagement_search(
         for word in dict.fromkeys(keywords)
     ]
     lowered = popular.withColumn("_lowered", F.lower(F.col(text)))
-    matched = lowered.select(F.explode(F.array(*hits)).alias("keyword"), "*").drop("_lowered")
-    return matched.filter(F.col("keyword").isNotNull())
+    found = F.array_compact(F.array(*hits))
+    return lowered.select(F.explode(found).alias("keyword"), "*").drop("_lowered")
 
 
 def top_posts_per_keyword(

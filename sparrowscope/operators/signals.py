@@ -10,7 +10,6 @@ from pyspark.sql.window import Window
 
 from ..functions import epoch_to_timestamp, safe_ratio, sentinel_to_number
 from ..schemas import POST_DOCUMENT, UNSCORED_USER_COLUMNS, USER_DOCUMENT
-from .skew import find_hot_keys, is_hot
 
 # Thresholds of the signals.
 REGULAR_GAP_SECONDS = 300
@@ -21,8 +20,8 @@ FRIENDS_LIMIT = 500
 SCORE_QUANTILE = 0.75
 UNLABELLED = "none"
 
-# Account history of a hot account is cut into slots of this many seconds.
-SLOT_SECONDS = 60
+# The history of an account is cut into slots of this many seconds.
+SLOT_SECONDS = 86_400
 
 
 # ---------------------------------------------------------------------------
@@ -36,8 +35,7 @@ def posting_gaps(
     key: str = "screen_name",
     time: str = "created_at",
     tie: str = "id",
-    hot_keys: Sequence | None = None,
-    slot_seconds: int = SLOT_SECONDS,
+    slot_seconds: int | None = SLOT_SECONDS,
 ) -> DataFrame:
     """Add the gap to the account's previous post, the account's mean gap and
     the regularity flag.
@@ -46,19 +44,15 @@ def posting_gaps(
     the gap is less than five minutes from the account mean. ``tie`` orders
     posts of the same second. Posts without an account have a gap but no mean.
 
-    Accounts that fit one task need one exchange: both windows share it and its
-    sort. Accounts too large for a task (``hot_keys``, looked up if not given)
-    are cut into time slots, so that no task holds a whole hot account.
+    The history of every account is cut into time slots, so that no task holds a
+    whole account however large it is. ``slot_seconds=None`` takes accounts whole,
+    which needs one exchange instead of three (two of them narrow) where no
+    account is too large for a task. Rows are the same for every choice.
     """
-    if hot_keys is None:
-        hot_keys = find_hot_keys(posts, key)
-    if not hot_keys:
+    if slot_seconds is None:
         gaps = _gaps_by_account(posts, key, time, tie)
     else:
-        hot = is_hot(key, hot_keys)
-        gaps = _gaps_by_account(posts.filter(~hot), key, time, tie).unionByName(
-            _gaps_by_slot(posts.filter(hot), key, time, tie, slot_seconds)
-        )
+        gaps = _gaps_by_slot(posts, key, time, tie, slot_seconds)
     seconds = F.col("time_diff").cast("double")
     mean_seconds = F.col("average_time_diff").cast("double")
     return gaps.select(
@@ -80,56 +74,34 @@ def _gaps_by_account(posts: DataFrame, key: str, time: str, tie: str) -> DataFra
 def _gaps_by_slot(
     posts: DataFrame, key: str, time: str, tie: str, slot_seconds: int
 ) -> DataFrame:
-    """Same rows as ``_gaps_by_account`` with the history of an account spread
-    over many tasks, also where many posts share a second.
-
-    A post that is not the first of its second has gap 0. Such posts are found
-    per input split and stay spread by split. The others meet per (account,
-    slot), where their gap can cross a slot border only at the first post of the
-    slot. The last time of every slot, moved to the account's next slot, is
-    therefore added there as a carry row, and the window finds it like any other
-    previous post.
-    """
+    """Same rows as ``_gaps_by_account``, from one narrow row per account and slot: its
+    first and last time and its posts. They give the last time before every slot, and, as
+    the gaps of an account add up to its time span, the mean gap. Posts meet them by
+    account and slot, where the window that finds the previous post runs as well."""
     seconds = F.col(time).cast("long")
-    slotted = posts.select(
-        "*",
-        F.floor(seconds / slot_seconds).alias("_slot"),
-        F.spark_partition_id().alias("_split"),
-        F.lit(0).alias("_carry"),
+    slot = F.floor(seconds / slot_seconds)
+    cells = posts.groupBy(F.col(key).alias("_key"), slot.alias("_cell")).agg(
+        F.min(seconds).alias("_low"), F.max(seconds).alias("_last"), F.count(time).alias("_posts")
     )
-    same_second = Window.partitionBy(key, time, "_split").orderBy(tie)
-    ranked = slotted.withColumn("_repeat", F.row_number().over(same_second) > 1)
-
-    dated = posts.filter(F.col(time).isNotNull())
-    last = dated.groupBy(key, F.floor(seconds / slot_seconds).alias("_slot")).agg(
-        F.max(time).alias("_last")
+    account = Window.partitionBy("_key")
+    span = F.max("_last").over(account) - F.min("_low").over(account)
+    cells = cells.select(
+        "_key",
+        "_cell",
+        F.lag("_last").over(account.orderBy("_cell")).alias("_before"),
+        F.when(F.col("_key").isNotNull(), F.try_divide(span, F.sum("_posts").over(account) - 1)).alias("average_time_diff"),
     )
-    previous_slot = Window.partitionBy(key).orderBy("_slot")
-    carry = (
-        last.withColumn(time, F.lag("_last").over(previous_slot))
-        .filter(F.col(time).isNotNull())
-        .select(key, "_slot", time, F.lit(1).alias("_carry"), F.lit(False).alias("_repeat"))
+    slotted = posts.withColumn("_slot", slot)
+    joined = slotted.join(
+        cells,
+        F.col(key).eqNullSafe(F.col("_key")) & F.col("_slot").eqNullSafe(F.col("_cell")),
+        "left",
     )
-
-    # Gaps of an account add up to its time span, so the mean needs no window.
-    # One row per hot account, and those are counted: the list is bounded.
-    span = F.max(seconds) - F.min(seconds)
-    means = (
-        dated.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.try_divide(span, F.count(time) - 1).alias("average_time_diff"))
-    )
-
-    spread = F.when(F.col("_repeat") | F.col(time).isNull(), F.col("_split"))
-    cell = Window.partitionBy(key, "_slot", spread).orderBy(F.desc("_carry"), time, tie)
-    gap = seconds - F.lag(seconds).over(cell)
-    repeated = F.col("_repeat") & F.col(time).isNotNull()
-    return (
-        ranked.unionByName(carry, allowMissingColumns=True)
-        .withColumn("time_diff", F.when(repeated, F.lit(0).cast("long")).otherwise(gap))
-        .filter(F.col("_carry") == 0)
-        .join(F.broadcast(means), key, "left")
-        .select(*posts.columns, "time_diff", "average_time_diff")
+    cell = Window.partitionBy(key, "_slot").orderBy(time, tie)
+    previous = F.coalesce(F.lag(seconds).over(cell), F.col("_before"))
+    undated = F.col(time).isNull()
+    return joined.withColumn("time_diff", F.when(~undated, seconds - previous)).select(
+        *posts.columns, "time_diff", "average_time_diff"
     )
 
 

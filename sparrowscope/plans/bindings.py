@@ -14,15 +14,8 @@ RECORD_ORDER = ("conv_id", "phase", "turn")
 RAW_DATE = "EEE MMM dd HH:mm:ss Z yyyy"
 
 
-# Schemas of test tables seen before: reading them again starts no footer job.
-_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    found = read_table(spark, path, schema=_schemas.get(path))
-    _schemas[path] = found.schema
-    return found
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def posts_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:

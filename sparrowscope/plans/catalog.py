@@ -265,31 +265,39 @@ def index_documents_posts(spark, sf_dir):
 
 @query
 def bulk_request_lines(spark, sf_dir):
-    """Bulk-request text written, read by line and taken apart again."""
+    """Bulk-request text written, read by line and taken apart again: a row per line,
+    actions with index and document id, documents with their fields."""
     path = fresh_path(spark, "bulk")
     documents = messages.index_documents(_scored_posts(spark, sf_dir), POST_DOCUMENT, "id")
-    batch.write_lines(messages.bulk_lines(documents, "posts"), path)
-    line = spark.read.text(path).select(
+    batch.write_lines(messages.bulk_lines(documents, "posts", with_id=True), path)
+    return spark.read.text(path).select(
         F.get_json_object("value", "$.index._index").alias("target"),
+        F.get_json_object("value", "$.index._id").alias("target_id"),
+        F.get_json_object("value", "$.id").cast("bigint").alias("id"),
+        F.get_json_object("value", "$.screen_name").alias("screen_name"),
         F.get_json_object("value", "$.views").cast("bigint").alias("views"),
     )
-    return line.agg(
-        F.count("target").alias("actions"),
-        F.count("views").alias("documents"),
-        F.sum("views").alias("total_views"),
-    )
 
 
 @query
 def kafka_messages(spark, sf_dir):
-    """Per account: posts and likes found in its messages."""
+    """Every message: account, part and the posts it carries, in their order."""
     posts = bindings.posts(spark, sf_dir)
     sent = messages.account_messages(posts)
-    return (
-        messages.decode_messages(sent, posts.schema)
-        .groupBy("screen_name")
-        .agg(F.count("id").alias("posts"), F.sum("favorite_count").alias("likes"))
-    )
+    records = messages.decode_value(F.col("value"), posts.schema)
+    ids = F.array_join(F.transform(records, lambda r: r["id"].cast("string")), ",")
+    return sent.select(F.decode("key", "UTF-8").alias("screen_name"), "part", ids.alias("ids"))
+
+
+@query
+def reject_messages(spark, sf_dir):
+    """What is left over of messages of which some are cut off."""
+    posts = bindings.posts(spark, sf_dir)
+    text = F.to_json(F.array(F.struct("id", "screen_name")))
+    cut = F.when(F.col("id") % 10 == 0, F.substring(text, 1, 12)).otherwise(text)
+    sent = posts.select("id", F.encode(cut, "UTF-8").alias("value")).withColumnRenamed("id", "message")
+    record = T.StructType().add("id", "long").add("screen_name", "string")
+    return messages.reject_messages(sent, record, "message").withColumnRenamed(messages.CORRUPT, "rejected")
 
 
 @query
@@ -332,7 +340,7 @@ def fill_null_strings(spark, sf_dir):
 
 @query
 def extract_paths(spark, sf_dir):
-    records = bindings.records(spark, sf_dir).filter(F.col("tweets").isNull())
+    records = bindings.records(spark, sf_dir)
     paths = [
         "original_tweet.conversation_id_str",
         "original_tweet.reply_count",
@@ -351,7 +359,7 @@ def extract_json_paths(spark, sf_dir):
 
 @query
 def optional_field(spark, sf_dir):
-    records = bindings.records(spark, sf_dir).filter(F.col("tweets").isNull())
+    records = bindings.records(spark, sf_dir)
     path = "author.original_user.verified_type"
     return records.select(
         "id",
@@ -375,8 +383,7 @@ def filter_lang(spark, sf_dir):
 
 @query
 def skip_first_rows(spark, sf_dir):
-    first, second = bindings.post_parts(spark, sf_dir)
-    return columns.skip_first_rows(second, "id").select("id", "screen_name", "part")
+    return columns.skip_first_rows(bindings.posts(spark, sf_dir), "id").select("id", "screen_name")
 
 
 @query
@@ -424,18 +431,14 @@ def dedup_audit(spark, sf_dir):
 def flat_posts(spark, sf_dir):
     records = bindings.records(spark, sf_dir)
     posts = dedup.dedup_conversations(records, bindings.RECORD_ORDER)
-    return flatten.flat_posts(posts).select(
-        "id", "screen_name", "hashtags", "lang", "created_at", "reply_count"
-    )
+    return flatten.flat_posts(posts)
 
 
 @query
 def flat_users(spark, sf_dir):
     records = bindings.records(spark, sf_dir)
-    posts = dedup.dedup_conversations(records, bindings.RECORD_ORDER)
-    return flatten.flat_users(posts).select(
-        "screen_name", "verified_type", "location", "created_at", "statuses_count", "media_count"
-    )
+    posts = dedup.dedup_conversations(records, bindings.RECORD_ORDER, keep_order=True)
+    return flatten.flat_users(posts, order_by=[*bindings.RECORD_ORDER, dedup.PLACE])
 
 
 # -- Search ------------------------------------------------------------------
@@ -475,6 +478,28 @@ def account_metrics(spark, sf_dir):
     return _metrics(spark, sf_dir)
 
 
+def _two_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every account twice, the later crawl with more followers."""
+    accounts = metrics.account_columns(_scored(spark, sf_dir))
+    later = accounts.withColumn("user_followers_count", F.col("user_followers_count") + 1000)
+    return accounts.withColumn("crawl", F.lit(1)).union(later.withColumn("crawl", F.lit(2)))
+
+
+@query
+def join_first_versions(spark, sf_dir):
+    """Posts joined to accounts that were crawled twice: the first crawl counts."""
+    accounts = _two_versions(spark, sf_dir)
+    joined = metrics.join_posts_accounts(_counted_posts(spark, sf_dir), accounts, order_by=["crawl"])
+    return joined.select("id", "screen_name", "user_followers_count", "crawl")
+
+
+@query
+def metrics_first_versions(spark, sf_dir):
+    accounts = _two_versions(spark, sf_dir)
+    found = metrics.account_metrics(_counted_posts(spark, sf_dir), accounts, order_by=["crawl"])
+    return found.select("screen_name", "tweet_count", "user_followers_count")
+
+
 @query
 def feature_vectors(spark, sf_dir):
     vectors = clustering.feature_vectors(_metrics(spark, sf_dir))
@@ -549,7 +574,7 @@ def stream_dedup(spark, sf_dir):
 def stream_rescore(spark, sf_dir):
     """Account signals kept current over a stream of posts in several batches."""
     posts = bindings.posts(spark, sf_dir)
-    sent = messages.account_messages(posts, max_records=20).repartition(3, "value")
+    sent = messages.account_messages(posts, slot_seconds=7 * 86_400).repartition(6, "value")
     stream = ingest.read_message_files(
         spark, _message_files(spark, sent, "messages"), max_files=2
     )

@@ -228,13 +228,29 @@ SELECTS = {
         SELECT CAST(id AS VARCHAR) AS key, {_columns(POST_DOCUMENT)} FROM scored_posts
     """,
     "bulk_request_lines": """
-        SELECT count(*) AS actions, count(views) AS documents,
-               CAST(sum(views) AS BIGINT) AS total_views
-        FROM scored_posts
+        SELECT 'posts' AS target, CAST(id AS VARCHAR) AS target_id, NULL AS id, NULL AS screen_name,
+               NULL AS views FROM scored_posts
+        UNION ALL
+        SELECT NULL, NULL, id, screen_name, views FROM scored_posts
     """,
     "kafka_messages": """
-        SELECT screen_name, count(*) AS posts, CAST(sum(favorite_count) AS BIGINT) AS likes
-        FROM posts GROUP BY screen_name
+        SELECT screen_name, CAST(floor(created_at / 86400.0) AS BIGINT) AS part,
+               string_agg(CAST(id AS VARCHAR), ',' ORDER BY created_at, id) AS ids
+        FROM posts GROUP BY ALL
+    """,
+    "reject_messages": """
+        SELECT id AS message, substr('[{"id":' || id || ',"screen_name":"' || screen_name || '"}]', 1, 12)
+               AS rejected
+        FROM posts WHERE id % 10 = 0
+    """,
+    "join_first_versions": """
+        SELECT p.id, p.screen_name, s.followers_count AS user_followers_count, 1 AS crawl
+        FROM scored_posts p JOIN scored s ON p.screen_name = s.screen_name
+    """,
+    "metrics_first_versions": """
+        SELECT p.screen_name, count(p.id) AS tweet_count,
+               CAST(any_value(s.followers_count) AS DOUBLE) AS user_followers_count
+        FROM scored_posts p JOIN scored s ON p.screen_name = s.screen_name GROUP BY p.screen_name
     """,
     "json_roundtrip": "SELECT id, screen_name, hashtags, views, is_reply FROM posts",
     "drop_columns": "SELECT * FROM users",
@@ -255,6 +271,9 @@ SELECTS = {
         SELECT id, phase, conversation AS conversation_id_str, turn AS reply_count,
                author AS screen_name, CAST(NULL AS VARCHAR) AS nickname
         FROM singles
+        UNION ALL
+        SELECT NULL, 1, NULL, NULL, NULL, NULL
+        FROM (SELECT DISTINCT conv_id FROM turns WHERE conv_id % 2 = 0)
     """,
     "extract_json_paths": """
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
@@ -265,6 +284,8 @@ SELECTS = {
         SELECT id, phase, CASE WHEN conv_id % 3 = 0 THEN 'Business' END AS verified_type,
                'none' AS verified_type_class
         FROM singles
+        UNION ALL
+        SELECT NULL, 1, NULL, 'none' FROM (SELECT DISTINCT conv_id FROM turns WHERE conv_id % 2 = 0)
     """,
     "filter_segment": f"""
         SELECT screen_name, verified_type, bot_score FROM classified
@@ -272,8 +293,8 @@ SELECTS = {
     """,
     "filter_lang": "SELECT * FROM search WHERE lang = 'en'",
     "skip_first_rows": """
-        SELECT id, screen_name, 2 AS part
-        FROM (SELECT *, row_number() OVER (ORDER BY id) AS n FROM posts WHERE id % 2 = 1)
+        SELECT id, screen_name
+        FROM (SELECT *, row_number() OVER (ORDER BY id) AS n FROM posts)
         WHERE n > 1
     """,
     "union_common_columns": """
@@ -296,19 +317,27 @@ SELECTS = {
         SELECT (SELECT count(*) FROM singles)
                  + (SELECT count(DISTINCT conv_id) FROM turns WHERE conv_id % 2 = 0)
                  AS records_in,
-               (SELECT count(*) FROM kept) AS posts_out
+               (SELECT count(*) FROM kept) AS posts_out, 0 AS without_key
     """,
     "flat_posts": """
         SELECT id, author AS screen_name, role AS hashtags, lang, posted_at AS created_at,
-               turn AS reply_count
+               turn AS reply_count, NULL AS bookmark_count, NULL AS favorite_count,
+               NULL AS is_quote_status, NULL AS quote_count, NULL AS retweet_count,
+               NULL AS user_id_str, NULL AS is_retweet, NULL AS is_quoted, NULL AS is_reply,
+               NULL AS views, NULL AS url
         FROM kept WHERE lang = 'en'
     """,
     "flat_users": """
         SELECT author AS screen_name,
                CASE WHEN conv_id % 3 = 0 THEN 'Business' ELSE 'none' END AS verified_type,
                'none' AS location, 1500000000 + conv_id AS created_at,
-               conv_id * 10 + turn AS statuses_count, CAST(NULL AS BIGINT) AS media_count
-        FROM (SELECT *, row_number() OVER (PARTITION BY author ORDER BY posted_at, id) AS n
+               conv_id * 10 + turn AS statuses_count, NULL AS media_count, NULL AS verified,
+               NULL AS can_dm, NULL AS can_media_tag, NULL AS default_profile,
+               NULL AS has_custom_timelines, 'none' AS description, 'none' AS profile_url,
+               NULL AS favourites_count, NULL AS followers_count, NULL AS friends_count,
+               NULL AS listed_count, NULL AS fast_followers_count, NULL AS is_translator,
+               'none' AS translator_type, NULL AS want_retweets, NULL AS protected
+        FROM (SELECT *, row_number() OVER (PARTITION BY author ORDER BY conv_id, turn) AS n
               FROM kept WHERE lang = 'en')
         WHERE n = 1
     """,

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..schemas import RECORD
 
 # Columns that order records: file, block of the file, row (rising in a block).
+CORRUPT = "_corrupt"
 POSITION = ("source_file", "source_block", "source_row")
 
 
@@ -29,18 +30,30 @@ def read_records(
     *,
     array_files: bool = True,
     position: bool = False,
+    on_error: str = "fail",
 ) -> DataFrame:
     """JSON records of all files below the paths, control characters tolerated.
 
+    A record that is no JSON, or a file that is no JSON array, fails the query. With
+    ``on_error="mark"`` it becomes a row with its text in ``_corrupt`` (null for good
+    records), to be written apart; of an array file that is broken the text is the file's.
+
     ``array_files`` reads files that hold one JSON array each, which Spark
     cannot split; for JSON Lines (what ``write_json`` writes) pass False.
     ``position`` adds the columns of ``POSITION``, which put all records in the
     order of file names and of records within a file.
     """
+    if on_error not in ("fail", "mark"):
+        raise ValueError(f"on_error is fail or mark, not {on_error}")
+    mark = on_error == "mark"
+    if mark:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     reader = (
         spark.read.schema(schema)
         .option("multiLine", array_files)
         .option("allowUnquotedControlChars", True)
+        .option("mode", "PERMISSIVE" if mark else "FAILFAST")
+        .option("columnNameOfCorruptRecord", CORRUPT)
     )
     records = reader.json(paths if isinstance(paths, str) else list(paths))
     if not position:

@@ -14,6 +14,9 @@ from ..operators.messages import decode_messages
 from ..operators.signals import account_signals, posting_gaps, view_inflation
 from ..schemas import RECORD, struct
 
+# Folders that landed posts are dealt to by account.
+BUCKETS = 64
+
 # Columns of a message as a broker source delivers them.
 MESSAGE = struct(key=T.BinaryType(), value=T.BinaryType(), timestamp=T.TimestampType())
 
@@ -82,6 +85,28 @@ def land_latest(stream: DataFrame, path: str, checkpoint: str, **trigger) -> Str
     )
 
 
+def account_bucket(key: str, buckets: int):
+    """Number of the folder that holds an account's posts."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def touched_history(
+    spark: SparkSession, posts_path: str, schema: T.StructType, batch_id: int, key: str
+) -> DataFrame:
+    """Landed posts, up to a batch, of the accounts in that batch. Only folders of buckets
+    that the batch wrote are read; their numbers, at most one per bucket, pass through the
+    driver."""
+    full = T.StructType(
+        [*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.LongType())]
+    )
+    landed = spark.read.schema(full).parquet(posts_path).filter(F.col("batch_id") <= batch_id)
+    new = landed.filter(F.col("batch_id") == batch_id)
+    numbers = [row["bucket"] for row in new.select("bucket").distinct().collect()]
+    near = landed.filter(F.col("bucket").isin(numbers)) if numbers else new
+    touched = new.select(key).distinct()
+    return near.drop("bucket", "batch_id").join(touched, key, "left_semi")
+
+
 def rescore_accounts(
     stream: DataFrame,
     posts_path: str,
@@ -89,25 +114,26 @@ def rescore_accounts(
     checkpoint: str,
     *,
     key: str = "screen_name",
+    buckets: int = BUCKETS,
     **trigger,
 ) -> StreamingQuery:
     """Land flat posts and recompute the signals of the accounts they touch.
 
     The regularity flag of every post depends on the account's mean gap, so a
     new post can change all of them: the history of touched accounts is read
-    again. Both outputs have one folder per batch, replaced if the batch is
-    repeated; the newest ``batch_id`` of an account is its current state.
+    again. Posts are landed in ``buckets`` folders by hash of the account, and a
+    batch reads only the folders it touches. Below a bucket there is one folder
+    per batch, replaced if the batch is repeated; so is the batch's folder of
+    signals. The newest ``batch_id`` of an account is its current state.
     """
 
     def rescore(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{posts_path}/batch_id={batch_id}")
-        schema = T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])
-        landed = spark.read.schema(schema).parquet(posts_path).filter(
-            F.col("batch_id") <= batch_id
-        )
-        touched = landed.filter(F.col("batch_id") == batch_id).select(key).distinct()
-        history = landed.drop("batch_id").join(touched, key, "left_semi")
+        marked = batch.withColumns({"bucket": account_bucket(key, buckets), "batch_id": F.lit(batch_id).cast("long")})
+        marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "bucket", "batch_id"
+        ).parquet(posts_path)
+        history = touched_history(spark, posts_path, batch.schema, batch_id, key)
         signals = account_signals(view_inflation(posting_gaps(history, key=key)), key=key)
         signals.write.mode("overwrite").parquet(f"{signals_path}/batch_id={batch_id}")
 
@@ -126,3 +152,14 @@ def current_signals(
     rows = spark.read.parquet(signals_path)
     newest = F.max_by(F.struct("time_bot_count", "views_score"), "batch_id").alias("_state")
     return rows.groupBy(key).agg(newest).select(key, "_state.*")
+
+
+def compact_signals(
+    spark: SparkSession, signals_path: str, target: str, *, key: str = "screen_name"
+) -> None:
+    """Write the newest state of every account as one folder of the same layout, to go on
+    from in place of the many small ones."""
+    rows = spark.read.parquet(signals_path)
+    newest = F.max_by(F.struct("time_bot_count", "views_score", "batch_id"), "batch_id").alias("_state")
+    current = rows.groupBy(key).agg(newest).select(key, "_state.*")
+    current.hint("rebalance", F.col("batch_id")).write.partitionBy("batch_id").parquet(target)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparrowscope.operators import dedup, flatten
-from sparrowscope.schemas import RECORD
+from sparrowscope.schemas import POST_RECORD, RECORD
 
 from helpers import executed_plan_of, rows_of
 
@@ -66,8 +66,8 @@ ITEMS = [
 
 def test_audit_and_flatten(spark):
     frame = frame_of(spark, ITEMS)
-    assert dedup.dedup_audit(frame, ["position"]).collect() == [(5, 5)]
-    assert dedup.dedup_audit(frame.limit(0), ["position"]).collect() == [(0, 0)]
+    assert dedup.dedup_audit(frame, ["position"]).collect() == [(5, 5, 0)]
+    assert dedup.dedup_audit(frame.limit(0), ["position"]).collect() == [(0, 0, 0)]
     flat = dedup.flatten_threads(frame)
     assert rows_of(flat, "id") == Counter({("1",): 1, ("2",): 1, ("3",): 1, ("4",): 1, ("5",): 1})
 
@@ -141,3 +141,29 @@ def test_flat_posts(posts):
             ("5", "b", None, 1704067206, 6): 1,
         }
     )
+
+
+def test_records_without_a_key_all_stay(spark):
+    frame = frame_of(spark, ITEMS)
+    nobody = frame.withColumns({
+        "all_tweets_id": F.lit(None).cast(frame.schema["all_tweets_id"].dataType),
+        "tweets": F.lit(None).cast(frame.schema["tweets"].dataType),
+        "original_tweet": F.lit(None).cast(frame.schema["original_tweet"].dataType),
+    })
+    kept = dedup.dedup_conversations(nobody, ["position"])
+    assert kept.count() == nobody.count()
+    audit = dedup.dedup_audit(nobody, ["position"]).first()
+    assert audit["without_key"] == audit["records_in"] == audit["posts_out"]
+
+
+def test_first_profile_goes_by_input_order(spark):
+    """The newer post comes first in the input, and its profile counts."""
+    schema = T.StructType([*POST_RECORD.fields, T.StructField("place", T.LongType())])
+    def post(id, place, date, followers):
+        user = {"screen_name": "a", "followers_count": followers, "created_at": "Mon Jan 01 00:00:00 +0000 2018"}
+        return {"id": id, "place": place, "original_tweet": {"lang": "en", "created_at": date},
+                "author": {"original_user": user}}
+    rows = [post("2", 0, "Tue Jan 02 00:00:00 +0000 2024", 900), post("1", 1, "Mon Jan 01 00:00:00 +0000 2024", 100)]
+    frame = spark.createDataFrame(rows, schema)
+    by_input = flatten.flat_users(frame, order_by=["place"]).first()["followers_count"]
+    assert (by_input, flatten.flat_users(frame).first()["followers_count"]) == (900, 100)

@@ -60,17 +60,23 @@ def test_repeated_account_rows_do_not_inflate_totals(spark):
     )
 
 
-def test_large_segments_are_not_broadcast(spark):
+def test_joins_go_by_measured_size(spark):
     posts, accounts = scored(spark)
     for operator in (metrics.account_metrics, metrics.join_posts_accounts):
-        small, large = operator(posts, accounts), operator(posts, accounts, broadcast_rows=1)
-        assert rows_of(small) == rows_of(large)
-        assert "ResolvedHint" in logical_plan_of(small)
-        assert "ResolvedHint" not in logical_plan_of(large)
+        assert "ResolvedHint" not in logical_plan_of(operator(posts, accounts))
+
+
+def test_first_version_of_an_account_counts(spark):
+    posts, accounts = scored(spark)
+    later = accounts.withColumn("user_followers_count", F.col("user_followers_count") + 1000)
+    twice = accounts.withColumn("crawl", F.lit(1)).union(later.withColumn("crawl", F.lit(2)))
+    for operator in (metrics.account_metrics, metrics.join_posts_accounts):
+        found = operator(posts, twice, order_by=["crawl"]).drop("crawl")
+        assert rows_of(found) == rows_of(operator(posts, accounts))
 
 
 def test_posts_are_summed_before_the_join(spark):
-    plan = executed_plan_of(metrics.account_metrics(*scored(spark), broadcast_rows=1))
+    plan = executed_plan_of(metrics.account_metrics(*scored(spark)))
     join = plan.index("Join")
     assert plan.index("partial_count") > join and "NestedLoop" not in plan
 
@@ -138,7 +144,7 @@ def test_layout_of_the_input_does_not_change_clusters(spark):
         scaled = clustering.scaled_features(clustering.feature_vectors(layout))
         found.append(by_key(clustering.assign_clusters(scaled), "screen_name", "cluster"))
     assert found[0] == found[1]
-    assert clustering.in_order(numbers, rows=150).rdd.getNumPartitions() == 3
+    assert clustering.in_order(numbers, partitions=3).rdd.getNumPartitions() == 3
 
 
 def test_fewer_accounts_than_clusters(spark, metrics_table):

@@ -9,9 +9,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from sparrowscope.plans.catalog import QUERIES
+from sparrowscope.plans.oracle import ORACLE
 
 DATA = Path("/root/testdata/sf0.001")
-SQL = driver.oracle_sql()
+SQL = ORACLE
 WITHOUT_SQL = {"account_clusters", "cluster_sizes", "cluster_silhouette", "k_sweep"}
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
@@ -26,8 +28,9 @@ def tables():
 
 
 def test_catalogue():
-    assert set(driver.queries()) - set(SQL) == WITHOUT_SQL
-    assert set(SQL) <= set(driver.queries())
+    assert set(QUERIES) - set(SQL) == WITHOUT_SQL
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -67,9 +67,13 @@ def test_regularity_count(spark):
     assert counts == {"a": 2, "b": None}
 
 
-def test_gaps_take_one_exchange(spark):
-    df = signals.posting_gaps(make_posts(spark, posts_at("a", 0, 60)))
-    assert executed_plan_of(df).count("Exchange hashpartitioning") == 1
+def test_exchanges_of_gaps(spark):
+    posts = make_posts(spark, posts_at("a", 0, 60))
+    whole = signals.posting_gaps(posts, slot_seconds=None)
+    assert executed_plan_of(whole).count("Exchange hashpartitioning") == 1
+    # The posts themselves are exchanged once; the rest are rows per account and slot.
+    slots = executed_plan_of(signals.posting_gaps(posts))
+    assert slots.count("Exchange hashpartitioning") <= 5 and "NestedLoop" not in slots
 
 
 @pytest.mark.parametrize(

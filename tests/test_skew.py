@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparrowscope.operators import messages, search, signals
-from sparrowscope.operators.skew import find_hot_keys, is_hot
 
 from helpers import make_posts, rows_of
 
@@ -48,38 +47,31 @@ def random_rows(seed, accounts, n, span):
     return rows
 
 
-@pytest.mark.parametrize("slot_seconds", [1, 7, 60, 10**6])
-@pytest.mark.parametrize("hot", [["a"], ["a", "b", None], [None], ["absent"]])
-def test_splitting_hot_accounts_changes_nothing(spark, slot_seconds, hot):
-    rows = random_rows(slot_seconds, ["a", "a", "a", "b", "c", None], 900, 2000)
-    posts = make_posts(spark, rows)
-    found = signals.posting_gaps(posts, hot_keys=hot, slot_seconds=slot_seconds)
-    names = ("id", "screen_name", "created_at", "time_diff", "average_time_diff", "time_bot")
-    assert rows_of(found, *names) == expected_gaps(rows)
-    assert set(found.columns) == set(signals.posting_gaps(posts, hot_keys=[]).columns)
+NAMES = ("id", "screen_name", "created_at", "time_diff", "average_time_diff", "time_bot")
 
 
-def test_repeated_posts_of_a_hot_account(spark):
-    rows = random_rows(3, ["a", "b"], 200, 300)
-    posts = make_posts(spark, rows + rows)
-    names = ("id", "screen_name", "created_at", "time_diff", "average_time_diff", "time_bot")
-    split = signals.posting_gaps(posts, hot_keys=["a"], slot_seconds=10)
-    assert rows_of(split, *names) == expected_gaps(rows + rows)
+@pytest.mark.parametrize("slot_seconds", [1, 7, 60, 10**6, None])
+def test_slots_change_nothing(spark, slot_seconds):
+    rows = random_rows(7, ["a", "a", "a", "b", "c", None], 900, 2000)
+    posts = make_posts(spark, rows)
+    found = signals.posting_gaps(posts, slot_seconds=slot_seconds)
+    assert rows_of(found, *NAMES) == expected_gaps(rows)
+    assert set(found.columns) == set(signals.posting_gaps(posts).columns)
 
 
-def test_copies_and_busy_seconds_of_a_hot_account(spark):
+@pytest.mark.parametrize("slot_seconds", [10, None])
+def test_repeated_posts_and_busy_seconds(spark, slot_seconds):
     chance = random.Random(5)
     rows = [
         {"screen_name": "a", "id": chance.randrange(40), "created_at": chance.choice([7, 9, 80])}
         for _ in range(600)
     ] + random_rows(5, ["b", "a"], 50, 200)
-    posts = make_posts(spark, rows).repartition(5)
-    names = ("id", "screen_name", "created_at", "time_diff", "average_time_diff", "time_bot")
-    split = signals.posting_gaps(posts, hot_keys=["a"])
-    assert rows_of(split, *names) == expected_gaps(rows)
+    posts = make_posts(spark, rows + rows).repartition(5)
+    found = signals.posting_gaps(posts, slot_seconds=slot_seconds)
+    assert rows_of(found, *NAMES) == expected_gaps(rows + rows)
 
 
-def test_hot_account_of_one_post_or_no_date(spark):
+def test_account_of_one_post_or_no_date(spark):
     posts = make_posts(
         spark,
         [
@@ -87,34 +79,53 @@ def test_hot_account_of_one_post_or_no_date(spark):
             {"screen_name": "b", "id": 2, "created_at": None},
         ],
     )
-    split = signals.posting_gaps(posts, hot_keys=["a", "b"])
-    assert rows_of(split, "id", "time_diff", "average_time_diff") == Counter(
+    found = signals.posting_gaps(posts)
+    assert rows_of(found, "id", "time_diff", "average_time_diff") == Counter(
         {(1, None, None): 1, (2, None, None): 1}
     )
 
 
-def test_find_hot_keys(spark):
-    keys = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot")
-        .when(F.col("id") % 3 == 1, F.lit(None))
-        .otherwise(F.col("id").cast("string"))
-        .alias("key")
-    )
-    assert set(find_hot_keys(keys, "key", hot_rows=500, fraction=1.0)) == {"hot", None}
-    assert find_hot_keys(keys, "key") == []
-    marked = keys.select(is_hot("key", ["hot", None]).alias("m")).groupBy("m").count()
-    assert dict(map(tuple, marked.collect())) == {True: 2000, False: 1000}
+def test_building_runs_no_job(spark):
+    posts = make_posts(spark, random_rows(3, ["a", "b"], 50, 100))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    signals.posting_gaps(posts)
+    messages.account_messages(posts)
+    assert list(tracker.getJobIdsForGroup("building")) == []
 
 
-def test_messages_of_hot_accounts_carry_the_same_posts(spark):
-    rows = random_rows(11, ["a", "a", "b", "c"], 300, 500)
-    posts = make_posts(spark, rows)
-    for hot in ([], ["a"]):
-        sent = messages.account_messages(posts, max_records=10, hot_keys=hot)
-        decoded = messages.decode_messages(sent, posts.schema)
-        assert rows_of(decoded) == rows_of(posts)
-        sizes = sent.select(F.size(messages.decode_value(F.col("value"), posts.schema)).alias("n"))
-        assert sizes.agg(F.max("n")).first()[0] <= 10
+def test_messages_do_not_depend_on_the_layout(spark):
+    rows = random_rows(11, ["a"] * 40 + ["b", "c", None], 600, 500_000)
+    expected = {}
+    for row in rows:
+        part = None if row["created_at"] is None else row["created_at"] // 86_400
+        expected.setdefault((row["screen_name"], part), []).append(row)
+    order = lambda r: (r["created_at"] is not None, r["created_at"] or 0, r["id"])
+    plain = Counter(
+        (account, part, tuple(r["id"] for r in sorted(found, key=order)))
+        for (account, part), found in expected.items()
+    )
+    for splits in (1, 7):
+        posts = make_posts(spark, rows).repartition(splits)
+        sent = messages.account_messages(posts)
+        ids = F.transform(messages.decode_value(F.col("value"), posts.schema), lambda r: r["id"])
+        found = sent.select(F.decode("key", "UTF-8").alias("k"), "part", ids.alias("ids")).collect()
+        assert Counter((r["k"], r["part"], tuple(r["ids"])) for r in found) == plain
+        assert rows_of(messages.decode_messages(sent, posts.schema)) == rows_of(posts)
+
+
+def test_broken_messages_fail_or_are_marked(spark):
+    texts = ['[{"id":1,"name":"a"},{"id":2,"name":"b"}]', '[{"id":"x","name":"c"},{"id":4}]', '[{"id":5', "[]", None]
+    sent = spark.createDataFrame([(i, None if t is None else t.encode()) for i, t in enumerate(texts)], "n int, value binary")
+    record = spark.createDataFrame([], "id bigint, name string").schema
+    marked = messages.decode_messages(sent, record, "n", on_error="mark")
+    good = Counter(tuple(r[:3]) for r in marked.collect() if r["_corrupt"] is None)
+    assert good == Counter({(0, 1, "a"): 1, (0, 2, "b"): 1, (1, 4, None): 1})
+    rejected = Counter(map(tuple, messages.reject_messages(sent, record, "n").collect()))
+    assert rejected == Counter({(1, '{"id":"x","name":"c"}'): 1, (2, '[{"id":5'): 1, (4, ""): 1})
+    with pytest.raises(Exception, match="unreadable message"):
+        messages.decode_messages(sent, record, "n").collect()
+    assert messages.decode_messages(sent.where("n = 0"), record).count() == 2
 
 
 @pytest.mark.parametrize("groups", [1, 3, 512])

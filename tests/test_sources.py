@@ -166,3 +166,15 @@ def test_jobs_from_crawl_files_to_clusters(spark, tmp_path):
     assert [line for line in lines if "index" in line] == [{"index": {"_index": "accounts"}}] * 3
     assert all(set(line) == set(USER_DOCUMENT) for line in lines if "index" not in line)
     assert spark.read.text(out["p_lines"]).count() == 10
+
+
+def test_broken_files_fail_or_are_marked(spark, tmp_path):
+    (tmp_path / "good.json").write_text('[{"id": "1"}, {"id": "2"}]')
+    (tmp_path / "bad.json").write_text('[{"id": "3"}, {"id": ')
+    with pytest.raises(Exception):
+        batch.read_records(spark, str(tmp_path)).collect()
+    marked = batch.read_records(spark, str(tmp_path), on_error="mark").select("id", batch.CORRUPT).collect()
+    good = sorted(row["id"] for row in marked if row[batch.CORRUPT] is None and row["id"])
+    assert good == ["1", "2"]
+    assert any("3" in row[batch.CORRUPT] for row in marked if row[batch.CORRUPT])
+    assert batch.read_records(spark, str(tmp_path / "good.json")).count() == 2

@@ -43,9 +43,26 @@ def test_decoded_stream_equals_the_batch_and_resumes(spark):
     assert run().count() == 9
 
 
-def test_malformed_messages_give_no_rows(spark):
+def test_malformed_messages_are_not_lost(spark):
     df = spark.createDataFrame([(None, bytearray(b"not json"))], "key binary, value binary")
-    assert messages.decode_messages(df, RECORD).count() == 0
+    rejected = messages.reject_messages(df, RECORD).collect()
+    assert [row["_corrupt"] for row in rejected] == ["not json"]
+
+
+def test_rescoring_reads_touched_buckets_only(spark):
+    landed, signals_at, state, sent = (fresh_path(spark, n) for n in ("landed", "signals", "state", "sent"))
+    for part, account in enumerate("abcdefgh"):
+        send(spark, messages.account_messages(history(spark, range(part * 10, part * 10 + 4), account)), sent, hours=part)
+        stream = ingest.decode_stream(ingest.read_message_files(spark, sent), history(spark, []).schema)
+        ingest.rescore_accounts(stream.drop("timestamp"), landed, signals_at, state).awaitTermination()
+    last = ingest.touched_history(spark, landed, history(spark, []).schema, 7, "screen_name")
+    assert {row["screen_name"] for row in last.collect()} == {"h"}
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line or "bucket" in line]
+    assert any("bucket" in line for line in filters)
+    compact = fresh_path(spark, "compact")
+    ingest.compact_signals(spark, signals_at, compact)
+    assert rows_of(ingest.current_signals(spark, compact)) == rows_of(ingest.current_signals(spark, signals_at))
 
 
 def test_stream_dedup_within_the_watermark(spark):
