@@ -51,9 +51,8 @@ def corpus(seed, docs=70):
                    (2005, texts[3]), (2005, texts[4] + texts[5]), (None, texts[6] + texts[7]), (2006, "z" * 500)]
 
 
-@pytest.mark.parametrize("seed, chunk, bucket", [(1, 1 << 22, 1 << 25), (2, 700, 2000), (3, 130, 1 << 25)])
-def test_against_loops(spark, docs_of, monkeypatch, seed, chunk, bucket):
-    monkeypatch.setattr(suffixes, "CHUNK", chunk)
+@pytest.mark.parametrize("seed, bucket", [(1, 1 << 25), (2, 2000), (3, 700)])
+def test_against_loops(spark, docs_of, seed, bucket):
     rows = corpus(seed)
     found = suffixes.remove_substrings(docs_of(rows, "mark"), bucket_bytes=bucket)
     assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
@@ -73,3 +72,22 @@ def test_column_sort():
 
 def test_empty_table(docs_of):
     assert suffixes.remove_substrings(docs_of([(1, "a")]).where("doc_id > 5")).collect() == []
+
+
+@pytest.mark.parametrize("chunk", [60, 700, 1 << 22])
+def test_segments_hold_every_string_once(monkeypatch, chunk):
+    monkeypatch.setattr(suffixes, "CHUNK", chunk)
+    texts = [t for _, t in corpus(4, 30)]
+    seen, offsets = {}, {}
+    for pieces in suffixes.pieces_of(texts):
+        joined = b"".join(pieces.data)
+        starts = np.cumsum([0] + [len(d) for d in pieces.data[:-1]])
+        for piece, first, strings, anchor, value in zip(*suffixes.anchors_of(pieces)):
+            for at in range(first, first + strings):
+                place = (pieces.docs[piece], pieces.offsets[piece] + int(at - starts[piece]))
+                assert place not in seen
+                seen[place] = joined[at : at + 50]
+                # equal strings have one anchor at one offset
+                assert offsets.setdefault(joined[at : at + 50], (int(anchor - at), int(value))) == (int(anchor - at), int(value))
+    expected = {(k, p): t.encode()[p : p + 50] for k, t in enumerate(t or "" for t in texts) for p in range(len(t.encode()) - 49)}
+    assert seen == expected
