@@ -55,6 +55,11 @@ def _as_posts(records: DataFrame, thread_posts: str, keep: Sequence[str] = ()) -
     return records.select(*keep, F.posexplode(posts).alias(PLACE, "post")).select(*keep, PLACE, "post.*")
 
 
+def record_posts(records: DataFrame, *, thread_posts: str = THREAD_POSTS) -> DataFrame:
+    """Posts of all records, those of threads and single ones, batch or stream."""
+    return _as_posts(records, thread_posts)
+
+
 def dedup_conversations(
     records: DataFrame,
     order_by: Sequence[str],

@@ -31,6 +31,28 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Tables that a job stores and removes when it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        path = fresh_path(self._spark, "scratch")
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *error) -> None:
+        files = self._spark._jvm.org.apache.hadoop.fs
+        for path in self._paths:
+            target = files.Path(path)
+            target.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The frame as a written table: reading it again repeats no earlier work,
     and a lost executor costs no more than a re-read."""

@@ -49,12 +49,13 @@ def dedup_stream(
 
     State is one key per conversation, dropped after the watermark. Which copy
     of one micro-batch stays is up to its order of arrival; for the exact
-    first-wins rule use the batch operator on landed records.
+    first-wins rule use the batch operator on landed records. Records without a
+    conversation go by their whole content.
     """
+    content = F.sha2(F.to_json(F.struct(*[F.col(f"`{name}`") for name in records.columns if name != time])), 256)
     keyed = records.withColumn("conversation_key", conversation_key(**columns))
-    return keyed.withWatermark(time, watermark).dropDuplicatesWithinWatermark(
-        ["conversation_key"]
-    )
+    keyed = keyed.withColumn("_copy", F.coalesce("conversation_key", content))
+    return keyed.withWatermark(time, watermark).dropDuplicatesWithinWatermark(["_copy"]).drop("_copy")
 
 
 def land(

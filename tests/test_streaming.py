@@ -6,6 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from sparrowscope.operators import messages, signals
+from sparrowscope.plans import jobs
 from sparrowscope.schemas import RECORD
 from sparrowscope.sources.shared import fresh_path
 from sparrowscope.streaming import ingest
@@ -121,3 +122,20 @@ def test_rescoring_follows_the_whole_history(spark):
         seen = batch if seen is None else seen.union(batch)
         direct = signals.account_signals(signals.view_inflation(signals.posting_gaps(seen)))
         assert rows_of(ingest.current_signals(spark, found)) == rows_of(direct)
+
+
+def test_stream_job_flattens_kept_records(spark):
+    sent, landed, state = (fresh_path(spark, n) for n in ("sent", "landed", "state"))
+
+    def single(id, conversation):
+        return {"id": id, "original_tweet": {"conversation_id_str": conversation, "lang": "en"}}
+
+    rows = [
+        single("1", "c1"), {"all_tweets_id": ["5", "6"], "tweets": [single("5", "c5"), single("6", "c5")]},
+        single("9", None), single("8", None), single("8", None),
+    ]
+    record = F.to_json(F.array(F.struct(*RECORD.names)))
+    df = spark.createDataFrame(rows, RECORD).select(F.lit(None).cast("binary").alias("key"), F.encode(record, "UTF-8").alias("value"))
+    send(spark, df, sent)
+    jobs.stream_job(ingest.read_message_files(spark, sent), landed, state).awaitTermination()
+    assert Counter(row["id"] for row in spark.read.parquet(landed).collect()) == Counter(["1", "5", "6", "8", "9"])
