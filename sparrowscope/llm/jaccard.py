@@ -199,9 +199,12 @@ def difference_entries(
     order = np.lexsort((apart, held, only))
     apart, useful = apart[order], (held > 1)[order] | only[order]
     bound = (len(x) + 100 * len(x) // percent) * (100 - percent) // (100 + percent)
-    width = max(1, len(y) * (100 - percent) // (100 + percent) // 3)
+    width = max(1, len(y) * (100 - percent) // (100 + percent) // 2)
     size, own, made = len(apart), len(apart) // width, []
-    for other in range(max(0, size - bound) // width, (size + bound) // width + 1):
+    least = max(0, size - bound)
+    if linked:  # then only a z that does not link with y matters, and it differs by more
+        least = max(least, (-(-percent * len(x) // 100) + len(y)) * (100 - percent) // (100 + percent) + 1)
+    for other in range(least // width, (size + bound) // width + 1):
         shared = max(1, -(-(size + other * width - bound) // 2))
         entries = apart[: size - shared + 1][useful[: size - shared + 1]] if shared <= size else apart[:0]
         if len(entries):
@@ -308,7 +311,10 @@ def linked_sets(sets: DataFrame, tables: Tables, percent: int, frequent: int, lo
         tables.drop(index, held)
         if not found.where("NOT last").limit(1).count():
             return components(links, tables)
-        index = found.where("NOT last").select("pivot", "set", "alone", "linked", F.explode("apart").alias("token"))
+        # Where all sets link with their pivot, nothing is left to find.
+        apart = found.where("NOT last AND NOT linked").select("pivot").distinct()
+        index = found.where("NOT last").join(apart, "pivot", "left_semi")
+        index = index.select("pivot", "set", "alone", "linked", F.explode("apart").alias("token"))
         index = index.select(F.xxhash64("pivot", "token").alias("entry"), "set", "alone", "linked").distinct()
         index = tables.store(index, "index")
         # Only sets of open entries are looked at again.
