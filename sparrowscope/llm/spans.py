@@ -1,8 +1,10 @@
 """Substring de-duplication by sliding sentence spans.
 
-A sentence ends at . ! ? , ; or : before white space, or at a line break; a stretch of
-more than LONG bytes without one is cut after words chosen by their hash, so that equal
-stretches are cut alike. From every sentence a span of consecutive sentences is hashed:
+A sentence ends at . ! ? , ; or : before white space, or at a line break. Where WINDOW
+word ends in a row have none of these, the one with the smallest hash of the GRAM bytes
+before it is a cut as well; in stretches without white space, ends of characters stand for
+those of words. So a cut comes within WINDOW words, and depends only on the WINDOW - 1 words
+to either side: a passage is cut alike in all surroundings. From every sentence a span of consecutive sentences is hashed:
 the fewest that are at least SENTENCES and BYTES long. All spans of all documents are
 joined on the hash; where a span occurs more than once, all occurrences but the first
 (smallest id, then position) are marked, and every sentence inside a marked span goes.
@@ -11,7 +13,6 @@ joined on the hash; where a span occurs more than once, all occurrences but the
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,36 +20,63 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from sparrowscope.llm.common import map_texts, store, utf8
+from sparrowscope.llm.common import map_texts, mix64, store, utf8
 
 SENTENCES = 3
 BYTES = 60
-LONG = 110
+WINDOW = 8
+GRAM = 8
+# Characters count as words from so many bytes after white space to so many before the next.
+FAR = 16
 
 _END = re.compile(rb"[.!?,;:]+[ \t\r\f\v]+|[ \t\r\f\v]*\n\s*")
-_WORD = re.compile(rb"\S+\s+")
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\f\v"))
 # Stands for a null id, which comes first.
 _NO_ID = -(1 << 63)
 
 
 def sentence_bounds(data: bytes) -> np.ndarray:
     """Offsets at which sentences begin, and the length of the text."""
-    bounds, last = [0], 0
-    for match in _END.finditer(data):
-        _cut(data, last, match.end(), bounds)
-        last = match.end()
-        bounds.append(last)
-    if last < len(data):
-        _cut(data, last, len(data), bounds)
-        bounds.append(len(data))
-    return np.array(bounds, np.int64)
-
-
-def _cut(data: bytes, begin: int, end: int, bounds: list[int]) -> None:
-    if end - begin > LONG:
-        for word in _WORD.finditer(data, begin, end):
-            if word.end() < end and zlib.crc32(word.group().rstrip()) % 4 == 0:
-                bounds.append(word.end())
+    if not data:
+        return np.zeros(1, np.int64)
+    ends = [0, *[match.end() for match in _END.finditer(data)]]
+    if ends[-1] < len(data):
+        ends.append(len(data))
+    ends = np.array(ends, np.int64)
+    places = np.union1d(ends, _word_ends(np.frombuffer(data, np.uint8)))
+    grams = np.ndarray(len(data) + 1, "<u8", bytes(GRAM) + data, strides=(1,))
+    # Sentence ends are smaller than all others, and so is what lies outside the text.
+    keys = np.zeros(len(places) + 2 * (WINDOW - 1), np.uint64)
+    inner = keys[WINDOW - 1 : WINDOW - 1 + len(places)]
+    inner[:] = mix64(grams[places]) | np.uint64(1)
+    inner[np.searchsorted(places, ends)] = 0
+    least = _over_windows(np.minimum, keys)
+    return places[_over_windows(np.maximum, least) == inner]
+
+
+def _over_windows(pick: np.ufunc, values: np.ndarray) -> np.ndarray:
+    """The least or greatest of every WINDOW values in a row."""
+    step, rest = 1, WINDOW - 1
+    while rest:
+        step = min(step, rest)
+        values = pick(values[:-step], values[step:])
+        rest, step = rest - step, 2 * step
+    return values
+
+
+def _word_ends(data: np.ndarray) -> np.ndarray:
+    """Where words begin after white space, and characters far from white space."""
+    space = _SPACE[data]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, stops = edges[~space[edges]], edges[space[edges]]
+    first = starts if space[0] else np.append(0, starts)
+    last = stops if space[-1] else np.append(stops, len(data))
+    far = [
+        a + FAR + np.flatnonzero((data[a + FAR : b - FAR + 1] & 0xC0) != 0x80)
+        for k in np.flatnonzero(last - first >= 2 * FAR)
+        for a, b in [(first[k], last[k])]
+    ]
+    return np.concatenate([starts, *far])
 
 
 def span_ends(bounds: np.ndarray, sentences: int = SENTENCES, size: int = BYTES) -> np.ndarray:

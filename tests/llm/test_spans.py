@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import xxhash
 
 from sparrowscope.llm import spans
@@ -75,3 +76,38 @@ def test_bounds_cover_the_text():
         bounds = spans.sentence_bounds(data)
         assert bounds[0] == 0 and bounds[-1] == len(data) and (bounds[1:] > bounds[:-1]).all()
     assert xxhash.xxh3_128_intdigest(b"") != 0
+
+
+def test_passages_in_other_surroundings(spark, docs_of):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(3, 8)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    signs = lambda n: "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(n))
+    one_word = [" ".join([w] * 55) for w in ("na", "word", "lalala")]
+    long_word = "".join(rng.choices("abcdefgh", k=400))
+    # starts and ends inside sentences of less than 110 bytes in one text, of more in the other
+    middle = [f"{words(14)}, {words(15)}, {words(14)}. {words(11)}" for _ in range(10)]
+    cases = [(p, lambda: words(9) + " ", lambda: " " + words(9)) for p in one_word + middle]
+    cases += [(p, lambda: words(40) + " ", lambda: " " + words(40) + ".") for p in middle]
+    cases += [(p, lambda: words(9) + "\n", lambda: "\n" + words(9)) for p in [one_word[1], long_word]]
+    cases += [(signs(120), lambda: signs(70), lambda: signs(70)), (signs(80), lambda: "\n", lambda: "\n" + signs(9))]
+    for k, (passage, before, after) in enumerate(cases):
+        rows = [(1, before() + passage + after()), (2, before() + passage + after())]
+        found = {r["doc_id"]: r["text"] for r in spans.remove_repeats(docs_of(rows)).collect()} if k in (0, 3, 25, 26) else plain(rows)
+        assert found[1] == rows[0][1] or passage in one_word  # these repeat within themselves
+        # all but some words at both ends is gone
+        assert len(rows[1][1].encode()) - len(found[2].encode()) > len(passage.encode()) - 2 * 13 * 8, passage
+
+
+def test_cuts_are_near_and_local():
+    rng = random.Random(9)
+    for signs in ("ab ", "a ", "abcdefghijk      .,", "\u4e00\u4e01\u4e02", "\u4e00\u4e01 ab."):
+        passage = "".join(rng.choices(signs, k=3000)).encode()
+        found = []
+        for _ in range(2):
+            before = "".join(rng.choices(signs, k=rng.randint(0, 300))).encode()
+            data = before + passage + "".join(rng.choices(signs, k=300)).encode()
+            bounds = spans.sentence_bounds(data) - len(before)
+            assert np.diff(bounds).max() < 400
+            found.append(bounds[(bounds > 500) & (bounds < len(passage) - 500)].tolist())
+        assert found[0] == found[1]
