@@ -5,7 +5,9 @@ smaller id. Strings are brought together by anchors: of the grams in a string, t
 with the smallest hash, the leftmost of equals. Equal strings have equal anchors at equal
 offsets. All strings around one anchor are a segment of the text.
 
-1. Anchors of all documents are dealt by hash; those of one document only are put aside.
+1. Anchors of all documents are dealt by hash, counted beforehand per document; those of
+   one document only are put aside, and so are hot ones, whose segments would overfill a
+   bucket (SEGMENT_BYTES each, BUCKET_BYTES in all).
 2. The segments of the other anchors are dealt by anchor. Of equal segments of a batch
    only the one of the smallest id travels, the others are decided on the spot.
 3. The segments of a bucket, lined up at their anchors, are sorted by their suffixes. The
@@ -13,8 +15,10 @@ offsets. All strings around one anchor are a segment of the text.
    from a file and puts one symbol before every segment's suffix, updates the order (the
    Burrows-Wheeler order of the round) and the common prefixes of neighbours. Neighbours
    with LENGTH bytes in common hold equal strings, and the smallest id decides.
+4. Strings of hot anchors are dealt once more, one by one by their hash, and the smallest
+   id of each decides. Of equal strings of a batch only those of the smallest id travel.
 
-Everything that travels is packed: a row for each batch of texts and bucket, and on the
+Everything of steps 1 to 3 that travels is packed: a row for each batch of texts and bucket, and on the
 way back for each bucket and group of documents. Work and memory of a bucket or group
 follow BUCKET_BYTES, and their number follows the input.
 """
@@ -39,6 +43,8 @@ GRAM = 26
 # Grams in a string: as many offsets can an anchor have.
 OFFSETS = LENGTH - GRAM + 1
 BUCKET_BYTES = 32 << 20
+# About what a segment takes while a bucket is sorted.
+SEGMENT_BYTES = 256
 # Bytes of text handled at a time; longer texts come in pieces. Places take 24 bits.
 CHUNK = 4 << 20
 _NO_ID = -(1 << 63)
@@ -123,8 +129,8 @@ def _print(hashes: np.ndarray) -> np.ndarray:
 
 
 def _anchor_rows(rows: DataFrame, buckets: int) -> DataFrame:
-    """Step 1, sending: per batch and bucket the documents, and each anchor's document
-    and fingerprint."""
+    """Step 1, sending: per batch and bucket the documents, and each anchor's document,
+    fingerprint and number of segments there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,24 +139,25 @@ def _anchor_rows(rows: DataFrame, buckets: int) -> DataFrame:
                 piece, _, _, _, hashes = anchors_of(pieces)
                 number = np.array(pieces.docs)[piece]
                 used, local = np.unique(number, return_inverse=True)
-                key = np.unique((local.astype(np.uint64) << np.uint64(32)) | _print(hashes), return_index=True)[1]
-                local, hashes = local[key].astype(np.uint16), hashes[key]
+                keys = (local.astype(np.uint64) << np.uint64(32)) | _print(hashes)
+                _, key, counts = np.unique(keys, return_index=True, return_counts=True)
+                local, hashes, counts = local[key].astype(np.uint16), hashes[key], counts.astype(np.uint32)
                 bucket = _bucket(hashes, buckets)
                 order = np.argsort(bucket, kind="stable")
                 edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 who, what = ids[used].tobytes(), marks[used].tobytes()
                 rows = [
-                    (b, who, what, local[part].tobytes(), _print(hashes[part]).tobytes())
+                    (b, who, what, local[part].tobytes(), _print(hashes[part]).tobytes(), counts[part].tobytes())
                     for b in range(buckets)
                     if len(part := order[edges[b] : edges[b + 1]])
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32())]
-                    + [pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 5)],
-                    names=["bucket", "ids", "marks", "docs", "prints"],
+                    + [pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 6)],
+                    names=["bucket", "ids", "marks", "docs", "prints", "counts"],
                 )
 
-    return map_texts(rows, run, "bucket int, ids binary, marks binary, docs binary, prints binary")
+    return map_texts(rows, run, "bucket int, ids binary, marks binary, docs binary, prints binary, counts binary")
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -166,9 +173,9 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
-def _shared_prints(rows: DataFrame, buckets: int) -> DataFrame:
+def _shared_prints(rows: DataFrame, buckets: int, most: int) -> DataFrame:
     """Step 1, deciding: per document the fingerprints of anchors that other documents
-    have as well."""
+    have as well, apart for those with more than `most` segments (hot)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _by_bucket(batches):
@@ -184,7 +191,7 @@ def _shared_prints(rows: DataFrame, buckets: int) -> DataFrame:
             shared = key[1:][key[1:] == key[:-1]].astype(np.uint32)
             shared = shared[np.concatenate([[True], shared[1:] != shared[:-1]])] if len(shared) else shared
             del key, every, owner
-            found = []
+            found, places, sums = [], [], np.zeros(len(shared), np.int64)
             for r, i, d, p in zip(held, ids, docs, prints):
                 at = np.searchsorted(shared, p)
                 kept = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == p) if len(shared) else at[:0]
@@ -192,10 +199,15 @@ def _shared_prints(rows: DataFrame, buckets: int) -> DataFrame:
                 made["id"], made["mark"] = i[d[kept]], np.frombuffer(r[2], np.int64)[d[kept]]
                 made["print"] = p[kept]
                 found.append(made)
-            yield _group_rows(np.concatenate(found), buckets)
+                places.append(at[kept])
+                np.add.at(sums, at[kept], np.frombuffer(r[5], np.uint32)[kept])
+            table, hot = np.concatenate(found), (sums > most)[np.concatenate(places)]
+            for is_hot in (False, True):
+                made = _group_rows(table[hot == is_hot], buckets)
+                yield made.append_column("hot", pa.array([is_hot] * made.num_rows, pa.bool_()))
 
     dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return map_texts(dealt, run, "group bigint, packed binary")
+    return map_texts(dealt, run, "group bigint, packed binary, hot boolean")
 
 
 # What goes back to documents: a shared fingerprint, or a range of bytes to remove.
@@ -245,49 +257,62 @@ _SEGMENT = np.dtype(
 )
 
 
+def _found_segments(texts: pa.Table, packed: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]]:
+    """Per batch of a group's documents the segments of the anchors in `packed` (content not
+    filled in), the place of their first string in the joined bytes, the anchors' hashes
+    and the joined bytes."""
+    shared = _of_documents(packed, _PRINT)
+    ids, marks = texts.column("id").to_numpy(), texts.column("mark").to_numpy()
+    rows = [k for k, key in enumerate(zip(ids.tolist(), marks.tolist())) if key in shared]
+    for at in range(0, len(rows), 256):
+        part = rows[at : at + 256]
+        wanted = [np.unique(shared[int(ids[k]), int(marks[k])]["print"]) for k in part]
+        values = texts.column("text").take(pa.array(part)).to_pylist()
+        # Nothing of a batch is held here while the next one is made.
+        yield from filter(None, (_wanted_segments(pieces, ids[part], marks[part], wanted) for pieces in pieces_of(values)))
+
+
+def _wanted_segments(pieces: Pieces, ids: np.ndarray, marks: np.ndarray, wanted: list[np.ndarray]) -> tuple | None:
+    piece, first, strings, anchor, hashes = anchors_of(pieces)
+    number = np.array(pieces.docs)[piece]
+    prints = _print(hashes)
+    keep = np.zeros(len(prints), bool)
+    edges = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]]))
+    for a, b in zip(edges[:-1], edges[1:]):
+        keep[a:b] = np.isin(prints[a:b], wanted[number[a]])
+    kept = np.flatnonzero(keep)
+    if not len(kept):
+        return None
+    starts = np.cumsum([0] + [len(d) for d in pieces.data[:-1]])
+    shift = np.array(pieces.offsets) - starts
+    table = np.zeros(len(kept), _SEGMENT)
+    table["id"], table["mark"] = ids[number[kept]], marks[number[kept]]
+    table["anchor"] = anchor[kept] + shift[piece[kept]]
+    table["before"], table["strings"] = anchor[kept] - first[kept], strings[kept]
+    return table, first[kept], hashes[kept], b"".join(pieces.data)
+
+
 def _segment_rows(docs: DataFrame, prints: DataFrame, buckets: int) -> DataFrame:
     """Step 2: rows of buckets with the segments still to sort, their bytes compressed, and
     rows with what is decided (ranges of removed bytes), without bytes."""
 
     def run(texts: pa.Table, packed: pa.Table) -> pa.Table:
-        shared = _of_documents(packed, _PRINT)
-        ids, marks = texts.column("id").to_numpy(), texts.column("mark").to_numpy()
-        rows = [k for k, key in enumerate(zip(ids.tolist(), marks.tolist())) if key in shared]
         made = []
-        for at in range(0, len(rows), 256):
-            part = rows[at : at + 256]
-            kept = [np.unique(shared[int(ids[k]), int(marks[k])]["print"]) for k in part]
-            values = texts.column("text").take(pa.array(part)).to_pylist()
-            for pieces in pieces_of(values):
-                made.extend(_of_pieces(pieces, ids[part], marks[part], kept))
+        for found in _found_segments(texts, packed):
+            made.extend(_of_pieces(*found))
+            del found
         kinds = (pa.int32(), pa.binary(), pa.binary())
         return pa.Table.from_arrays(
             [pa.array([r[k] for r in made], kind) for k, kind in enumerate(kinds)], names=["bucket", "packed", "bytes"]
         )
 
-    def _of_pieces(pieces, ids, marks, shared):
-        piece, first, strings, anchor, hashes = anchors_of(pieces)
-        number = np.array(pieces.docs)[piece]
-        prints = _print(hashes)
-        keep = np.zeros(len(prints), bool)
-        edges = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]]))
-        for a, b in zip(edges[:-1], edges[1:]):
-            keep[a:b] = np.isin(prints[a:b], shared[number[a]])
-        kept = np.flatnonzero(keep)
-        if not len(kept):
-            return
-        joined = b"".join(pieces.data)
-        starts = np.cumsum([0] + [len(d) for d in pieces.data[:-1]])
-        shift = np.array(pieces.offsets) - starts
-        table = np.zeros(len(kept), _SEGMENT)
-        table["id"], table["mark"] = ids[number[kept]], marks[number[kept]]
-        table["anchor"] = anchor[kept] + shift[piece[kept]]
-        table["before"], table["strings"] = anchor[kept] - first[kept], strings[kept]
-        content = [joined[a : a + s + LENGTH - 1] for a, s in zip(first[kept].tolist(), strings[kept].tolist())]
+    def _of_pieces(table, first, hashes, joined):
+        strings = table["strings"].astype(np.int64)
+        content = [joined[a : a + s + LENGTH - 1] for a, s in zip(first.tolist(), strings.tolist())]
         table["content"] = np.fromiter(map(xxhash.xxh3_64_intdigest, content), np.uint64, len(content))
         table["content"] = mix64(table["content"] ^ (table["before"].astype(np.uint64) * _FACTOR))
         sent, decided = split_equal(table)
-        bucket = _bucket(hashes[kept][sent], buckets)
+        bucket = _bucket(hashes[sent], buckets)
         order = np.argsort(bucket, kind="stable")
         at = np.searchsorted(bucket[order], np.arange(buckets + 1))
         packer = zstandard.ZstdCompressor(level=3)
@@ -438,14 +463,89 @@ def _sorted_buckets(rows: DataFrame, buckets: int) -> DataFrame:
     return map_texts(dealt, run, "group bigint, packed binary")
 
 
+_STRING = np.dtype([("h", "<i8"), ("g", "<i8"), ("id", "<i8"), ("mark", "<i8"), ("begin", "<i8")])
+
+
+def _hot_strings(docs: DataFrame, prints: DataFrame, groups: int) -> DataFrame:
+    """Step 4, sending: both halves of the hash and the place of every string of a hot
+    anchor. Of equal strings of a batch only those of the smallest id; the others are
+    decided, with null for the hash."""
+
+    def run(texts: pa.Table, packed: pa.Table) -> pa.Table:
+        sent, decided = [np.zeros(0, _STRING)], [np.zeros(0, _STRING)]
+        for table, first, _, joined in _found_segments(texts, packed):
+            strings = table["strings"].astype(np.int64)
+            row = np.repeat(np.arange(len(table)), strings)
+            nth = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings)
+            digests = b"".join(xxhash.xxh3_128_digest(joined[a : a + LENGTH]) for a in (first[row] + nth).tolist())
+            out = np.zeros(len(row), _STRING)
+            out["h"], out["g"] = np.frombuffer(digests, "<i8").reshape(-1, 2).T
+            out["id"], out["mark"] = table["id"][row], table["mark"][row]
+            out["begin"] = (table["anchor"] - table["before"])[row] + nth
+            out = out[np.lexsort((out["begin"], out["mark"], out["id"], out["g"], out["h"]))]
+            head = np.ones(len(out), bool)
+            head[1:] = (out["h"][1:] != out["h"][:-1]) | (out["g"][1:] != out["g"][:-1])
+            least = out["id"][np.maximum.accumulate(np.where(head, np.arange(len(out)), 0))]
+            sent.append(out[out["id"] == least])
+            decided.append(out[out["id"] != least])
+        sent, decided = np.concatenate(sent), np.concatenate(decided)
+        every, known = np.concatenate([sent, decided]), np.arange(len(sent) + len(decided)) >= len(sent)
+        columns = [pa.array(every[k], pa.int64(), mask=known if k in "hg" else None) for k in _STRING.names]
+        return pa.Table.from_arrays(columns, names=list(_STRING.names))
+
+    left = docs.select("id", "mark", "text", _group(groups)).groupBy("group")
+    schema = ", ".join(f"{k} bigint" for k in _STRING.names)
+    return left.cogroup(prints.groupBy("group")).applyInArrow(run, schema)
+
+
+def _hot_ranges(docs: DataFrame, prints: DataFrame, groups: int, tables: Tables) -> DataFrame:
+    """Step 4: ranges of removed bytes per document, as those of step 3."""
+    strings = tables.store(_hot_strings(docs, prints, groups), "hot-strings")
+    least = strings.where("h IS NOT NULL").groupBy("h", "g").agg(F.min("id").alias("least"))
+    least = tables.store(least, "least-ids")  # apart, so that a hot string can be split in the join
+    place = ["id", "mark", "begin"]
+    later = strings.join(least, ["h", "g"]).where("least < id").select(place)
+    every = later.union(strings.where("h IS NULL").select(place)).withColumn("group", _group(groups))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= 1 << 16:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        ids, marks, begin = (table.column(k).to_numpy() for k in place)
+        new = np.ones(len(ids) + 1, bool)
+        new[1:-1] = (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1]) | (begin[1:] > begin[:-1] + 1)
+        edges = np.flatnonzero(new)
+        out = np.zeros(len(edges) - 1, _RANGE)
+        out["id"], out["mark"] = ids[edges[:-1]], marks[edges[:-1]]
+        out["begin"], out["end"] = begin[edges[:-1]], begin[edges[1:] - 1] + LENGTH
+        return _group_rows(out, groups)
+
+    dealt = every.repartition(groups, "group").sortWithinPartitions(*place)
+    found = tables.store(map_texts(dealt, run, "group bigint, packed binary"), "hot-ranges")
+    tables.drop(strings, least)
+    return found
+
+
 def repeated_ranges(docs: DataFrame, tables: Tables, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
     """For the rows (id, mark, text) of `docs`: packed ranges to remove by group of
-    documents, as a written table, and the number of groups."""
+    documents, as written tables, and the number of groups."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
     anchors = _anchor_rows(docs, buckets)
-    shared = tables.store(_shared_prints(anchors, buckets), "shared-anchors")
-    ranges = tables.store(_sorted_buckets(_segment_rows(docs, shared, buckets), buckets), "ranges")
+    shared = tables.store(_shared_prints(anchors, buckets, bucket_bytes // SEGMENT_BYTES), "shared-anchors")
+    cold, hot = (shared.where(c).drop("hot") for c in ("NOT hot", "hot"))
+    ranges = tables.store(_sorted_buckets(_segment_rows(docs, cold, buckets), buckets), "ranges")
+    if not hot.isEmpty():
+        ranges = ranges.union(_hot_ranges(docs, hot, buckets, tables))
     tables.drop(shared)
     return ranges, buckets
 

@@ -91,3 +91,32 @@ def test_segments_hold_every_string_once(monkeypatch, chunk):
                 assert offsets.setdefault(joined[at : at + 50], (int(anchor - at), int(value))) == (int(anchor - at), int(value))
     expected = {(k, p): t.encode()[p : p + 50] for k, t in enumerate(t or "" for t in texts) for p in range(len(t.encode()) - 49)}
     assert seen == expected
+
+
+def test_short_phrase_in_other_surroundings(spark, docs_of):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    phrase, passage = noise(40), noise(90)
+    rows = [(k, noise(70) + phrase + noise(70) + (passage + noise(60) if k % 3 == 0 else "")) for k in range(150)]
+    rows += [(200 + k, noise(30) + rows[k][1][60:130] + noise(30)) for k in range(5)]
+    docs = docs_of(rows)
+    found = suffixes.remove_substrings(docs, bucket_bytes=6000)
+    assert sorted(map(tuple, found.collect()), key=str) == plain(rows)
+    # no bucket gets all segments around the phrase
+    seen = []
+    tables = suffixes.Tables(spark)
+    sorted_buckets = suffixes._sorted_buckets
+
+    def spy(rows, buckets):
+        packed = rows.where("bytes IS NOT NULL").select("bucket", "packed").collect()
+        size = suffixes._SEGMENT.itemsize
+        seen.extend(sum(len(r[1]) // size for r in packed if r[0] == b) for b in range(buckets))
+        return sorted_buckets(rows, buckets)
+
+    suffixes._sorted_buckets = spy
+    try:
+        texts = docs.selectExpr("doc_id AS id", "xxhash64(text) AS mark", "text")
+        suffixes.repeated_ranges(texts, tables, 6000)
+    finally:
+        suffixes._sorted_buckets = sorted_buckets
+    assert 0 < len(seen) and max(seen) < 100
