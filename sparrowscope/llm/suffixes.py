@@ -12,8 +12,8 @@ offsets. All strings around one anchor are a segment of the text.
    only the one of the smallest id travels, the others are decided on the spot.
 3. The segments of a bucket, lined up at their anchors, are sorted by their suffixes. The
    construction goes column by column from the right: each round reads the next column
-   from a file and puts one symbol before every segment's suffix, updates the order (the
-   Burrows-Wheeler order of the round) and the common prefixes of neighbours. Neighbours
+   from a file and puts one symbol before every segment's suffix, updates the suffix order
+   and the common prefixes of neighbours, both in memory; no transform is formed. Neighbours
    with LENGTH bytes in common hold equal strings, and the smallest id decides.
 4. Strings of hot anchors are dealt once more, one by one by their hash, and the smallest
    id of each decides. Of equal strings of a batch only those of the smallest id travel.
