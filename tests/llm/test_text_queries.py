@@ -23,6 +23,7 @@ COLUMNS = {
     "op8_jaccard": "doc_id n_shingles component_id",
     "op9_tokens": "doc_id start n_tokens ids_crc32",
     "op10_decontaminate": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op13_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
