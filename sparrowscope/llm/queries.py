@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparrowscope.llm import classifier, decontaminate, jaccard, language, manifest, pieces, quality, spans, suffixes, tokens, warc
+from sparrowscope.llm import (
+    classifier,
+    decontaminate,
+    jaccard,
+    language,
+    manifest,
+    order_minhash,
+    pieces,
+    quality,
+    spans,
+    suffixes,
+    tokens,
+    warc,
+    whitening,
+)
 from sparrowscope.llm.common import crc_mod
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -85,6 +99,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_with_edited(_table(spark, sf_dir, "documents"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(_table(spark, sf_dir, "documents"))
 
@@ -100,5 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_tokens": op9_tokens,
     "op10_decontaminate": op10_decontaminate,
+    "op11_whitening": op11_whitening,
+    "op12_order_minhash": op12_order_minhash,
     "op13_manifest": op13_manifest,
 }

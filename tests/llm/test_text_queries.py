@@ -23,6 +23,8 @@ COLUMNS = {
     "op8_jaccard": "doc_id n_shingles component_id",
     "op9_tokens": "doc_id start n_tokens ids_crc32",
     "op10_decontaminate": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op11_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op12_order_minhash": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     "op13_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
@@ -38,7 +40,7 @@ def test_query(spark, name):
     found = QUERIES[name](spark, str(DATA))
     assert sorted(found.columns) == sorted(COLUMNS[name].split())
     rows = found.collect()
-    table = "pages" if name == "op4_warc" else "documents"
+    table = {"op4_warc": "pages", "op11_whitening": "embeddings"}.get(name, "documents")
     key = found.columns[0] if name != "op2_pieces" else "doc_id"
     expected = {r[0] for r in spark.read.parquet(f"{DATA}/{table}.parquet").select(key).collect()}
     assert {r[key] for r in rows} == expected
