@@ -19,7 +19,7 @@ from ..operators import clustering, columns, dedup, flatten, messages, metrics,
 from ..schemas import FEATURES, POST_DOCUMENT, RECORD, UNSCORED_USER_COLUMNS, USER_DOCUMENT
 from ..sources import batch
 from ..sources.shared import fresh_path, stored
-from ..streaming import ingest
+from ..streaming import ingest, regularity
 from . import bindings
 
 # Parameters of the search queries, repeated in their SQL.
@@ -586,3 +586,29 @@ def stream_rescore(spark, sf_dir):
         fresh_path(spark, "state"),
     ).awaitTermination()
     return ingest.current_signals(spark, signals_path)
+
+
+@query
+def stream_regularity(spark, sf_dir):
+    """Account signals from state per account, over a stream of posts in four batches that
+    overlap, so that posts come late and repeatedly."""
+    posts = _counted_posts(spark, sf_dir).withColumn("arrival", F.col("id") % 3)
+    span = posts.agg(F.min("created_at").alias("low"), F.max("created_at").alias("high")).first()
+    sent = fresh_path(spark, "posts")
+    width = (span["high"] - span["low"]) // 4 + 1
+    for batch in range(4):
+        start = span["low"] + batch * width
+        here = F.col("created_at").between(start, start + width - 1)
+        before = F.col("created_at").between(start - width, start - 1)
+        # A third comes a batch late, another third twice.
+        arrived = (here & (F.col("arrival") != 0)) | (before & (F.col("arrival") != 1))
+        if batch == 3:
+            arrived = arrived | here
+        posts.filter(arrived).coalesce(2).write.mode("append").parquet(sent)
+    stream = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 2).parquet(sent)
+    states = fresh_path(spark, "states")
+    delay = f"{2 * width} seconds"
+    regularity.land_states(
+        regularity.account_states(stream, delay=delay), states, fresh_path(spark, "state")
+    ).awaitTermination()
+    return regularity.newest_states(spark, states).select("screen_name", "time_bot_count", "views_score")

@@ -368,6 +368,7 @@ SELECTS = {
     "stream_decode": "SELECT * FROM posts",
     "stream_dedup": "SELECT DISTINCT conversation AS conversation_key FROM turns",
     "stream_rescore": "SELECT * FROM signals",
+    "stream_regularity": "SELECT * FROM signals",
 }
 
 ORACLE = {name: _sql(select) for name, select in SELECTS.items()}
