@@ -17,7 +17,7 @@ from ..functions import (
 )
 from ..operators import clustering, columns, dedup, flatten, messages, metrics, search, signals
 from ..schemas import FEATURES, POST_DOCUMENT, RECORD, UNSCORED_USER_COLUMNS, USER_DOCUMENT
-from ..sources import batch
+from ..sources import arrays, batch
 from ..sources.shared import fresh_path, stored
 from ..streaming import ingest, regularity
 from . import bindings
@@ -213,19 +213,21 @@ def scan_parquet(spark, sf_dir):
     return batch.read_table(spark, f"{sf_dir}/events.parquet")
 
 
-@query
-def scan_json_array(spark, sf_dir):
-    """Records written as files of one JSON array each and read again."""
+def _array_files(spark: SparkSession, sf_dir: str, records_per_file: int) -> str:
+    """Records written as files of one JSON array each."""
     path = fresh_path(spark, "records")
-    block = F.floor(F.monotonically_increasing_id() / FILE_RECORDS)
+    block = F.floor(F.monotonically_increasing_id() / records_per_file)
     records = bindings.records(spark, sf_dir).select(
         F.struct(*RECORD.names).alias("record"), block.alias("block")
     )
     array = F.to_json(F.collect_list("record"), {"pretty": "true"})
     arrays = records.groupBy("block").agg(array.alias("value")).select("value")
     arrays.write.option("maxRecordsPerFile", 1).text(path)
-    read = batch.read_records(spark, path, position=True)
-    return read.select(
+    return path
+
+
+def _record_fields(records: DataFrame) -> DataFrame:
+    return records.select(
         "id",
         "text",
         F.col("original_tweet.conversation_id_str").alias("conversation"),
@@ -234,6 +236,20 @@ def scan_json_array(spark, sf_dir):
     )
 
 
+@query
+def scan_json_array(spark, sf_dir):
+    """Records written as files of one JSON array each and read again."""
+    path = _array_files(spark, sf_dir, FILE_RECORDS)
+    return _record_fields(batch.read_records(spark, path, position=True))
+
+
+@query
+def scan_json_array_ranges(spark, sf_dir):
+    """The same from larger files, read by ranges and chunks."""
+    path = _array_files(spark, sf_dir, 50 * FILE_RECORDS)
+    return _record_fields(arrays.read_array_records(spark, path, position=True, chunk_bytes=1 << 16))
+
+
 @query
 def sink_parquet(spark, sf_dir):
     path = fresh_path(spark, "scored-posts")

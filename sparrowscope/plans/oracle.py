@@ -169,6 +169,13 @@ def _summary_row(label: str, expression: str) -> str:
     return f"SELECT '{label}' AS summary, {values} FROM scored"
 
 
+_SCANNED = """
+    SELECT id, text, conversation, NULL AS thread_ids, NULL AS thread_size FROM singles
+    UNION ALL
+    SELECT NULL, NULL, NULL, string_agg(id, ',' ORDER BY turn), CAST(count(*) AS INTEGER)
+    FROM turns WHERE conv_id % 2 = 0 GROUP BY conv_id
+    """
+
 SELECTS = {
     "classify_accounts": f"SELECT {_columns(USER_DOCUMENT)} FROM classified",
     "account_scores": f"SELECT {_columns(USER_DOCUMENT)} FROM scored",
@@ -213,12 +220,8 @@ SELECTS = {
     """,
     "join_array_text": "SELECT id, hashtags FROM posts",
     "scan_parquet": "SELECT * FROM events",
-    "scan_json_array": """
-        SELECT id, text, conversation, NULL AS thread_ids, NULL AS thread_size FROM singles
-        UNION ALL
-        SELECT NULL, NULL, NULL, string_agg(id, ',' ORDER BY turn), CAST(count(*) AS INTEGER)
-        FROM turns WHERE conv_id % 2 = 0 GROUP BY conv_id
-    """,
+    "scan_json_array": _SCANNED,
+    "scan_json_array_ranges": _SCANNED,
     "sink_parquet": f"SELECT {_columns(POST_DOCUMENT)} FROM scored_posts",
     "sink_json_by_keyword": "SELECT * FROM hits",
     "index_documents_users": f"""
