@@ -17,7 +17,7 @@ from ..functions import (
 )
 from ..operators import clustering, columns, dedup, flatten, messages, metrics, search, signals
 from ..schemas import FEATURES, POST_DOCUMENT, RECORD, UNSCORED_USER_COLUMNS, USER_DOCUMENT
-from ..sources import arrays, batch
+from ..sources import arrays, batch, layout
 from ..sources.shared import fresh_path, stored
 from ..streaming import ingest, regularity
 from . import bindings
@@ -494,6 +494,19 @@ def account_metrics(spark, sf_dir):
     return _metrics(spark, sf_dir)
 
 
+def _laid_out(spark: SparkSession, df: DataFrame, kind: str, key: str) -> DataFrame:
+    path = fresh_path(spark, kind)
+    return layout.write_layout(df, path.rsplit("/", 1)[1].replace("-", "_"), path, key, buckets=8)
+
+
+@query
+def colocated_metrics(spark, sf_dir):
+    """Account metrics from posts and accounts in buckets by account: without a shuffle."""
+    posts = _laid_out(spark, _scored_posts(spark, sf_dir), "scored-posts", "screen_name")
+    accounts = _laid_out(spark, _segment(spark, sf_dir), "accounts", "user_screen_name")
+    return metrics.account_metrics(posts, accounts)
+
+
 def _two_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every account twice, the later crawl with more followers."""
     accounts = metrics.account_columns(_scored(spark, sf_dir))

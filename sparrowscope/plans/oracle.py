@@ -358,6 +358,7 @@ SELECTS = {
         FROM scored_posts p JOIN segment s ON p.screen_name = s.user_screen_name
     """,
     "account_metrics": "SELECT * FROM metrics",
+    "colocated_metrics": "SELECT * FROM metrics",
     "feature_vectors": f"""
         SELECT screen_name, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)}
         FROM metrics
