@@ -15,9 +15,20 @@ from ..functions import (
     safe_ratio,
     sentinel_to_number,
 )
-from ..operators import clustering, columns, dedup, flatten, messages, metrics, search, signals
+from ..operators import (
+    clustering,
+    columns,
+    crawls,
+    dedup,
+    flatten,
+    maintained,
+    messages,
+    metrics,
+    search,
+    signals,
+)
 from ..schemas import FEATURES, POST_DOCUMENT, RECORD, UNSCORED_USER_COLUMNS, USER_DOCUMENT
-from ..sources import arrays, batch, layout
+from ..sources import arrays, batch, keystore, layout
 from ..sources.shared import fresh_path, stored
 from ..streaming import ingest, regularity
 from . import bindings
@@ -433,6 +444,21 @@ def dedup_conversations(spark, sf_dir):
     )
 
 
+@query
+def crawl_conversations(spark, sf_dir):
+    """The same from three crawls, one after the other, over a store of keys."""
+    records = bindings.records(spark, sf_dir)
+    store = keystore.KeyStore(spark, fresh_path(spark, "keys"), buckets=8)
+    found = None
+    for phase in range(3):
+        crawl = records.filter(F.col("phase") == phase)
+        new = crawls.new_conversations(crawl, store, f"crawl{phase}", bindings.RECORD_ORDER)
+        found = new if found is None else found.unionByName(new)
+    return found.select(
+        "id", "text", F.col("original_tweet.conversation_id_str").alias("conversation")
+    )
+
+
 @query
 def flatten_threads(spark, sf_dir):
     return dedup.flatten_threads(bindings.records(spark, sf_dir)).select("id", "text")
@@ -507,6 +533,20 @@ def colocated_metrics(spark, sf_dir):
     return metrics.account_metrics(posts, accounts)
 
 
+@query
+def maintained_metrics(spark, sf_dir):
+    """Account metrics from partial aggregates of three batches, each repeating posts and
+    accounts of the one before."""
+    posts, accounts = _counted_posts(spark, sf_dir), stored(_segment(spark, sf_dir))
+    store = maintained.MaintainedMetrics(
+        spark, fresh_path(spark, "metrics"), ["user_created_at"], ["timestamp"], buckets=8
+    )
+    for batch in range(3):
+        store.add_posts(batch, posts.filter(F.col("id") % 3 <= batch))
+        store.add_accounts(batch, accounts)
+    return store.current()
+
+
 def _two_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every account twice, the later crawl with more followers."""
     accounts = metrics.account_columns(_scored(spark, sf_dir))

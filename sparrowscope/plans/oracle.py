@@ -315,6 +315,7 @@ SELECTS = {
         WHERE n = 1
     """,
     "dedup_conversations": "SELECT id, text, conversation FROM kept",
+    "crawl_conversations": "SELECT id, text, conversation FROM kept",
     "flatten_threads": "SELECT id, text FROM turns WHERE conv_id % 2 = 0",
     "dedup_audit": """
         SELECT (SELECT count(*) FROM singles)
@@ -359,6 +360,7 @@ SELECTS = {
     """,
     "account_metrics": "SELECT * FROM metrics",
     "colocated_metrics": "SELECT * FROM metrics",
+    "maintained_metrics": "SELECT * FROM metrics",
     "feature_vectors": f"""
         SELECT screen_name, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)}
         FROM metrics

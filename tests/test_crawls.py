@@ -1,0 +1,115 @@
+"""De-duplication over crawls against one batch over their union."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sparrowscope.operators.crawls import new_conversations, new_per_key
+from sparrowscope.operators.dedup import dedup_conversations, first_per_key
+from sparrowscope.schemas import RECORD
+from sparrowscope.sources.keystore import KeyStore, _filter, _known
+from sparrowscope.sources.shared import fresh_path
+
+from helpers import rows_of
+
+ROWS = "crawl int, name string, at bigint, value string"
+
+
+def crawls(spark):
+    """Three crawls that share names, with repeats inside each and rows without a name."""
+    out = []
+    for crawl in range(3):
+        rows = [
+            (crawl, f"n{(i * 7 + crawl * 40) % 90}", i, f"{crawl}-{i}") for i in range(70)
+        ] + [(crawl, None, 1, "no name"), (crawl, "", 2, "empty")]
+        out.append(spark.createDataFrame(rows, ROWS))
+    return out
+
+
+@pytest.fixture
+def store(spark):
+    return KeyStore(spark, fresh_path(spark, "store"), buckets=5)
+
+
+def test_first_wins_over_three_crawls(spark, store):
+    parts = crawls(spark)
+    found = None
+    for i, part in enumerate(parts):
+        new = new_per_key(part, store, f"c{i}", "name", ["at"])
+        found = new if found is None else found.union(new)
+    union = parts[0].union(parts[1]).union(parts[2]).filter("name IS NOT NULL")
+    assert rows_of(found) == rows_of(first_per_key(union, "name", ["crawl", "at"]))
+
+
+def test_repeated_crawl(spark, store):
+    first, second, _ = crawls(spark)
+    new_per_key(first, store, "c0", "name", ["at"])
+    kept = rows_of(new_per_key(second, store, "c1", "name", ["at"]))
+    assert kept and rows_of(new_per_key(second, store, "c1", "name", ["at"])) == kept
+    assert not rows_of(new_per_key(second, store, "c2", "name", ["at"]))
+    assert not rows_of(new_per_key(first.union(second), store, "c3", "name", ["at"]))
+
+
+def test_new_keys_read_no_stored_key(spark, store, tmp_path):
+    """With the stored keys unreadable, keys that no filter knows still pass."""
+    first = crawls(spark)[0]
+    new_per_key(first, store, "c0", "name", ["at"])
+    keys = first.filter("name IS NOT NULL").select(F.concat(F.lit("other-"), "name").alias("key"))
+    known = {r["key"] for r in store.maybe_seen(keys).collect()}
+    fresh = keys.filter(~F.col("key").isin(sorted(known)) if known else F.lit(True))
+    gone = KeyStore(spark, store.path, 5)
+    files = spark._jvm.org.apache.hadoop.fs
+    target = files.Path(f"{store.path}/keys")
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    assert fresh.distinct().count() > 50
+    assert gone.seen(fresh).collect() == []
+
+
+def test_exact_check_reads_matching_buckets_only(spark, store):
+    new_per_key(spark.createDataFrame([(0, f"n{i}", 1, "x") for i in range(200)], ROWS), store, "c0", "name", ["at"])
+    seen = store.seen(spark.createDataFrame([("n7",), ("unknown",)], "key string"))
+    assert [r["key"] for r in seen.collect()] == ["n7"]
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    line = next(part for part in plan.splitlines() if "PartitionFilters" in part and "crawl" in part)
+    assert "bucket" in line
+
+
+def test_empty_crawls(spark, store):
+    empty = spark.createDataFrame([], ROWS)
+    assert not rows_of(new_per_key(empty, store, "c0", "name", ["at"]))
+    kept = new_per_key(crawls(spark)[0], store, "c1", "name", ["at"])
+    assert kept.count() == crawls(spark)[0].filter("name IS NOT NULL").select("name").distinct().count()
+    assert not rows_of(new_per_key(empty, store, "c2", "name", ["at"]))
+
+
+def test_conversations_over_crawls(spark, store):
+    def single(id, conversation):
+        return {"id": id, "original_tweet": {"conversation_id_str": conversation}}
+
+    parts = [
+        [single("1", "c1"), {"all_tweets_id": ["c2", "6"], "tweets": [single("5", "c2"), single("6", "c2")]}],
+        [single("7", "c2"), single("8", None), {"all_tweets_id": ["c1"], "tweets": [single("9", "c1")]}, single("10", "c3")],
+        [single("11", "c3"), single("12", "c4"), single("13", "c4")],
+    ]
+    frames = [
+        spark.createDataFrame(rows, RECORD).coalesce(1).withColumn("crawl", F.lit(i)).withColumn("at", F.monotonically_increasing_id())
+        for i, rows in enumerate(parts)
+    ]
+    found = None
+    for i, part in enumerate(frames):
+        new = new_conversations(part, store, f"c{i}", ["at"]).select("id")
+        found = new if found is None else found.union(new)
+    whole = dedup_conversations(frames[0].union(frames[1]).union(frames[2]), ["crawl", "at"]).select("id")
+    assert rows_of(found) == rows_of(whole)
+
+
+def test_filters():
+    random = np.random.default_rng(2)
+    hashes = random.integers(-(2**63), 2**63 - 1, size=20_000, dtype=np.int64)
+    bits = _filter(hashes[:10_000])
+    assert _known(bits, hashes[:10_000]).all()
+    assert _known(bits, hashes[10_000:]).mean() < 0.02
+    assert len(bits) == 12_500
+    assert not _known(_filter(hashes[:0]), hashes).any()

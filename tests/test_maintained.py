@@ -1,0 +1,93 @@
+"""Maintained metrics against a full recompute after every batch."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparrowscope.operators import metrics, signals
+from sparrowscope.operators.maintained import TOTALS, MaintainedMetrics
+from sparrowscope.sources.shared import fresh_path
+
+from helpers import make_posts, make_users, rows_of
+
+DAY = 86_400
+
+
+def posts_of(spark, *rows):
+    made = [
+        {"screen_name": a, "id": i, "created_at": t, "views": str(10 * (i or 1)), "favorite_count": i or 0, "retweet_count": None if i == 3 else 2}
+        for a, i, t in rows
+    ]
+    return signals.view_inflation(make_posts(spark, made))
+
+
+def accounts_of(spark, *rows):
+    users = make_users(spark, [{"screen_name": a, "followers_count": f} for a, f, _ in rows])
+    scored = metrics.account_columns(signals.account_scores(users, make_posts(spark, [])))
+    crawl = spark.createDataFrame([(a, f, c) for a, f, c in rows], "n string, f bigint, crawl int")
+    return scored.join(crawl, (F.col("user_screen_name") == F.col("n")) & (F.col("user_followers_count") == F.col("f"))).drop("n", "f")
+
+
+@pytest.fixture
+def store(spark):
+    return MaintainedMetrics(spark, fresh_path(spark, "metrics"), ["crawl"], ["int"], buckets=3)
+
+
+def test_equals_a_recompute(spark, store):
+    post_batches = [
+        [("a", 1, 0), ("a", 2, DAY), ("b", 3, 5)],
+        [("a", 2, DAY), ("b", 4, 2 * DAY), ("c", 5, 1), ("c", 5, 1)],  # a repeat, in and over batches
+        [("a", 6, 1), (None, 7, 1), ("b", 8, None)],  # late, without account, without time
+        [("a", 1, 0), ("b", 3, 5)],  # repeats alone
+    ]
+    account_batches = [
+        [("a", 11, 5), ("b", 12, 5)],
+        [("c", 13, 5), ("b", 22, 9)],
+        [("a", 31, 2)],  # an earlier first version
+        [("silent", 1, 1)],
+    ]
+    posts, accounts, state = [], None, Counter()
+    for number, (p, a) in enumerate(zip(post_batches, account_batches)):
+        store.add_posts(number, posts_of(spark, *p))
+        store.add_accounts(number, accounts_of(spark, *a))
+        posts = list(dict.fromkeys(posts + p))
+        accounts = accounts_of(spark, *a) if accounts is None else accounts.union(accounts_of(spark, *a))
+        expected = rows_of(metrics.account_metrics(posts_of(spark, *posts), accounts, order_by=["crawl"]))
+        assert rows_of(store.current()) == expected
+        names = sorted(store.current().columns)
+        for row in store.changes(number).collect():
+            state[tuple(row[name] for name in names)] += row["op"]
+        assert +state == expected and min(state.values()) >= 0
+    last = store.changes(2).filter("screen_name = 'a'").orderBy("op").collect()
+    assert [(r["op"], r["user_followers_count"], r["tweet_count"]) for r in last] == [(-1, 11.0, 2), (1, 31.0, 3)]
+    assert store.changes(3).collect() == []
+
+
+def test_a_batch_again_changes_nothing(spark, store):
+    for _ in range(2):
+        store.add_posts(0, posts_of(spark, ("a", 1, 0), ("a", 2, 0)))
+        store.add_accounts(0, accounts_of(spark, ("a", 11, 1)))
+    before = rows_of(store.current())
+    for _ in range(2):
+        store.add_posts(1, posts_of(spark, ("a", 2, 0), ("a", 3, DAY)))
+    assert [r["tweet_count"] for r in store.current().collect()] == [3]
+    assert rows_of(store.current(0)) == before
+    days = {r["day"]: r["tweet_count"] for r in store.days().collect()}
+    assert days == {0: 2, 1: 1}
+
+
+def test_empty(spark, store):
+    assert store.current().collect() == []
+    store.add_posts(0, posts_of(spark))
+    store.add_accounts(0, accounts_of(spark))
+    assert store.current().collect() == [] and store.changes(0).collect() == []
+    assert store.current().columns == ["screen_name", *TOTALS, *metrics.ACCOUNT_MEANS]
+
+
+def test_posts_without_an_id_count_each(spark, store):
+    store.add_posts(0, posts_of(spark, ("a", None, 0), ("a", None, 0), ("a", 1, 0)))
+    totals = {r["screen_name"]: (r["tweet_count"], r["total_retweet_count"]) for r in store.days().collect()}
+    assert totals == {"a": (1, 6)}  # as account_metrics: ids are counted, values are summed
