@@ -16,12 +16,17 @@ Every set makes its entries once for each size class that partners may have: the
 known of the sizes, the more tokens have to be shared, and the shorter is the prefix.
 
 Sets with an index entry in common are candidates. At most FEW of them are compared with
-each other. Of larger entries all sets are compared with its pivot (the set with the fewest tokens of its
-own, as the original of a family of edited copies has). Two sets that are not both linked
-with the pivot can only link when they share tokens in which they differ from it, and by
-the prefix argument one of the rarest such tokens. So an entry with sets that do not link
-with its pivot is replaced by entries for (pivot, differing token), until there is none
-left. Each time the pivot drops out. Comparisons use the whole sets.
+each other. Of larger entries all sets are compared with its pivot (the set with the fewest
+tokens of its own, as the original of a family of edited copies has). Two sets that are not
+both linked with the pivot can only link when they share tokens in which they differ from
+it, and by the prefix argument one of the rarest such tokens. So an entry with sets that do
+not link with its pivot is replaced by entries for (pivot, differing token), until there is
+none left. Each time the pivot drops out. Comparisons use the whole sets.
+
+Only components matter. So after every round the sets linked so far are one part, pairs
+inside a part are not compared, and entries and pivots whose sets are all in one part are
+closed: of a family around an original little is left to the second round but the sets
+that are not in it.
 """
 
 from __future__ import annotations
@@ -38,11 +43,14 @@ from sparrowscope.llm.common import Tables, map_texts, mix64
 from sparrowscope.llm.components import components
 from sparrowscope.llm.shingles import digest, shingle_sets
 
-# Sets in which a token has to occur to be of the frequent class.
+# A token is of the frequent class if it occurs in this share of all sets, and in FREQUENT.
+FREQUENT_SHARE = 1 / 500
 FREQUENT = 16
 LONG = 400
 # Sets of an entry that are compared with each other at once; larger entries go by pivot.
+# MORE holds for entries by difference from a pivot, which have few false members.
 FEW = 24
+MORE = 512
 
 
 def slack(n: int, percent: int) -> int:
@@ -98,14 +106,19 @@ def _whole_sets(rows: DataFrame, size: int) -> DataFrame:
     return map_texts(rows, run, "set bigint, n bigint, tokens array<bigint>")
 
 
-def size_bin(n: int) -> int:
-    """Number of the size class; sizes of one class differ by 3 % at most."""
-    return int(math.log(n) / math.log(1.03) + 1e-9)
+def _ratio(percent: int) -> float:
+    """Sizes of one class differ by this factor at most: that of the smallest partner."""
+    return max(100 / percent, 1.03)
 
 
-def _least_of_bin(number: int) -> int:
-    size = max(1, int(1.03**number) - 1)
-    while size_bin(size) < number:
+def size_bin(n: int, percent: int) -> int:
+    """Number of the size class."""
+    return int(math.log(n) / math.log(_ratio(percent)) + 1e-9)
+
+
+def _least_of_bin(number: int, percent: int) -> int:
+    size = max(1, int(_ratio(percent) ** number) - 1)
+    while size_bin(size, percent) < number:
         size += 1
     return size
 
@@ -116,9 +129,9 @@ def partner_bins(n: int, percent: int) -> list[tuple[int, int]]:
     partner of that class: similar sets share percent / (100 + percent) of both sizes."""
     low, high = -(-percent * n // 100), 100 * n // percent
     out = []
-    for number in range(size_bin(low), size_bin(high) + 1):
-        least = max(low, _least_of_bin(number))
-        if least <= high and size_bin(least) == number:
+    for number in range(size_bin(low, percent), size_bin(high, percent) + 1):
+        least = max(low, _least_of_bin(number, percent))
+        if least <= high and size_bin(least, percent) == number:
             out.append((number, n - -(-percent * (n + least) // (100 + percent))))
     return out
 
@@ -129,7 +142,7 @@ def index_entries(
     """Entries of a set of `n` tokens, of which `tokens` are the first slack + 2 or more,
     rarest first; `counts` are the sets that have them. Tokens of no other set need no
     entry. Entries are made for every size class of partners, and name both classes."""
-    own, made = size_bin(n), []
+    own, made = size_bin(n, percent), []
     for other, free in partner_bins(n, percent):
         entries = _class_entries(n, tokens[: free + 2], counts[: free + 2], free, percent, frequent, long)
         if len(entries):
@@ -156,26 +169,28 @@ def _class_entries(
 
 
 def _index(ordered: DataFrame, percent: int, frequent: int, long: int) -> DataFrame:
-    """entry, set, n and alone (tokens of no other set) for every index entry."""
+    """entry, set and alone (tokens of no other set) for every index entry."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(column.to_pylist() for column in batch.columns))
-            entries, names, sizes, alone = [], [], [], []
+            entries, names, alone = [], [], []
             for name, n, tokens, counts in rows:
                 made = index_entries(
                     n, np.array(tokens, np.int64).view(np.uint64), np.array(counts, np.int64), percent, frequent, long
                 )
                 entries.append(_signed(made))
                 names.append(np.full(len(made), name))
-                sizes.append(np.full(len(made), n))
-                alone.append(np.full(len(made), counts.count(1)))
+                alone.append(np.full(len(made), counts.count(1), np.int32))
             yield pa.record_batch(
-                [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (entries, names, sizes, alone)],
-                names=["entry", "set", "n", "alone"],
+                [
+                    pa.array(np.concatenate(c) if c else [], kind)
+                    for c, kind in ((entries, pa.int64()), (names, pa.int64()), (alone, pa.int32()))
+                ],
+                names=["entry", "set", "alone"],
             )
 
-    return map_texts(ordered, run, "entry bigint, set bigint, n bigint, alone bigint")
+    return map_texts(ordered, run, "entry bigint, set bigint, alone int")
 
 
 def difference_entries(
@@ -213,6 +228,13 @@ def difference_entries(
     return linked, np.unique(np.concatenate(made)) if made else np.zeros(0, np.uint64)
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """set, pivot, last, alone, linked and, unless last, the difference entries of the pairs."""
     left = sets.select("set", "n", "tokens", "counts")
@@ -224,22 +246,24 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, counts, y, m = (batch.column(k) for k in range(2, 6))
-            made = [
-                difference_entries(*(np.asarray(column[k].values) for column in (x, counts, y, m)), percent)
-                for k in range(batch.num_rows)
-            ]
-            last = batch.column(6).to_pylist()
+            last, made = batch.column(6).to_pylist(), []
+            for k in range(batch.num_rows):
+                a, b = np.asarray(x[k].values), np.asarray(y[k].values)
+                if last[k]:
+                    made.append((_similar(a, b, percent), np.zeros(0, np.uint64)))
+                else:
+                    made.append(difference_entries(a, np.asarray(counts[k].values), b, np.asarray(m[k].values), percent))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), batch.column(6),
-                    pa.array([int((np.asarray(counts[k].values) == 1).sum()) for k in range(batch.num_rows)], pa.int64()),
+                    pa.array([int((np.asarray(counts[k].values) == 1).sum()) for k in range(batch.num_rows)], pa.int32()),
                     pa.array([linked for linked, _ in made], pa.bool_()),
-                    _lists([apart[:0] if final else apart for (_, apart), final in zip(made, last)]),
+                    _lists([apart for _, apart in made]),
                 ],
                 names=["set", "pivot", "last", "alone", "linked", "apart"],
             )
 
-    schema = "set bigint, pivot bigint, last boolean, alone bigint, linked boolean, apart array<bigint>"
+    schema = "set bigint, pivot bigint, last boolean, alone int, linked boolean, apart array<bigint>"
     return map_texts(joined, run, schema)
 
 
@@ -285,23 +309,23 @@ def linked_sets(sets: DataFrame, tables: Tables, percent: int, frequent: int, lo
     tables.drop(counts)
     head = F.lit(1), F.greatest(F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100) + 2).cast("int")
     heads = ordered.select("set", "n", F.slice("tokens", *head).alias("tokens"), F.slice("counts", *head).alias("counts"))
-    index = tables.store(_index(heads, percent, frequent, long).withColumn("linked", F.lit(False)), "index")
+    often = max(frequent, math.ceil(ordered.count() * FREQUENT_SHARE))
+    index = tables.store(_index(heads, percent, often, long).withColumn("part", F.col("set")), "index")
 
-    links = None
+    links, few = None, FEW
     while True:
         held = index.groupBy("entry").agg(
             F.count(F.lit(1)).alias("held"), F.min(F.struct("alone", "set")).alias("first"),
-            F.bool_and("linked").alias("linked"),
+            F.min("part").alias("low"), F.max("part").alias("high"),
         )
-        # Sets that all link with the pivot of their entry are one component already.
-        held = held.where("held > 1 AND NOT linked").select("entry", "held", F.col("first.set").alias("pivot"))
+        # Sets of one component have nothing left to find.
+        held = held.where("low != high").select("entry", "held", F.col("first.set").alias("pivot"))
         held = tables.store(held, "open-entries")
-        few, many = F.col("held") <= FEW, F.col("held") > FEW
-        rows = index.select("entry", "set", "linked")
-        small = rows.join(held.where(few).select("entry"), "entry")
-        other = small.select("entry", F.col("set").alias("pivot"), F.col("linked").alias("known"))
-        inside = small.join(other, "entry").where("set > pivot AND NOT (linked AND known)")
-        to_pivot = rows.join(held.where(many).select("entry", "pivot"), "entry").where("set != pivot")
+        rows = index.select("entry", "set", "part")
+        small = rows.join(held.where(F.col("held") <= few).select("entry"), "entry")
+        other = small.select("entry", F.col("set").alias("pivot"), F.col("part").alias("its"))
+        inside = small.join(other, "entry").where("set > pivot AND part != its")
+        to_pivot = rows.join(held.where(F.col("held") > few).select("entry", "pivot"), "entry").where("set != pivot")
         pairs = inside.select("set", "pivot", F.lit(True).alias("last")).union(
             to_pivot.select("set", "pivot", F.lit(False).alias("last"))
         )
@@ -309,20 +333,42 @@ def linked_sets(sets: DataFrame, tables: Tables, percent: int, frequent: int, lo
         found = tables.store(_compared(pairs, ordered, percent), "compared")
         links = _pairs_of(found) if links is None else links.union(_pairs_of(found))
         tables.drop(index, held)
-        if not found.where("NOT last").limit(1).count():
-            return components(links, tables)
-        # Where all sets link with their pivot, nothing is left to find.
-        apart = found.where("NOT last AND NOT linked").select("pivot").distinct()
-        index = found.where("NOT last").join(apart, "pivot", "left_semi")
-        index = index.select("pivot", "set", "alone", "linked", F.explode("apart").alias("token"))
-        index = index.select(F.xxhash64("pivot", "token").alias("entry"), "set", "alone", "linked").distinct()
-        index = tables.store(index, "index")
+        nodes = components(links, tables)
+        going = found.where("NOT last")
+        if not going.limit(1).count():
+            return nodes
+        index, few = _next_index(going, nodes, tables), MORE
+        if index is None:
+            return nodes
         # Only sets of open entries are looked at again.
         left = tables.store(ordered.join(index.select("set").distinct(), "set", "left_semi"), "ordered-sets")
         tables.drop(ordered)
         ordered = left
 
 
+def _next_index(going: DataFrame, nodes: DataFrame, tables: Tables) -> DataFrame | None:
+    """Entries of the sets by what they differ in from their pivots, with the component
+    each is in by now (`part`). Where a pivot and all its sets are in one, there are none."""
+    part = nodes.select(F.col("node").alias("set"), F.col("root").alias("part"))
+    its = nodes.select(F.col("node").alias("pivot"), F.col("root").alias("its"))
+    known = going.join(part, "set", "left").join(its, "pivot", "left").select(
+        "pivot", "set", "alone", "apart", F.coalesce("part", "set").alias("part"), F.coalesce("its", "pivot").alias("its")
+    )
+    known = tables.store(known, "known-parts")
+    open_pivots = known.where("part != its").select("pivot").distinct()
+    index = known.join(open_pivots, "pivot", "left_semi").select(
+        "pivot", "set", "alone", "part", F.explode("apart").alias("token")
+    )
+    index = index.select(F.xxhash64("pivot", "token").alias("entry"), "set", "alone", "part").distinct()
+    # An entry of one component alone is none.
+    index = tables.store(index, "index")
+    tables.drop(known)
+    if index.limit(1).count():
+        return index
+    tables.drop(index)
+    return None
+
+
 def _pairs_of(found: DataFrame) -> DataFrame:
     return found.where("linked").select(F.col("set").alias("a"), F.col("pivot").alias("b"))
 
@@ -331,6 +377,8 @@ def _placed_rows(
     docs: DataFrame, size: int, percent: int, id: str, text: str, frequent: int, long: int
 ) -> DataFrame:
     """doc_id, mark (hash of the text), n and component_id of every row."""
+    if percent <= 50:  # sets of one token have no entries: only below could they link
+        raise ValueError(f"percent has to be above 50, not {percent}")
     tables = Tables(docs.sparkSession)
     rows = docs.select(
         docs[id].cast("bigint").alias("doc_id"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("mark")
@@ -362,7 +410,8 @@ def near_duplicates(
     empty texts have no shingles and link with nothing; texts of fewer than `size` words
     are one shingle. Rows with a null id link with nothing and have a null component.
     Repeated rows have equal results; rows of one id with other texts link each by its own
-    text. An empty table gives an empty result. Other columns are not read.
+    text. An empty table gives an empty result. Other columns are not read. `percent` has
+    to be above 50.
     """
     placed = _placed_rows(docs, size, percent, id, text, frequent, long)
     return placed.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -374,17 +423,20 @@ def keep_one(
 ) -> DataFrame:
     """The rows of `docs`, all columns as they are, but of each component only one: that
     of the smallest id. Rows with a null id stay, and so does one row of every id whose
-    text has no word."""
+    text has no word; of repeated rows one stays. Columns may have any names. An empty table
+    gives an empty one. `percent` has to be above 50."""
     tables = Tables(docs.sparkSession)
     placed = _placed_rows(docs, size, percent, id, text, frequent, long)
     kept = placed.where("doc_id IS NOT NULL").groupBy("component_id", F.col("n") == 0).agg(
         F.min(F.struct("doc_id", "mark")).alias("kept")
     )
     kept = tables.store(kept.select(F.col("kept.doc_id").alias("__id"), F.col("kept.mark").alias("__mark")), "kept")
-    columns = [docs[c] for c in docs.columns]
-    own, mark = docs[id].cast("bigint"), F.xxhash64(docs[text])
-    marked = docs.select(*columns, own.alias("__own"), mark.alias("__text"))
+    # The columns of `docs` travel in one, so that no name of theirs can clash.
+    marked = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("__row"),
+        docs[id].cast("bigint").alias("__own"), F.xxhash64(docs[text]).alias("__text"),
+    )
     stay = marked.where("__own IS NOT NULL").join(
         kept.distinct(), (F.col("__own") == F.col("__id")) & (F.col("__text") == F.col("__mark")), "left_semi"
     ).dropDuplicates(["__own", "__text"])
-    return stay.union(marked.where("__own IS NULL")).drop("__own", "__text")
+    return stay.union(marked.where("__own IS NULL")).select("__row.*")

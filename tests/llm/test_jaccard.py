@@ -126,3 +126,57 @@ def test_difference_entries_of_linked_sets_meet():
         assert made["x"][0] == linked(x, pivot)
         assert set(made["x"][1].tolist()) & set(made["z"][1].tolist())
     assert tested > 300
+
+
+def family(seed, copies):
+    """Copies of one text, edited as far as 80 % allows, a few of them beyond."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, copies):
+        t = list(base)
+        for k in rng.sample(range(60), rng.choice([1, 2, 3, 4, 5, 5, 6, 6, 6, 7])):
+            t[k] = f"v{rng.randint(0, 300)}"
+        rows.append((i, " ".join(t)))
+    return rows
+
+
+def test_a_family_near_the_threshold_costs_its_size(spark, docs_of, monkeypatch):
+    work, store = {}, jaccard.Tables.store
+
+    def counted(self, df, name):
+        table = store(self, df, name)
+        if name in ("index", "compared"):
+            work[name] = work.get(name, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(jaccard.Tables, "store", counted)
+    seen = []
+    for copies in (100, 300):
+        work.clear()
+        rows = family(5, copies)
+        found = jaccard.near_duplicates(docs_of(rows), 1, 80)
+        assert sorted(tuple(r) for r in found.collect()) == plain(rows, 1, 80)
+        seen.append(dict(work))
+    assert seen[1]["index"] <= 5 * seen[0]["index"], seen
+    assert seen[1]["compared"] <= 5 * seen[0]["compared"], seen
+
+
+def test_keep_one_with_any_columns(spark, docs_of):
+    names = ["__own", "__text", "__id", "__mark", "__row", "component_id", "set", "n"]
+    docs = docs_of(corpus(3, 40)[:60])
+    wide = docs
+    for name in names:
+        wide = wide.withColumn(name, jaccard.F.lit(7))
+    kept = jaccard.keep_one(wide)
+    assert kept.columns == wide.columns
+    plain_kept = jaccard.keep_one(docs)
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "")
+    assert sorted(map(key, kept.collect())) == sorted(map(key, plain_kept.collect()))
+    assert {r["set"] for r in kept.collect()} == {7}
+    assert jaccard.keep_one(wide.where("doc_id < -1")).collect() == []
+
+
+def test_low_percent_is_refused(docs_of):
+    with pytest.raises(ValueError):
+        jaccard.near_duplicates(docs_of([(1, "a"), (2, "a b")]), 1, 50)
