@@ -20,6 +20,10 @@ FRIENDS_LIMIT = 500
 SCORE_QUANTILE = 0.75
 UNLABELLED = "none"
 
+# Entries of a quantile sketch and the share of ranks by which it may be off.
+SKETCH_SIZE = 2000
+SKETCH_ERROR = 0.003
+
 # The history of an account is cut into slots of this many seconds.
 SLOT_SECONDS = 86_400
 
@@ -236,6 +240,26 @@ def score_threshold(
     return ranked.filter(reached).agg(F.min(score).alias("threshold"))
 
 
+def score_sketches(
+    scored: DataFrame, *, score: str = "bot_score", by: str | None = None, size: int = SKETCH_SIZE
+) -> DataFrame:
+    """Quantile sketches of a whole-number score: one row (``sketch``, ``n``), or one per
+    value of ``by``, such as the day of a crawl. They can be stored and merged later."""
+    known = scored.filter(F.col(score).isNotNull())
+    sketch = F.kll_sketch_agg_bigint(F.col(score).cast("bigint"), F.lit(size)).alias("sketch")
+    return known.groupBy(*([by] if by else [])).agg(sketch, F.count(F.lit(1)).alias("n"))
+
+
+def sketched_threshold(sketches: DataFrame, *, quantile: float = SCORE_QUANTILE) -> DataFrame:
+    """One row: the quantile from merged sketches, of a rank within ``SKETCH_ERROR`` of the
+    wanted one (99 % of the time, for sketches of ``SKETCH_SIZE``; exact for so few scores
+    that the sketch keeps them all). Null without scores. Only sketches are read, so the
+    cost does not grow with the accounts; ``score_threshold`` is the exact one."""
+    merged = sketches.agg(F.kll_merge_agg_bigint("sketch").alias("sketch"), F.sum("n").alias("n"))
+    found = F.kll_sketch_get_quantile_bigint("sketch", F.lit(float(quantile)))
+    return merged.select(F.when(F.col("n") > 0, found).alias("threshold"))
+
+
 def classify_accounts(
     scored: DataFrame,
     *,

@@ -161,6 +161,22 @@ def score_threshold(spark, sf_dir):
     return signals.score_threshold(_scored(spark, sf_dir))
 
 
+@query
+def sketched_threshold(spark, sf_dir):
+    """The threshold from sketches of ten groups of accounts, and whether its rank is
+    within the error that is stated for it."""
+    scored = stored(_scored(spark, sf_dir))
+    day = F.pmod(F.xxhash64("screen_name"), F.lit(10))
+    sketches = stored(signals.score_sketches(scored.withColumn("day", day), by="day"))
+    found = signals.sketched_threshold(sketches).scalar()
+    score, error = F.col("bot_score"), signals.SKETCH_ERROR
+    return scored.filter(score.isNotNull()).agg(
+        F.count(F.lit(1)).alias("scores"),
+        ((F.count_if(score < found) / F.count(F.lit(1)) <= signals.SCORE_QUANTILE + error)
+         & (F.count_if(score <= found) / F.count(F.lit(1)) >= signals.SCORE_QUANTILE - error)).alias("within"),
+    )
+
+
 @query
 def summary_stats(spark, sf_dir):
     names = ["followers_count", "friends_count", "time_bot_count", "views_score", "bot_score"]

@@ -195,6 +195,7 @@ SELECTS = {
         SELECT screen_name, ratio AS following_follower, friend_score FROM imbalance
     """,
     "score_threshold": "SELECT threshold FROM threshold",
+    "sketched_threshold": "SELECT count(bot_score) AS scores, true AS within FROM scored",
     "summary_stats": " UNION ALL ".join(
         [
             _summary_row("count", "count({})"),

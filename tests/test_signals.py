@@ -225,3 +225,24 @@ def test_partitioning_does_not_change_scores(spark):
     one = signals.account_scores(users.coalesce(1), posts.coalesce(1))
     many = signals.account_scores(users.repartition(5), posts.repartition(7))
     assert rows_of(one) == rows_of(many)
+
+
+def test_threshold_from_sketches(spark):
+    import random
+
+    choose = random.Random(3)
+    scores = [int(choose.paretovariate(0.6)) for _ in range(30_000)]
+    rows = [(i % 7, s) for i, s in enumerate(scores)] + [(1, None)]
+    df = spark.createDataFrame(rows, "day int, bot_score bigint").repartition(5)
+    sketches = signals.score_sketches(df, by="day")
+    assert {r["day"]: r["n"] for r in sketches.collect()} == {d: scores[d::7].__len__() for d in range(7)}
+    for quantile in (0.1, 0.75, 0.99):
+        found = signals.sketched_threshold(sketches, quantile=quantile).first()["threshold"]
+        below, upto = sum(s < found for s in scores), sum(s <= found for s in scores)
+        assert below / len(scores) <= quantile + signals.SKETCH_ERROR
+        assert upto / len(scores) >= quantile - signals.SKETCH_ERROR
+    few = df.limit(500).cache()
+    exact = signals.score_threshold(few).first()["threshold"]
+    assert signals.sketched_threshold(signals.score_sketches(few)).first()["threshold"] == exact
+    few.unpersist()
+    assert signals.sketched_threshold(signals.score_sketches(df.limit(0))).first()["threshold"] is None

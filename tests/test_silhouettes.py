@@ -1,0 +1,124 @@
+"""Silhouettes of several clusterings in two passes, against Spark's evaluator and plain loops."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.linalg import Vectors
+
+from sparrowscope.operators import clustering
+from sparrowscope.operators.clustering import fit_partitions, k_sweep, silhouettes
+from sparrowscope.sources.shared import stored
+
+
+def frame(spark, rows):
+    """Rows of (vector, cluster numbers)."""
+    data = [(str(i), Vectors.dense(v), *c) for i, (v, c) in enumerate(rows)]
+    names = ["screen_name", "scaled_features", *(f"c{j}" for j in range(len(rows[0][1])))]
+    return spark.createDataFrame(data, names).repartition(3)
+
+
+def plain(rows, j, cosine=False):
+    """Mean silhouette from all distances, one by one."""
+
+    def distance(a, b):
+        if cosine:
+            return 1 - sum(x * y for x, y in zip(a, b)) / math.hypot(*a) / math.hypot(*b)
+        return sum((x - y) ** 2 for x, y in zip(a, b))
+
+    groups = {}
+    for i, (v, c) in enumerate(rows):
+        groups.setdefault(c[j], []).append((i, v))
+    total = 0.0
+    for i, (v, c) in enumerate(rows):
+        own = groups[c[j]]
+        if len(own) == 1:
+            continue
+        inside = sum(distance(v, w) for k, w in own if k != i) / (len(own) - 1)
+        outside = min(sum(distance(v, w) for _, w in g) / len(g) for n, g in groups.items() if n != c[j])
+        total += (outside - inside) / max(inside, outside) if inside != outside else 0.0
+    return total / len(rows)
+
+
+def corpus(seed=1, count=80):
+    choose = random.Random(seed)
+    out = []
+    for i in range(count):
+        v = [choose.gauss(3 * (i % 3), 1) + 0.5 for _ in range(4)]
+        out.append((v, (i % 3, choose.randrange(5), 7 if i == 0 else 2)))
+    return out
+
+
+@pytest.mark.parametrize("distance", ["squaredEuclidean", "cosine"])
+def test_against_evaluator_and_loops(spark, distance):
+    rows = corpus()
+    df = frame(spark, rows)
+    found = {r["name"]: r for r in silhouettes(df, ["c0", "c1", "c2"], distance).collect()}
+    assert [found[n]["clusters"] for n in ("c0", "c1", "c2")] == [3, 5, 2]
+    for j in range(3):
+        expected = plain(rows, j, distance == "cosine")
+        assert found[f"c{j}"]["silhouette"] == pytest.approx(expected, abs=1e-9)
+        spark_value = ClusteringEvaluator(
+            featuresCol="scaled_features", predictionCol=f"c{j}", distanceMeasure=distance
+        ).evaluate(df)
+        assert found[f"c{j}"]["silhouette"] == pytest.approx(spark_value, abs=1e-9)
+        # The evaluator the library uses for one clustering, against the loops as well.
+        one = clustering.silhouette(df.withColumnRenamed(f"c{j}", "cluster"), distance)
+        assert one == pytest.approx(expected, abs=1e-9)
+
+
+def test_one_cluster_and_empty(spark):
+    rows = [([1.0, 2.0], (4,)), ([2.0, 2.0], (4,))]
+    assert tuple(silhouettes(frame(spark, rows), ["c0"]).first()) == ("c0", 1, None)
+    empty = frame(spark, rows).limit(0)
+    assert tuple(silhouettes(empty, ["c0"]).first()) == ("c0", 0, None)
+    with pytest.raises(ValueError):
+        silhouettes(empty, ["c0"], "manhattan")
+
+
+def test_equal_points(spark):
+    rows = [([1.0, 1.0], (0,)), ([1.0, 1.0], (0,)), ([1.0, 1.0], (1,)), ([1.0, 1.0], (1,))]
+    assert silhouettes(frame(spark, rows), ["c0"]).first()["silhouette"] == 0.0
+
+
+def test_sweep_equals_one_by_one(spark):
+    df = frame(spark, corpus()).select("screen_name", "scaled_features")
+    swept = {r["k"]: (r["clusters"], r["silhouette"]) for r in k_sweep(df, [2, 3, 5], seed=42).collect()}
+    laid = stored(clustering.in_order(df))
+    for k in (2, 3, 5):
+        model = KMeans(k=k, featuresCol="scaled_features", predictionCol="cluster").setSeed(42).fit(laid)
+        clustered = model.transform(laid)
+        assert swept[k][0] == clustered.select("cluster").distinct().count()
+        assert swept[k][1] == pytest.approx(clustering.silhouette(clustered, "squaredEuclidean"), abs=1e-9)
+
+
+def test_assignments_are_nearest_centres(spark):
+    df = frame(spark, corpus()).select("screen_name", "scaled_features")
+    model = clustering.fit_clusters(df, 3)
+    centres = [list(c) for c in model.clusterCenters()]
+    for row in model.transform(df).collect():
+        away = [sum((x - y) ** 2 for x, y in zip(row["scaled_features"], c)) for c in centres]
+        assert row["cluster"] == away.index(min(away))
+
+
+def test_scans_do_not_depend_on_the_number_of_k(spark, monkeypatch):
+    """The evaluation runs the same jobs for one clustering and for many."""
+    df = frame(spark, corpus()).cache()
+    df.count()
+    tracker, counts = spark.sparkContext.statusTracker(), []
+    for names in (["c0"], ["c0", "c1", "c2"]):
+        group = f"silhouettes-{len(names)}"
+        spark.sparkContext.setJobGroup(group, group)
+        silhouettes(df, names).collect()
+        counts.append(len(tracker.getJobIdsForGroup(group)))
+    spark.sparkContext.setJobGroup("", "")
+    df.unpersist()
+    assert counts[0] == counts[1]
+
+
+def test_partitions_follow_the_rows():
+    assert [fit_partitions(n) for n in (0, 8_000_000, 8_000_001, 10**9)] == [8, 8, 9, 1000]
