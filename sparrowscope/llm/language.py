@@ -31,6 +31,7 @@ PER_LANGUAGE = 1_000
 BITS = 12
 # Bytes hashed at a time, so that a very long text needs no more memory.
 _BLOCK = 1 << 20
+# Letters, and signs such as fractions that are no decimal digits either.
 _LETTER = re.compile(r"[^\W\d_]")
 _KEEP = np.full(256, 32, np.uint32)
 _KEEP[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -38,7 +39,8 @@ _KEEP[128:] = np.arange(128, 256)
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether a character is in one of Unicode's letter categories."""
+    return bool(text) and any(found.group().isalpha() for found in _LETTER.finditer(text))
 
 
 def trigram_counts(text: str | None) -> np.ndarray:

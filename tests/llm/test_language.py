@@ -43,6 +43,46 @@ def test_blocks_count_like_one_text(monkeypatch):
     assert (language.trigram_counts(value) == whole).all()
 
 
+def test_signs_are_no_letters(docs_of):
+    import sys
+    import unicodedata
+
+    for code in range(sys.maxunicode + 1):
+        sign = chr(code)
+        assert language.has_letter(sign) == unicodedata.category(sign).startswith("L")
+    model = language.fit(docs_of([(1, "hello there"), (2, "le mot", "fr")]))
+    texts = ["½ ² ① 12", "١٢", "_", "²" * 1000, "½a"]
+    found = language.predict(docs_of(list(enumerate(texts))), model).collect()
+    assert [r["lang_pred"] == "und" for r in sorted(found)] == [True, True, True, True, False]
+
+
+def test_features_and_votes_against_plain_loops():
+    for value in ("The Straße, of 12 cats\n", "", None, "ab", "éÉ zz"):
+        kept = [32, *(value or "").lower().encode(), 32]
+        kept = [b if b >= 128 or 97 <= b <= 122 else 32 for b in kept]
+        expected = [0] * (1 << language.BITS)
+        for i in range(len(kept) - 2):
+            code = (kept[i] << 16) + (kept[i + 1] << 8) + kept[i + 2]
+            expected[(code * 2654435761) % 2**32 >> (32 - language.BITS)] += 1
+        assert language.trigram_counts(value).tolist() == expected
+    rng = np.random.default_rng(4)
+    names = ["a", "b", "c", "d"]
+    for _ in range(50):
+        x = rng.normal(size=6).astype(np.float32)
+        pairs = [(i, j) for i in range(4) for j in range(i + 1, 4)]
+        weights = rng.normal(size=(6, 7)).astype(np.float32)
+        margins = [float(w[:-1] @ x + w[-1]) for w in weights]
+        votes, sums = [0] * 4, [0.0] * 4
+        for (i, j), margin in zip(pairs, margins):
+            votes[i if margin >= 0 else j] += 1
+            sums[i] += margin
+            sums[j] -= margin
+        best = sorted(range(4), key=lambda i: (-votes[i], -sums[i], i))[0]
+        least = min(m if i == best else -m for (i, j), m in zip(pairs, margins) if best in (i, j))
+        name, score = language.Machines(names, pairs, weights).predict(x)
+        assert name == names[best] and abs(score - 1 / (1 + np.exp(-3 * least))) < 1e-6
+
+
 def test_little_to_learn_from(docs_of):
     empty = docs_of([(1, "a")]).where("doc_id > 5")
     nothing = language.fit(empty)
