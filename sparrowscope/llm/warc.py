@@ -287,9 +287,12 @@ def field(entries: str, name: str):
 
 def captured_pages(spark: SparkSession, path: str) -> DataFrame:
     """Per capture the page id of its metadata, payload size and digest, record type and
-    the page id of the response that a revisit refers to."""
-    captures = assemble(read_records(spark, path))
-    captures = captures.select(
+    the page id of the response that a revisit refers to. Captures without a metadata
+    record have a null page id, revisits of a response that is not there a null one to
+    refer to; captures of equal rows are one. A folder without records gives no rows."""
+    # Archives are parsed once; `assemble` looks at the records several times.
+    records = store(read_records(spark, path), "records")
+    captures = assemble(records).select(
         "record_id", field("metadata", "page-id").cast("bigint").alias("page_id"), "payload_bytes",
         "payload_digest", F.col("type").alias("record_type"), "refers_to",
     )
