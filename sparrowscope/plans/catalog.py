@@ -502,6 +502,13 @@ def flat_users(spark, sf_dir):
 # -- Search ------------------------------------------------------------------
 
 
+@query
+def indexed_search(spark, sf_dir):
+    """The same from an index of grams, among 2,000 keywords that no post has."""
+    absent = [f"absent-{i}" for i in range(2000)]
+    return search.indexed_search(bindings.search_texts(spark, sf_dir), [*KEYWORDS, *absent])
+
+
 @query
 def engagement_search(spark, sf_dir):
     return _hits(spark, sf_dir)

@@ -347,6 +347,7 @@ SELECTS = {
         WHERE n = 1
     """,
     "engagement_search": "SELECT * FROM hits",
+    "indexed_search": "SELECT * FROM hits",
     "top_posts_per_keyword": f"""
         SELECT keyword, CAST(n AS INTEGER) AS rank, id, favorite_count
         FROM (SELECT *, row_number() OVER (PARTITION BY keyword

@@ -57,3 +57,34 @@ def test_account_timeline(spark):
 def test_filter_lang_drops_unknown_languages(spark):
     df = spark.createDataFrame([("en",), ("fr",), (None,)], "lang string")
     assert search.filter_lang(df).count() == 1
+
+
+def test_indexed_search_equals_the_plain_one(spark):
+    texts = [
+        "The THING is near", "nothing", None, "", "straße und İstanbul", "日本語テキスト", "a\U0001f600b", "x" * 5000 + "needle",
+        "ab", "a", "near near near",
+    ]
+    rows = [(i, t, 100 + i, 10, i) for i, t in enumerate(texts)] + [(50, "near", 5, 10, 0), (51, "near", 100, 1, 0)]
+    posts = spark.createDataFrame(rows, "id int, text string, favorite_count int, retweet_count int, gram int").repartition(3)
+    words = ["near", "Thing", "thing", "a", "ab", "", "needle", "日本", "İ", "\U0001f600", "near", "STRASSE", "straße", "absent", "xxxxxneedle"]
+    found = search.indexed_search(posts, words)
+    expected = search.engagement_search(posts, words)
+    assert found.columns == expected.columns
+    assert rows_of(found) == rows_of(expected)
+    assert search.indexed_search(posts, []).collect() == []
+    assert search.indexed_search(posts.limit(0), words).collect() == []
+
+
+def test_indexed_search_with_five_thousand_keywords(spark):
+    import random
+
+    choose = random.Random(1)
+    word = lambda: "".join(choose.choices("abcdefgh ", k=choose.randint(2, 9)))
+    words = list(dict.fromkeys(word() for _ in range(5200)))[:5000]
+    texts = ["".join(choose.choices("abcdefgh ", k=200)) for _ in range(60)]
+    posts = spark.createDataFrame([(i, t, 100, 10) for i, t in enumerate(texts)], "id int, text string, favorite_count int, retweet_count int")
+    found = search.indexed_search(posts, words)
+    assert {(r["keyword"], r["id"]) for r in found.collect()} == {(w, i) for w in words for i, t in enumerate(texts) if w in t}
+    assert found.count() == len(found.distinct().collect())
+    plan = executed_plan_of(found)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
