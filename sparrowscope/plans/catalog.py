@@ -28,7 +28,7 @@ from ..operators import (
     signals,
 )
 from ..schemas import FEATURES, POST_DOCUMENT, RECORD, UNSCORED_USER_COLUMNS, USER_DOCUMENT
-from ..sources import arrays, batch, keystore, layout
+from ..sources import arrays, batch, keystore, layout, publish
 from ..sources.shared import fresh_path, stored
 from ..streaming import ingest, regularity
 from . import bindings
@@ -284,6 +284,17 @@ def sink_parquet(spark, sf_dir):
     return _plain_dates(batch.read_table(spark, path))
 
 
+@query
+def sink_published(spark, sf_dir):
+    """Scored posts published in three batches, the last one twice and an old one late."""
+    path = fresh_path(spark, "published")
+    posts = stored(_scored_posts(spark, sf_dir))
+    for number in (1, 3, 3, 2):
+        part = posts if number == 3 else posts.filter(F.col("id") % 3 == number)
+        publish.publish(part, path, number)
+    return _plain_dates(publish.read_published(spark, path))
+
+
 @query
 def sink_json_by_keyword(spark, sf_dir):
     path = fresh_path(spark, "hits")

@@ -224,6 +224,7 @@ SELECTS = {
     "scan_json_array": _SCANNED,
     "scan_json_array_ranges": _SCANNED,
     "sink_parquet": f"SELECT {_columns(POST_DOCUMENT)} FROM scored_posts",
+    "sink_published": f"SELECT {_columns(POST_DOCUMENT)} FROM scored_posts",
     "sink_json_by_keyword": "SELECT * FROM hits",
     "index_documents_users": f"""
         SELECT screen_name AS key, {_columns(USER_DOCUMENT)} FROM classified

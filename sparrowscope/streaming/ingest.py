@@ -13,6 +13,7 @@ from ..operators.dedup import conversation_key
 from ..operators.messages import decode_messages
 from ..operators.signals import account_signals, posting_gaps, view_inflation
 from ..schemas import RECORD, struct
+from ..sources.publish import publish
 
 # Folders that landed posts are dealt to by account.
 BUCKETS = 64
@@ -73,10 +74,11 @@ def land(
 
 
 def land_latest(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep the latest micro-batch only: every batch replaces the one before."""
+    """Keep the latest micro-batch: every batch is published as a whole in place of the one
+    before, for ``read_published``. A repeated batch changes nothing."""
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").json(path)
+        publish(batch, path, batch_id, format="json")
 
     return (
         stream.writeStream.foreachBatch(replace)

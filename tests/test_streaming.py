@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparrowscope.operators import messages, signals
 from sparrowscope.plans import jobs
 from sparrowscope.schemas import RECORD
+from sparrowscope.sources.publish import read_published
 from sparrowscope.sources.shared import fresh_path
 from sparrowscope.streaming import ingest
 
@@ -97,7 +98,7 @@ def test_latest_batch_only(spark):
         schema = history(spark, [1]).schema
         stream = ingest.decode_stream(ingest.read_message_files(spark, sent), schema)
         ingest.land_latest(stream.select("id"), latest, state).awaitTermination()
-        return rows_of(spark.read.json(latest))
+        return rows_of(read_published(spark, latest))
 
     send(spark, messages.account_messages(history(spark, [1, 2])), sent)
     assert run() == Counter({(1,): 1, (2,): 1})
