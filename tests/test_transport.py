@@ -1,0 +1,128 @@
+"""Documents through a transport that fails, loses answers and repeats calls."""
+
+from __future__ import annotations
+
+import json
+import os
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark import cloudpickle
+
+from sparrowscope.operators import messages
+from sparrowscope.schemas import USER_DOCUMENT
+from sparrowscope.sources.transport import write_documents
+
+
+# Tasks cannot import this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class FolderTransport:
+    """Batches as files; faults are injected by name of the place where they happen, each
+    as often as there are files in the folder `faults/<place>`."""
+
+    def __init__(self, folder):
+        self.folder = str(folder)
+        for name in ("staged", "committed", "faults"):
+            (Path(folder) / name).mkdir(parents=True, exist_ok=True)
+
+    def fault(self, place, times):
+        for i in range(times):
+            path = Path(self.folder, "faults", place)
+            path.mkdir(exist_ok=True)
+            (path / str(i)).touch()
+
+    def _stumble(self, place):
+        folder = Path(self.folder, "faults", place)
+        for file in sorted(folder.iterdir()) if folder.exists() else []:
+            try:
+                os.remove(file)
+            except FileNotFoundError:
+                continue
+            raise ConnectionError(place)
+
+    def stage(self, name, documents):
+        self._stumble("before")
+        Path(self.folder, "staged", name).write_text(json.dumps(documents, default=str))
+        self._stumble("after")  # arrived, but the answer is lost
+
+    def commit(self, names):
+        self._stumble("commit")
+        for name in names:
+            staged = Path(self.folder, "staged", name)
+            if staged.exists():
+                staged.rename(Path(self.folder, "committed", name))
+
+    def abort(self, names):
+        for name in names:
+            Path(self.folder, "staged", name).unlink(missing_ok=True)
+
+    def documents(self, where="committed"):
+        return [d for f in sorted(Path(self.folder, where).iterdir()) for d in json.loads(f.read_text())]
+
+
+@pytest.fixture
+def target(tmp_path):
+    return FolderTransport(tmp_path / "target")
+
+
+def numbers(spark, count=100):
+    return spark.range(0, count, 1, 3).selectExpr("id", "concat('text ', id) AS text", "named_struct('a', id) AS s")
+
+
+def check(target, count=100):
+    found = target.documents()
+    assert sorted(d["id"] for d in found) == list(range(count))
+    assert all(d["text"] == f"text {d['id']}" and d["s"] == {"a": d["id"]} for d in found)
+    assert target.documents("staged") == []
+
+
+def test_all_documents_once(spark, target):
+    write_documents(numbers(spark), target, size=7)
+    check(target)
+    assert len(list(Path(target.folder, "committed").iterdir())) == 15
+
+
+@pytest.mark.parametrize("faults", [{"before": 3}, {"after": 3}, {"commit": 2}, {"before": 2, "after": 2, "commit": 1}])
+def test_failures_neither_lose_nor_repeat(spark, target, faults):
+    for place, times in faults.items():
+        target.fault(place, times)
+    write_documents(numbers(spark), target, size=10, attempts=8, wait=0.001)
+    check(target)
+
+
+def test_a_failed_job_leaves_nothing(spark, target):
+    target.fault("before", 100)
+    with pytest.raises(Exception):
+        write_documents(numbers(spark), target, size=10, attempts=2, wait=0.001)
+    assert target.documents() == [] and target.documents("staged") == []
+    for file in Path(target.folder, "faults", "before").iterdir():
+        file.unlink()
+    write_documents(numbers(spark), target, size=10)
+    check(target)
+
+
+def test_a_failing_row_commits_nothing(spark, target):
+    """Tasks that Spark kills beside the failed one may leave staged batches, never more."""
+    rows = numbers(spark).selectExpr("id", "text", "s", "IF(id = 60, raise_error('broken'), 1) AS ok")
+    with pytest.raises(Exception, match="broken"):
+        write_documents(rows, target, size=5)
+    assert target.documents() == []
+    assert all(d["id"] < 33 or d["id"] > 65 for d in target.documents("staged"))
+
+
+def test_empty(spark, target):
+    write_documents(numbers(spark, 0), target)
+    assert target.documents() == []
+
+
+def test_index_documents_arrive(spark, target):
+    from helpers import make_posts, make_users
+    from sparrowscope.operators import signals
+
+    users = make_users(spark, [{"screen_name": n} for n in "abc"])
+    scored = signals.account_scores(users, make_posts(spark, [{"screen_name": "a", "id": 1, "created_at": 5}]))
+    write_documents(messages.index_documents(scored, USER_DOCUMENT, "screen_name"), target)
+    assert {d["key"] for d in target.documents()} == set("abc")
