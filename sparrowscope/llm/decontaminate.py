@@ -230,11 +230,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
 
 def keep_clean(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
     """The rows of `docs` without an occurrence of an item's window, all columns as they
-    are."""
+    are, whatever their names. Null and empty texts stay, repeated rows stay or go together;
+    an empty table gives an empty one, and without items every row stays."""
     id, text = names.get("id", "doc_id"), names.get("text", "text")
     _, spans = contaminated_spans(docs, items, **names)
     hit = spans.select(F.col("__id").alias("__i"), F.col("__t").alias("__s"))
-    mark = F.xxhash64(F.lit(1), docs[id], F.lit(2), docs[text])
-    marked = docs.withColumn("__mark", mark)
-    same_row = marked[id].eqNullSafe(F.col("__i")) & (F.col("__mark") == F.col("__s"))
-    return marked.join(hit, same_row, "left_anti").drop("__mark")
+    # The columns of `docs` travel in one, so that no name of theirs can clash.
+    marked = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("__row"), docs[id].alias("__own"),
+        F.xxhash64(F.lit(1), docs[id], F.lit(2), docs[text]).alias("__mark"),
+    )
+    same_row = F.col("__own").eqNullSafe(F.col("__i")) & (F.col("__mark") == F.col("__s"))
+    return marked.join(hit, same_row, "left_anti").select("__row.*")

@@ -111,3 +111,58 @@ def test_cuts_are_near_and_local():
             assert np.diff(bounds).max() < 400
             found.append(bounds[(bounds > 500) & (bounds < len(passage) - 500)].tolist())
         assert found[0] == found[1]
+
+
+def test_sentence_ends_against_a_pattern():
+    import re
+
+    pattern = re.compile(rb"[.!?,;:]+[ \t\r\f\v]+|[ \t\r\f\v]*\n\s*")
+    rng = random.Random(10)
+    for _ in range(3000):
+        data = bytes(rng.choices(b"ab. !,\n\t\r;", k=rng.randint(1, 40)))
+        expected = {m.end() for m in pattern.finditer(data)}
+        assert set(spans._sentence_ends(np.frombuffer(data, np.uint8)).tolist()) == expected, data
+
+
+def test_texts_together_as_alone():
+    rng = random.Random(12)
+    texts = ["".join(rng.choices("ab. !,\n\té一", k=rng.choice([0, 1, 3, 20, 300]))).encode() for _ in range(200)]
+    together = spans.all_spans(texts)
+    past = 0
+    for text, bounds, ends in zip(texts, together.bounds, together.ends):
+        alone = spans.all_spans([text])
+        assert (alone.bounds[0] == bounds).all() and (alone.ends[0] == ends).all()
+        assert (alone.high == together.high[past : past + len(ends)]).all()
+        assert (alone.low == together.low[past : past + len(ends)]).all()
+        past += len(ends)
+    assert past == len(together.high)
+
+
+def test_equal_spans_have_equal_hashes(monkeypatch):
+    """And others other ones; blocks change nothing."""
+    rng = random.Random(13)
+    texts = ["".join(rng.choices("ab. ,\n", k=rng.randint(100, 600))).encode() for _ in range(100)]
+    found = spans.all_spans(texts)
+    value, seen, at = {}, {}, 0
+    for text, bounds, ends in zip(texts, found.bounds, found.ends):
+        for begin, end in zip(bounds, bounds[ends]):
+            key = (int(found.high[at]), int(found.low[at]))
+            at += 1
+            cut = text[begin:end].rstrip()
+            assert value.setdefault(cut, key) == key and seen.setdefault(key, cut) == cut
+    monkeypatch.setattr(spans, "_BLOCK", 50)
+    again = spans.all_spans(texts)
+    assert (again.high == found.high).all() and (again.low == found.low).all()
+
+
+def test_any_columns(spark, docs_of):
+    text = "One sentence of some length here. Another sentence of the same kind. A third one follows it now. "
+    docs = docs_of([(1, text + "End a."), (2, text + "End b."), (3, None)])
+    wide = docs
+    for name in ("n_removed", "n_sentences", "__key", "__marks", "__row", "__id", "h", "at", "c0"):
+        wide = wide.withColumn(name, spans.F.lit(5))
+    kept = spans.remove_repeats(wide)
+    assert kept.dtypes == wide.dtypes
+    plain_kept = {r["doc_id"]: r["text"] for r in spans.remove_repeats(docs).collect()}
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == plain_kept
+    assert {r["__marks"] for r in kept.collect()} == {5} and plain_kept[2] != text + "End b."
