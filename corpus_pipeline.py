@@ -23,10 +23,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sentences inside repeated spans go, all but their first occurrence; a document of
     which nothing is left goes as well."""
-    cut = spans.remove_repeats(docs, counts=True)
-    length = F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    left = cut.where("n_removed = 0 OR text <> ''").withColumn("n_chars", length)
-    return left.select(*docs.columns)
+    # All columns in one beside id and text, so that no name of theirs can clash.
+    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    cut = spans.remove_repeats(whole, counts=True).where("n_removed = 0 OR text <> ''")
+    length = F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("row.n_chars"))
+    new = {"text": F.col("text"), "n_chars": length}
+    return cut.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
