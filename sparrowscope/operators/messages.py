@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 # Length of the time slot whose posts of one account make a message.
 SLOT_SECONDS = 86_400
+# Messages that the posts of an account without a time are dealt to.
+UNDATED_PARTS = 64
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -47,9 +49,10 @@ def account_messages(
     """Kafka-shaped rows (``key``, ``part``, ``value``): JSON arrays of an account's posts.
 
     A message holds the posts of one account in one slot of time (``part``, the number of
-    slots since the epoch; posts without a time share the null part), in order of time. The
-    cut depends on nothing but key and time, so messages are the same for every layout of
-    the input, and a consumer puts an account together by key and part.
+    slots since the epoch), in order of time. Posts without a time have the null part, in up
+    to UNDATED_PARTS messages by hash of ``tie``. The cut depends on nothing but the posts,
+    so messages are the same for every layout of the input, and a consumer puts an account
+    together by key and part.
     """
     post = F.struct(*[F.col(f"`{name}`") for name in posts.columns])
     slotted = posts.select(
@@ -57,7 +60,8 @@ def account_messages(
         F.floor(F.col(time).cast("long") / slot_seconds).alias("part"),
         F.struct(F.col(time).alias("_time"), F.col(tie).alias("_tie"), post.alias("_post")).alias("_record"),
     )
-    grouped = slotted.groupBy(key, "part").agg(F.sort_array(F.collect_list("_record")).alias("_records"))
+    piece = F.when(F.col("part").isNull(), F.pmod(F.xxhash64("_record._tie"), F.lit(UNDATED_PARTS)))
+    grouped = slotted.groupBy(key, "part", piece.alias("_piece")).agg(F.sort_array(F.collect_list("_record")).alias("_records"))
     value = F.to_json(F.col("_records").getField("_post"), JSON_OPTIONS)
     return grouped.select(
         F.col(key).cast("string").cast("binary").alias("key"),

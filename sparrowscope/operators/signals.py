@@ -24,8 +24,10 @@ UNLABELLED = "none"
 SKETCH_SIZE = 2000
 SKETCH_ERROR = 0.003
 
-# The history of an account is cut into slots of this many seconds.
+# The history of an account is cut into slots of this many seconds, and its posts without
+# a time into so many parts.
 SLOT_SECONDS = 86_400
+UNDATED_PARTS = 64
 
 
 # ---------------------------------------------------------------------------
@@ -81,7 +83,8 @@ def _gaps_by_slot(
     """Same rows as ``_gaps_by_account``, from one narrow row per account and slot: its
     first and last time and its posts. They give the last time before every slot, and, as
     the gaps of an account add up to its time span, the mean gap. Posts meet them by
-    account and slot, where the window that finds the previous post runs as well."""
+    account and slot, where the window that finds the previous post runs as well. Posts
+    without a time need the mean alone; those of an account go to UNDATED_PARTS places."""
     seconds = F.col(time).cast("long")
     slot = F.floor(seconds / slot_seconds)
     cells = posts.groupBy(F.col(key).alias("_key"), slot.alias("_cell")).agg(
@@ -95,15 +98,18 @@ def _gaps_by_slot(
         F.lag("_last").over(account.orderBy("_cell")).alias("_before"),
         F.when(F.col("_key").isNotNull(), F.try_divide(span, F.sum("_posts").over(account) - 1)).alias("average_time_diff"),
     )
-    slotted = posts.withColumn("_slot", slot)
+    everywhere = F.when(F.col("_cell").isNull(), F.sequence(F.lit(0), F.lit(UNDATED_PARTS - 1)))
+    cells = cells.withColumn("_place", F.explode(F.coalesce(everywhere, F.array(F.lit(0)))))
+    undated = F.col(time).isNull()
+    part = F.when(undated, F.pmod(F.xxhash64(tie), F.lit(UNDATED_PARTS)).cast("int")).otherwise(0)
+    slotted = posts.withColumns({"_slot": slot, "_part": part})
     joined = slotted.join(
         cells,
-        F.col(key).eqNullSafe(F.col("_key")) & F.col("_slot").eqNullSafe(F.col("_cell")),
+        F.col(key).eqNullSafe(F.col("_key")) & F.col("_slot").eqNullSafe(F.col("_cell")) & (F.col("_part") == F.col("_place")),
         "left",
     )
-    cell = Window.partitionBy(key, "_slot").orderBy(time, tie)
+    cell = Window.partitionBy(key, "_slot", "_part").orderBy(time, tie)
     previous = F.coalesce(F.lag(seconds).over(cell), F.col("_before"))
-    undated = F.col(time).isNull()
     return joined.withColumn("time_diff", F.when(~undated, seconds - previous)).select(
         *posts.columns, "time_diff", "average_time_diff"
     )

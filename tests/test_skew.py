@@ -105,13 +105,22 @@ def test_messages_do_not_depend_on_the_layout(spark):
         (account, part, tuple(r["id"] for r in sorted(found, key=order)))
         for (account, part), found in expected.items()
     )
+    seen = []
     for splits in (1, 7):
         posts = make_posts(spark, rows).repartition(splits)
         sent = messages.account_messages(posts)
         ids = F.transform(messages.decode_value(F.col("value"), posts.schema), lambda r: r["id"])
         found = sent.select(F.decode("key", "UTF-8").alias("k"), "part", ids.alias("ids")).collect()
-        assert Counter((r["k"], r["part"], tuple(r["ids"])) for r in found) == plain
+        seen.append(Counter((r["k"], r["part"], tuple(r["ids"])) for r in found))
+        # Undated posts of an account come in several messages, each in order of id.
+        together = defaultdict(list)
+        for r in found:
+            assert r["part"] is not None or r["ids"] == sorted(r["ids"])
+            together[r["k"], r["part"]] += r["ids"]
+        whole = Counter((k, part, tuple(sorted(i) if part is None else i)) for (k, part), i in together.items())
+        assert whole == plain
         assert rows_of(messages.decode_messages(sent, posts.schema)) == rows_of(posts)
+    assert seen[0] == seen[1]
 
 
 def test_broken_messages_fail_or_are_marked(spark):
@@ -141,3 +150,30 @@ def test_ranking_in_groups_gives_the_top(spark, groups):
         ranked = sorted((-(i * 37 % 101), i) for i in range(keyword, 500, 2))[:7]
         expected.update((f"k{keyword}", r + 1, i) for r, (_, i) in enumerate(ranked))
     assert rows_of(top, "keyword", "rank", "id") == expected
+
+
+def test_a_third_of_all_posts_undated(spark):
+    """Undated posts of one account are dealt to many places, with the rows as ever."""
+    rows = [{"screen_name": "hot", "id": i, "created_at": None if i % 3 == 0 else i * 50_000} for i in range(600)]
+    rows += [{"screen_name": None if i % 2 else "b", "id": 1000 + i, "created_at": None if i % 3 else i} for i in range(20)]
+    posts = make_posts(spark, rows).repartition(3)
+    names = ("id", "screen_name", "created_at", "time_diff", "average_time_diff", "time_bot")
+    found = signals.posting_gaps(posts)
+    assert rows_of(found, *names) == rows_of(signals.posting_gaps(posts, slot_seconds=None), *names)
+    undated = found.filter("created_at IS NULL AND screen_name = 'hot'")
+    assert undated.count() == 200
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        tasks = signals.posting_gaps(posts).filter("created_at IS NULL AND screen_name = 'hot'")
+        places = tasks.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(places) > 20 and max(r["count"] for r in places) < 30
+    sent = messages.account_messages(posts)
+    sizes = messages.decode_messages(sent, posts.schema).groupBy("screen_name").count()
+    assert {r["screen_name"]: r["count"] for r in sizes.collect()} == {"hot": 600, "b": 10, None: 10}
+    largest = sent.filter("part IS NULL").select(F.octet_length("value").alias("n")).agg(F.max("n")).first()[0]
+    whole = sent.filter("part IS NULL").select(F.octet_length("value").alias("n")).agg(F.sum("n")).first()[0]
+    assert largest < whole / 10
