@@ -42,6 +42,7 @@ SEED = 20_240
 OFFSET = 10.0
 # Bytes of text whose lattices are built together.
 CHUNK = 3 << 20
+ROWS = 2048
 _GOLD, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 _MASK = (1 << 64) - 1
 # A Gumbel variable of this module lies within 38 of its log mass, and no more below it.
@@ -512,10 +513,36 @@ def encode(
     batch_kind = pa.int64()
     schema = "id bigint, rank int, n_ids bigint, ids_crc32 bigint, round_trip boolean, log_prob double, log_inclusion double"
     # Batches that fill a chunk: the more texts share a lattice, the more units are equal.
-    found = map_texts(source, run, schema + (", ids array<int>" if with_ids else ""), rows=2048)
+    found = map_texts(source, run, schema + (", ids array<int>" if with_ids else ""), rows=ROWS)
     return found.withColumnRenamed("id", id)
 
 
+def digests(rows: DataFrame, ids: str = "ids") -> DataFrame:
+    """The columns of `rows`, with n_ids and ids_crc32 (as in `encode`) made anew from the
+    token ids in `ids` instead of that column.
+
+    Null ids give nulls, no ids 0 and 0. Elements are not null, as in the ids of `encode`.
+    Repeated rows are taken each on its own, and an empty table gives an empty one.
+    """
+    names = [name for name in rows.columns if name not in (ids, "n_ids", "ids_crc32")]
+    kept = rows.select(*[rows[name] for name in names], rows[ids].cast("array<int>").alias("ids"))
+    made = [T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType())]
+    schema = T.StructType([*kept.schema.fields[:-1], *made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(len(names))
+            bounds, flat = lists.offsets.to_numpy().tolist(), lists.values.to_numpy().astype("<u4", copy=False)
+            spans = [(a, b) if there else None for a, b, there in zip(bounds[:-1], bounds[1:], lists.is_valid().to_pylist())]
+            sizes = [s and s[1] - s[0] for s in spans]
+            sums = [s and zlib.crc32(flat[s[0] : s[1]]) for s in spans]
+            columns = [*batch.columns[:-1], pa.array(sizes, pa.int64()), pa.array(sums, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_ids", "ids_crc32"])
+
+    order = [name for name in rows.columns if name != ids]
+    return map_texts(kept, run, schema, rows=ROWS).select(*dict.fromkeys([*order, "n_ids", "ids_crc32"]))
+
+
 _UNKNOWN = "\N{REPLACEMENT CHARACTER}".encode()
 
 

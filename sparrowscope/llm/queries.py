@@ -38,7 +38,7 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = _table(spark, sf_dir, "documents")
-    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    return pieces.digests(pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model")))
 
 
 def op3_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

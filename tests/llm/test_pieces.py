@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,7 @@ import public_tokenizers
 import pytest
 
 from sparrowscope.llm import pieces
+from sparrowscope.llm.queries import QUERIES
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -124,3 +126,28 @@ def test_decode_operator(spark, docs_of):
     assert got == {1: None, 2: "", 3: f"a{mark}a", 4: f"a{mark * 3}", 5: f"{mark}a", 6: "é", 7: got[7]} and "a" in got[7]
     assert pieces.decode_ids(rows, model).columns == ["k", "ids", "place", "text"]
     assert pieces.decode_ids(rows.where("k > 99"), model).collect() == []
+
+
+def test_digests_come_from_the_ids(spark, docs_of):
+    rows = spark.createDataFrame(
+        [(1, [7, 8, 40_000], 9), (1, [7, 8, 40_000], 9), (2, [], 9), (3, None, 9), (None, [8, 7], 9)],
+        "doc_id bigint, ids array<int>, n_ids bigint").repartition(2)
+    crc = lambda *ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    found = pieces.digests(rows)
+    assert Counter(map(tuple, found.select("doc_id", "n_ids", "ids_crc32").collect())) == {
+        (1, 3, crc(7, 8, 40_000)): 2, (2, 0, 0): 1, (3, None, None): 1, (None, 2, crc(8, 7)): 1}
+    assert pieces.digests(rows.where("doc_id > 9")).collect() == []
+
+
+def test_query_makes_the_segmentations(spark, docs_of, tmp_path, monkeypatch):
+    texts = {1: "Hello there, you.", 2: "日本語 \U0001f600", 3: "", 4: None, 5: "ab " * 3000}
+    docs_of(list(texts.items())).write.parquet(str(tmp_path / "documents.parquet"))
+    made, encode = [], pieces.encode
+    monkeypatch.setattr(pieces, "encode", lambda *a, **b: made.append(encode(*a, **b)) or made[-1])
+    found = {(r["doc_id"], r["rank"]): r for r in QUERIES["op2_pieces"](spark, str(tmp_path)).collect()}
+    decoded = pieces.decode_ids(made[0], MODEL).collect()
+    assert len(decoded) == len(found) and {r["doc_id"] for r in decoded} == set(texts)
+    for r in decoded:
+        mine, ids = found[r["doc_id"], r["rank"]], np.array(r["ids"], "<u4")
+        assert r["text"] == (texts[r["doc_id"]] or "") and mine["round_trip"]
+        assert (mine["n_ids"], mine["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
