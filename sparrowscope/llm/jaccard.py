@@ -3,7 +3,9 @@
 Texts are sets of hashed word shingles; two link when their Jaccard similarity reaches
 `percent`. Equal sets are one from the start. A set that differs from every other one in
 more tokens than the threshold allows is put aside by its lowest hashes: of any m tokens
-of a set all but `slack` have to occur in a partner.
+of a set all but `slack` have to occur in a partner. In a large corpus single tokens occur
+elsewhere by chance, so a second test looks at many at a time: hashes are cut into more
+segments than linked sets have differing tokens, so some hold the same tokens in both.
 
 The sets left are ordered by token frequency, rarest first. The first slack + 1 tokens
 (the prefix) of linked sets share a token. If tokens of the frequent class stand in the
@@ -32,6 +34,7 @@ that are not in it.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -51,6 +54,9 @@ LONG = 400
 # MORE holds for entries by difference from a pivot, which have few false members.
 FEW = 24
 MORE = 512
+# Bounds of the size classes whose sets have the same segments grow by this factor, and
+# this share of the segments is spare: they have to be equal whatever differs.
+WIDTH, SPARE = 1.5, 0.2
 
 
 def slack(n: int, percent: int) -> int:
@@ -286,8 +292,95 @@ def _candidates(docs: DataFrame, members: DataFrame, tables: Tables, size: int,
     )
     tables.drop(shared)
     rows = docs.join(chosen, "doc_id").select("set", "text")
-    found = tables.store(_whole_sets(rows, size).dropDuplicates(["set"]), "sets")
+    whole = tables.store(_whole_sets(rows, size).dropDuplicates(["set"]), "sets")
     tables.drop(chosen)
+    found = sets_with_equal_segments(whole, tables, percent)
+    tables.drop(whole)
+    return found
+
+
+@cache
+def _class_bounds() -> list[int]:
+    """Smallest sizes of the classes."""
+    bounds = [1]
+    while bounds[-1] < 1 << 40:
+        bounds.append(max(bounds[-1] + 1, int(bounds[-1] * WIDTH)))
+    return bounds
+
+
+def _differing(n: int, m: int, percent: int) -> int:
+    """In how many tokens linked sets of these sizes differ at most."""
+    return (100 - percent) * (n + m) // (100 + percent)
+
+
+@cache
+def segment_plans(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """For the size class of the smaller set of a pair: its number, how many segments the
+    hashes are cut into, and how many of those a set of `n` has in common with a partner."""
+    bounds, plans = _class_bounds(), []
+    own = bisect_right(bounds, n) - 1
+    for kind in range(bisect_right(bounds, -(-percent * n // 100)) - 1, own + 1):
+        most = bounds[kind + 1] - 1
+        differing = _differing(most, 100 * most // percent, percent)
+        free = min(differing, _differing(n, 100 * n // percent if kind == own else most, percent))
+        number = differing + int(differing * SPARE) + 1
+        plans.append((kind, number, number - free))
+    return plans
+
+
+def segment_signs(tokens: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray]]:
+    """Per size class of a pair: its number, hashes of the set's segments that are not
+    empty, and how many of them a partner has at least. `tokens` are sorted."""
+    mixed, made = mix64(tokens), []
+    for kind, number, equal in segment_plans(len(tokens), percent):
+        segment = ((tokens >> np.uint64(32)) * np.uint64(number)) >> np.uint64(32)
+        heads = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
+        place = mix64(segment[heads] + np.uint64(kind + 1 << 32))
+        empty = number - len(heads)
+        made.append((kind, equal - empty, mix64(np.add.reduceat(mixed, heads) ^ place)))
+    return made
+
+
+def _segments(sets: DataFrame, percent: int) -> DataFrame:
+    """set, kind, need (how many signs a partner has) and sign for every segment; a null
+    sign where a partner may have none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, rows = batch.column(0).to_pylist(), []
+            for k, name in enumerate(names):
+                tokens = np.asarray(batch.column(1)[k].values).view(np.uint64)
+                for kind, need, signs in segment_signs(tokens, percent):
+                    found = pa.array(_signed(signs)) if need > 0 else pa.nulls(1, pa.int64())
+                    rows.append((name, kind, max(need, 0), found))
+            sizes = [len(r[3]) for r in rows]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(np.array([r[0] for r in rows], np.int64), sizes)),
+                    pa.array(np.repeat(np.array([r[1] for r in rows], np.int32), sizes)),
+                    pa.array(np.repeat(np.array([r[2] for r in rows], np.int32), sizes)),
+                    pa.concat_arrays([r[3] for r in rows]) if rows else pa.nulls(0, pa.int64()),
+                ],
+                names=["set", "kind", "need", "sign"],
+            )
+
+    return map_texts(sets.select("set", "tokens"), run, "set bigint, kind int, need int, sign bigint")
+
+
+def sets_with_equal_segments(sets: DataFrame, tables: Tables, percent: int) -> DataFrame:
+    """The rows of `sets` (set, n, tokens) that may link with another one: as many of their
+    segments as a partner has to have occur in other sets."""
+    segments = _segments(sets, percent)
+    shared = segments.where("sign IS NOT NULL").groupBy("sign").agg(F.min("set").alias("a"), F.max("set").alias("b"))
+    shared = tables.store(shared.where("a != b").select("sign"), "shared-segments")
+    held = segments.join(shared, "sign", "left_semi").groupBy("set", "kind", "need").agg(
+        F.count(F.lit(1)).alias("held")
+    )
+    kept = held.where("held >= need").select("set").union(segments.where("sign IS NULL").select("set")).distinct()
+    kept = tables.store(kept, "kept-sets")
+    tables.drop(shared)
+    found = tables.store(sets.join(kept, "set", "left_semi"), "sets")
+    tables.drop(kept)
     return found
 
 

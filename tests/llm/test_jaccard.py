@@ -182,3 +182,44 @@ def test_keep_one_with_any_columns(spark, docs_of):
 def test_low_percent_is_refused(docs_of):
     with pytest.raises(ValueError):
         jaccard.near_duplicates(docs_of([(1, "a"), (2, "a b")]), 1, 50)
+
+
+def test_linked_sets_have_equal_segments():
+    rng, tested = np.random.default_rng(13), 0
+    for _ in range(4000):
+        percent = int(rng.choice([51, 70, 80, 90, 97]))
+        base = rng.integers(0, 1 << 64, int(rng.integers(2, 400)), np.uint64, False)
+        most = jaccard._differing(len(base), len(base), percent)
+        gone, new = rng.integers(0, most + 2, 2)
+        a = np.unique(base)
+        b = np.unique(np.concatenate([base[min(gone, len(base) - 1) :], rng.integers(0, 1 << 64, new, np.uint64, False)]))
+        both = len(np.intersect1d(a, b))
+        if len(b) < 2 or 100 * both < percent * (len(a) + len(b) - both):
+            continue
+        tested += 1
+        made = [{kind: (need, set(signs.tolist())) for kind, need, signs in jaccard.segment_signs(x, percent)} for x in (a, b)]
+        kind = min(max(made[0]), max(made[1]))  # the class of the smaller set
+        equal = made[0][kind][1] & made[1][kind][1]
+        assert len(equal) >= max(made[0][kind][0], made[1][kind][0]), (percent, len(a), len(b))
+    assert tested > 1000
+
+
+def test_sets_that_share_tokens_by_chance_are_put_aside(spark, docs_of, monkeypatch):
+    """All words of all texts occur in many others: only near copies are ordered and indexed."""
+    work, store = {}, jaccard.Tables.store
+
+    def counted(self, df, name):
+        table = store(self, df, name)
+        work.setdefault(name, table.count())
+        return table
+
+    monkeypatch.setattr(jaccard.Tables, "store", counted)
+    rng = random.Random(14)
+    rows = [(i, " ".join(rng.sample([f"w{k}" for k in range(1200)], 120))) for i in range(300)]
+    for i in range(10):
+        words = rows[i][1].split()
+        words[i * 7] = "new"
+        rows.append((400 + i, " ".join(words)))
+    found = jaccard.near_duplicates(docs_of(rows), 1, 90)
+    assert sorted(tuple(r) for r in found.collect()) == plain(rows, 1, 90)
+    assert 20 <= work["ordered-sets"] <= 40, work
