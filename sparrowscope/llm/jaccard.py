@@ -276,23 +276,22 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _candidates(docs: DataFrame, members: DataFrame, tables: Tables, size: int, percent: int) -> DataFrame:
     """set, n and tokens of the sets that may have a partner."""
     sets = members.where("n > 1").groupBy("set").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n")
+        F.min(F.struct("doc_id", "mark")).alias("from"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")
     )
     low = members.where("n > 1").select("set", F.explode("low").alias("token"))
     shared = low.groupBy("token").agg(F.min("set").alias("a"), F.max("set").alias("b"))
     shared = tables.store(shared.where("a != b").select("token"), "shared-tokens")
-    # Equal sets repeat the same tokens, so tokens are counted once per set.
-    held = low.join(shared, "token", "left_semi").distinct().groupBy("set").agg(
-        F.count(F.lit(1)).alias("held")
-    )
+    # Every copy of a set brings the same tokens.
+    held = low.join(shared, "token", "left_semi").groupBy("set").agg(F.count(F.lit(1)).alias("held"))
     free = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    wanted = F.floor(free / 2) + 1
+    wanted = (F.floor(free / 2) + 1) * F.col("copies")
     chosen = tables.store(
-        sets.join(held, "set").where(F.col("held") >= wanted).select("set", "doc_id"), "chosen-sets"
+        sets.join(held, "set").where(F.col("held") >= wanted).select("set", "from.doc_id", "from.mark"), "chosen-sets"
     )
     tables.drop(shared)
-    rows = docs.join(chosen, "doc_id").select("set", "text")
-    whole = tables.store(_whole_sets(rows, size).dropDuplicates(["set"]), "sets")
+    # Repeated rows meet in the join already, so their texts need not be dealt again.
+    rows = docs.join(chosen, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).select("set", "text")
+    whole = tables.store(_whole_sets(rows, size), "sets")
     tables.drop(chosen)
     found = sets_with_equal_segments(whole, tables, percent)
     tables.drop(whole)
