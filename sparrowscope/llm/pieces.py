@@ -30,6 +30,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, types as T
 
@@ -40,8 +41,9 @@ SEED = 20_240
 # Zipf's law stands in for the probabilities that a merge-ranked vocabulary lacks:
 # a piece of rank r has a share of 1 / (r + OFFSET).
 OFFSET = 10.0
-# Bytes of text whose lattices are built together.
-CHUNK = 3 << 20
+# Bytes of text, and rows, whose lattices are built together: a worker holds some 300 bytes
+# for each of them, and lattices of more text share hardly more units.
+CHUNK = 1 << 20
 ROWS = 2048
 _GOLD, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 _MASK = (1 << 64) - 1
@@ -63,6 +65,7 @@ class Vocabulary:
     piece_at: np.ndarray
     together: np.ndarray
     longest: int
+    as_arrow: pa.Array
 
 
 @cache
@@ -110,7 +113,7 @@ def vocabulary(path: str) -> Vocabulary:
     together[:, 0x80:0xC0] = True  # never inside a character
     return Vocabulary(
         pieces, byte_id, share, float(share[byte_id[0]]), row_of, step, np.array(piece_at, np.int32), together,
-        max(map(len, pieces)),
+        max(map(len, pieces)), pa.array(pieces, pa.binary()),
     )
 
 
@@ -156,15 +159,21 @@ def build_lattice(vocab: Vocabulary, units: pa.Array) -> Lattice:
         piece = vocab.piece_at[node]
         hit = piece >= 0
         found.append((at[hit], np.full(int(hit.sum()), length), piece[hit]))
-        single[at[hit][char_width[at[hit]] == length]] = True
+        if length <= 4:  # a character is no longer
+            single[at[hit][char_width[at[hit]] == length]] = True
     lone = starts[~single[starts]]
     found.append((lone, char_width[lone], np.full(len(lone), -1)))
-    place = np.concatenate([f[0] for f in reversed(found)])
-    length = np.concatenate([f[1] for f in reversed(found)])
-    piece = np.concatenate([f[2] for f in reversed(found)])
+    # Edges by place, the longest first: those of one length start from places that differ.
+    free = np.cumsum(sum((np.bincount(f[0], minlength=len(data)) for f in found), np.zeros(len(data), np.int64)))
+    place = np.repeat(np.arange(len(data)), np.diff(free, prepend=0))
+    length, piece = np.empty(len(place), np.int64), np.empty(len(place), np.int32)
+    for at, size, ids in found:
+        free[at] -= 1
+        length[free[at]], piece[free[at]] = size, ids
     # Nodes by distance to the end of their unit, so that suffix masses come level by level.
     left = end[place] - place
-    order = np.lexsort((place, left)) if len(place) else np.zeros(0, np.int64)
+    narrow = len(left) and left.max() < 1 << 16  # such numbers sort by their digits
+    order = np.argsort(left.astype(np.uint16) if narrow else left, kind="stable")
     place, length, piece, left = place[order], length[order], piece[order], left[order]
     weight = np.where(piece >= 0, vocab.share[np.maximum(piece, 0)], length * vocab.byte_share)
     slot = place + number[place]
@@ -458,10 +467,28 @@ def path_ids(vocab: Vocabulary, lattice: Lattice, path: Sample, data: bytes) ->
 
 def decode(vocab: Vocabulary, ids: np.ndarray) -> str:
     """Text of the ids, without the space that encoding puts before it."""
-    data = b"".join(map(vocab.pieces.__getitem__, ids.tolist()))
+    taken = vocab.as_arrow.take(pa.array(ids))
+    data = taken.buffers()[2].to_pybytes() if len(taken) else b""
     return data[1:].decode("utf-8", "surrogatepass")
 
 
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str | None]]]:
+    """Ids and texts of the rows (id, text), in order, by up to CHUNK bytes of text and ROWS
+    rows across batches. A longer text is one chunk."""
+    ids, texts, held = [], [], 0
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(1)).fill_null(0).to_pylist()
+        for i, value, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sizes):
+            if texts and (held + size > CHUNK or len(texts) == ROWS):
+                yield ids, texts
+                ids, texts, held = [], [], 0
+            ids.append(i)
+            texts.append(value)
+            held += size
+    if texts:
+        yield ids, texts
+
+
 def encode(
     docs: DataFrame, model: str, k: int = SAMPLES, seed: int = SEED, id: str = "doc_id", text: str = "text",
     with_ids: bool = True,
@@ -479,16 +506,8 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model)
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            at = 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and size < CHUNK:
-                    size += len(texts[end] or "")
-                    end += 1
-                yield rows_of(vocab, ids[at:end], texts[at:end])
-                at = end
+        for ids, texts in chunks(batches):
+            yield rows_of(vocab, ids, texts)
 
     def rows_of(vocab: Vocabulary, ids: list, texts: list) -> pa.RecordBatch:
         keys = [str(i).encode() for i in ids]
@@ -512,8 +531,7 @@ def encode(
     source = docs.select(docs[id].cast("bigint").alias("id"), docs[text].alias("text"))
     batch_kind = pa.int64()
     schema = "id bigint, rank int, n_ids bigint, ids_crc32 bigint, round_trip boolean, log_prob double, log_inclusion double"
-    # Batches that fill a chunk: the more texts share a lattice, the more units are equal.
-    found = map_texts(source, run, schema + (", ids array<int>" if with_ids else ""), rows=ROWS)
+    found = map_texts(source, run, schema + (", ids array<int>" if with_ids else ""))
     return found.withColumnRenamed("id", id)
 
 
@@ -540,7 +558,7 @@ def digests(rows: DataFrame, ids: str = "ids") -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_ids", "ids_crc32"])
 
     order = [name for name in rows.columns if name != ids]
-    return map_texts(kept, run, schema, rows=ROWS).select(*dict.fromkeys([*order, "n_ids", "ids_crc32"]))
+    return map_texts(kept, run, schema).select(*dict.fromkeys([*order, "n_ids", "ids_crc32"]))
 
 
 _UNKNOWN = "\N{REPLACEMENT CHARACTER}".encode()

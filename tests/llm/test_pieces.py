@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from sparrowscope.llm import pieces
@@ -128,6 +131,41 @@ def test_decode_operator(spark, docs_of):
     assert pieces.decode_ids(rows.where("k > 99"), model).collect() == []
 
 
+def batches_of(rows, size):
+    for at in range(0, len(rows), size):
+        ids, texts = zip(*rows[at : at + size])
+        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["id", "text"])
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_chunks(monkeypatch, size):
+    monkeypatch.setattr(pieces, "CHUNK", 100)
+    monkeypatch.setattr(pieces, "ROWS", 5)
+    random.seed(3)
+    texts = [random.choice([None, "", "ab", "\u65e5\u672c" * 8, "x" * 60, "y" * 500]) for _ in range(200)]
+    rows = [(k if k % 9 else None, text) for k, text in enumerate(texts)] + [(k, None) for k in range(12)]
+    made = list(pieces.chunks(batches_of(rows, size)))
+    assert [row for ids, texts in made for row in zip(ids, texts, strict=True)] == rows
+    for _, texts in made:
+        assert 1 <= len(texts) <= 5
+        assert sum(len(t.encode()) for t in texts if t) <= 100 or len(texts) == 1
+    assert list(pieces.chunks(iter([]))) == []
+
+
+def test_memory_of_a_worker(vocab):
+    """Lattices of a batch of many texts; 151 MB with chunks of 3 MB."""
+    random.seed(4)
+    words = ["".join(random.choices("abcdefghijklmnop", k=random.randint(3, 12))) for _ in range(20_000)]
+    rows = [(k, " ".join(random.choices(words, k=300))) for k in range(1200)]
+    most = 0
+    for ids, texts in pieces.chunks(batches_of(rows, len(rows))):
+        tracemalloc.start()
+        pieces.sample_texts(vocab, texts, [b"%d" % i for i in ids], pieces.SAMPLES, 1)
+        most = max(most, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert most < 100 << 20
+
+
 def test_digests_come_from_the_ids(spark, docs_of):
     rows = spark.createDataFrame(
         [(1, [7, 8, 40_000], 9), (1, [7, 8, 40_000], 9), (2, [], 9), (3, None, 9), (None, [8, 7], 9)],
