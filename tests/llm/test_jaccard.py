@@ -223,3 +223,32 @@ def test_sets_that_share_tokens_by_chance_are_put_aside(spark, docs_of, monkeypa
     found = jaccard.near_duplicates(docs_of(rows), 1, 90)
     assert sorted(tuple(r) for r in found.collect()) == plain(rows, 1, 90)
     assert 20 <= work["ordered-sets"] <= 40, work
+
+
+@pytest.mark.parametrize("slots, words", [(4, 2), (jaccard.SLOTS, jaccard.WORDS)])
+def test_may_have_loses_no_row(spark, monkeypatch, slots, words):
+    monkeypatch.setattr(jaccard, "SLOTS", slots)
+    monkeypatch.setattr(jaccard, "WORDS", words)
+    rows = spark.range(5000).selectExpr("id AS slot", "CAST(id % 7 AS string) AS words", "IF(id % 9 = 0, null, id) AS k")
+    rows = rows.union(rows.where("k < 100"))
+    keys = spark.range(0, 5000, 13).selectExpr("id AS k", "CAST(id % 7 AS string) AS words")
+    found = jaccard.may_have(rows, keys, ["k", "words"])
+    assert found.columns == rows.columns
+    wanted = sorted(tuple(r) for r in rows.where("k % 13 = 0").collect())
+    got = sorted((tuple(r) for r in found.where("k % 13 = 0").collect()))
+    assert got == wanted
+    if slots > 4:
+        assert found.count() <= len(wanted) + 50
+    assert jaccard.may_have(rows, keys.limit(0), ["k", "words"]).count() == 0
+
+
+def test_texts_of_lone_sets_are_not_dealt(spark, docs_of, monkeypatch):
+    """The texts that meet the chosen sets are those of the chosen rows, not of all."""
+    rng = random.Random(8)
+    rows = [(k, " ".join(f"v{rng.randint(0, 10**6)}" for _ in range(80))) for k in range(400)]
+    rows += [(400 + k, rows[k][1] + f" more{k}") for k in range(10)] + [(500 + k, rows[50][1]) for k in range(30)]
+    made, whole = [], jaccard._whole_sets
+    monkeypatch.setattr(jaccard, "_whole_sets", lambda r, size: made.append(r) or whole(r, size))
+    found = jaccard.near_duplicates(docs_of(rows), size=3, percent=90).collect()
+    assert sorted(tuple(r) for r in found) == plain(rows, 3, 90)
+    assert "BroadcastHashJoin [slot" in made[0]._jdf.queryExecution().executedPlan().toString()
