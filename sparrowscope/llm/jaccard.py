@@ -21,14 +21,18 @@ Sets with an index entry in common are candidates. At most FEW of them are compa
 each other. Of larger entries all sets are compared with its pivot (the set with the fewest
 tokens of its own, as the original of a family of edited copies has). Two sets that are not
 both linked with the pivot can only link when they share tokens in which they differ from
-it, and by the prefix argument one of the rarest such tokens. So an entry with sets that do
-not link with its pivot is replaced by entries for (pivot, differing token), until there is
-none left. Each time the pivot drops out. Comparisons use the whole sets.
+it, and by the prefix argument one of the rarest such tokens. So the sets of a pivot, if some
+do not link with it, get entries for (pivot, differing token), and sets with such an entry in
+common are compared. Comparisons use the whole sets.
 
-Only components matter. So after every round the sets linked so far are one part, pairs
+Of a pivot with more than MORE sets the differences are no help: in a large family any two
+sets share some. Such a group is cut into blocks, and the tokens that sets have in common
+are counted for all pairs of two blocks at once, by a matrix product.
+
+Only components matter. So after the first round the sets linked so far are one part, pairs
 inside a part are not compared, and entries and pivots whose sets are all in one part are
 closed: of a family around an original little is left to the second round but the sets
-that are not in it.
+that are not in it. There is no third.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sparrowscope.llm.common import Tables, map_texts, mix64
+from sparrowscope.llm.common import Tables, map_texts, mix64, ship_package
 from sparrowscope.llm.components import components
 from sparrowscope.llm.shingles import digest, shingle_sets
 
@@ -51,9 +55,13 @@ FREQUENT_SHARE = 1 / 500
 FREQUENT = 16
 LONG = 400
 # Sets of an entry that are compared with each other at once; larger entries go by pivot.
-# MORE holds for entries by difference from a pivot, which have few false members.
+# Groups of a pivot with up to MORE sets go by difference from it, larger ones in blocks.
 FEW = 24
 MORE = 512
+# Tokens of a block; a set counts as SMALL of them at least, so a block has 512 sets at
+# most or so. Tokens are counted by matrix product if one in RARE pairs of sets shares them.
+BLOCK, SMALL, RARE = 1 << 18, 512, 100
+COLUMNS, PAIRS = 256, 1 << 18
 # Bounds of the size classes whose sets have the same segments grow by this factor, and
 # this share of the segments is spare: they have to be equal whatever differs.
 WIDTH, SPARE = 1.5, 0.2
@@ -425,62 +433,155 @@ def linked_sets(sets: DataFrame, tables: Tables, percent: int, frequent: int, lo
     heads = ordered.select("set", "n", F.slice("tokens", *head).alias("tokens"), F.slice("counts", *head).alias("counts"))
     often = max(frequent, math.ceil(ordered.count() * FREQUENT_SHARE))
     index = tables.store(_index(heads, percent, often, long).withColumn("part", F.col("set")), "index")
+    found = _round(index, ordered, tables, percent, FEW)
+    links, going = _pairs_of(found), found.where("NOT last")
+    nodes = components(links, tables)
+    if not going.limit(1).count():
+        return nodes
+    groups = _open_groups(going, nodes, tables)
+    index = groups.where(F.col("sets") <= MORE).select(
+        F.explode("apart").alias("token"), "pivot", "set", "alone", "part"
+    )
+    index = index.select(F.xxhash64("pivot", "token").alias("entry"), "set", "alone", "part").distinct()
+    # No group has more than MORE sets, so no entry goes by pivot again.
+    more = _pairs_of(_round(tables.store(index, "index"), ordered, tables, percent, MORE))
+    large = groups.where(F.col("sets") > MORE)
+    if large.limit(1).count():
+        more = more.union(tables.store(_links_in_blocks(large, ordered, percent), "block-links"))
+    tables.drop(groups, ordered)
+    return components(links.union(more), tables) if more.limit(1).count() else nodes
+
+
+def _round(index: DataFrame, sets: DataFrame, tables: Tables, percent: int, few: int) -> DataFrame:
+    """The comparisons of the sets that have entries of `index` in common."""
+    held = index.groupBy("entry").agg(
+        F.count(F.lit(1)).alias("held"), F.min(F.struct("alone", "set")).alias("first"),
+        F.min("part").alias("low"), F.max("part").alias("high"),
+    )
+    # Sets of one component have nothing left to find.
+    held = held.where("low != high").select("entry", "held", F.col("first.set").alias("pivot"))
+    held = tables.store(held, "open-entries")
+    rows = index.select("entry", "set", "part")
+    small = rows.join(held.where(F.col("held") <= few).select("entry"), "entry")
+    other = small.select("entry", F.col("set").alias("pivot"), F.col("part").alias("its"))
+    inside = small.join(other, "entry").where("set > pivot AND part != its")
+    to_pivot = rows.join(held.where(F.col("held") > few).select("entry", "pivot"), "entry").where("set != pivot")
+    pairs = inside.select("set", "pivot", F.lit(True).alias("last")).union(
+        to_pivot.select("set", "pivot", F.lit(False).alias("last"))
+    )
+    pairs = pairs.groupBy("set", "pivot").agg(F.bool_and("last").alias("last"))
+    found = tables.store(_compared(pairs, sets, percent), "compared")
+    tables.drop(index, held)
+    return found
 
-    links, few = None, FEW
-    while True:
-        held = index.groupBy("entry").agg(
-            F.count(F.lit(1)).alias("held"), F.min(F.struct("alone", "set")).alias("first"),
-            F.min("part").alias("low"), F.max("part").alias("high"),
-        )
-        # Sets of one component have nothing left to find.
-        held = held.where("low != high").select("entry", "held", F.col("first.set").alias("pivot"))
-        held = tables.store(held, "open-entries")
-        rows = index.select("entry", "set", "part")
-        small = rows.join(held.where(F.col("held") <= few).select("entry"), "entry")
-        other = small.select("entry", F.col("set").alias("pivot"), F.col("part").alias("its"))
-        inside = small.join(other, "entry").where("set > pivot AND part != its")
-        to_pivot = rows.join(held.where(F.col("held") > few).select("entry", "pivot"), "entry").where("set != pivot")
-        pairs = inside.select("set", "pivot", F.lit(True).alias("last")).union(
-            to_pivot.select("set", "pivot", F.lit(False).alias("last"))
-        )
-        pairs = pairs.groupBy("set", "pivot").agg(F.bool_and("last").alias("last"))
-        found = tables.store(_compared(pairs, ordered, percent), "compared")
-        links = _pairs_of(found) if links is None else links.union(_pairs_of(found))
-        tables.drop(index, held)
-        nodes = components(links, tables)
-        going = found.where("NOT last")
-        if not going.limit(1).count():
-            return nodes
-        index, few = _next_index(going, nodes, tables), MORE
-        if index is None:
-            return nodes
-        # Only sets of open entries are looked at again.
-        left = tables.store(ordered.join(index.select("set").distinct(), "set", "left_semi"), "ordered-sets")
-        tables.drop(ordered)
-        ordered = left
-
-
-def _next_index(going: DataFrame, nodes: DataFrame, tables: Tables) -> DataFrame | None:
-    """Entries of the sets by what they differ in from their pivots, with the component
-    each is in by now (`part`). Where a pivot and all its sets are in one, there are none."""
+
+def _open_groups(going: DataFrame, nodes: DataFrame, tables: Tables) -> DataFrame:
+    """The sets by pivot, with the component each is in by now (`part`), entries by what they
+    differ in from the pivot (`apart`), and how many the pivot has (`sets`). Pivots that
+    are in one component with all their sets are left out."""
     part = nodes.select(F.col("node").alias("set"), F.col("root").alias("part"))
     its = nodes.select(F.col("node").alias("pivot"), F.col("root").alias("its"))
     known = going.join(part, "set", "left").join(its, "pivot", "left").select(
         "pivot", "set", "alone", "apart", F.coalesce("part", "set").alias("part"), F.coalesce("its", "pivot").alias("its")
     )
     known = tables.store(known, "known-parts")
-    open_pivots = known.where("part != its").select("pivot").distinct()
-    index = known.join(open_pivots, "pivot", "left_semi").select(
-        "pivot", "set", "alone", "part", F.explode("apart").alias("token")
-    )
-    index = index.select(F.xxhash64("pivot", "token").alias("entry"), "set", "alone", "part").distinct()
-    # An entry of one component alone is none.
-    index = tables.store(index, "index")
+    sizes = known.groupBy("pivot").agg(F.count(F.lit(1)).alias("sets"), F.bool_or(F.expr("part != its")).alias("open"))
+    groups = tables.store(known.join(sizes.where("open").drop("open"), "pivot").drop("its"), "open-groups")
     tables.drop(known)
-    if index.limit(1).count():
-        return index
-    tables.drop(index)
-    return None
+    return groups
+
+
+def _links_in_blocks(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a and b for the links between sets of one pivot (pivot, set, part) that are in different
+    parts: as many as connect what all of them connect. A block holds sets of the group's
+    largest part only, or none of it; two blocks of that part have nothing left to find."""
+    rows = groups.select("pivot", "set", "part").join(sets.select("set", "n"), "set")
+    sums = rows.groupBy("pivot", "part").agg(F.sum(F.greatest("n", F.lit(SMALL))).alias("tokens"))
+    cut = sums.groupBy("pivot").agg(F.max(F.struct("tokens", "part")).alias("main"), F.sum("tokens").alias("all"))
+    cut = cut.where("all > main.tokens").select(
+        "pivot", F.col("main.part").alias("main"), F.ceil(F.col("main.tokens") / BLOCK).alias("mains"),
+        F.ceil((F.col("all") - F.col("main.tokens")) / BLOCK).alias("others"),
+    )
+    placed = groups.select("pivot", "set", "part").join(cut, "pivot").withColumn("block", F.expr(
+        "IF(part = main, pmod(xxhash64(set), mains), mains + pmod(xxhash64(set), others))"
+    ))
+    met = F.explode(F.expr("sequence(IF(part = main, mains, 0L), mains + others - 1)")).alias("met")
+    dealt = placed.join(sets.select("set", "tokens"), "set").select("pivot", "set", "part", "block", "tokens", met).select(
+        "pivot", F.least("block", "met").alias("i"), F.greatest("block", "met").alias("j"), "block", "set", "part", "tokens"
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        at, tokens = table.column("block").to_numpy(), table.column("tokens").combine_chunks()
+        names, parts = table.column("set").to_numpy(), table.column("part").to_numpy()
+        values, offsets = tokens.values.to_numpy(), tokens.offsets.to_numpy()
+        left = np.flatnonzero(at == table.column("i")[0].as_py())
+        right = np.flatnonzero(at == table.column("j")[0].as_py())
+        x, y = ([values[offsets[k] : offsets[k + 1]] for k in side] for side in (left, right))
+        if not x or not y:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        both, sizes = overlaps(x, y), np.diff(offsets).astype(np.int32)
+        linked = 100 * both >= percent * (sizes[left][:, None] + sizes[right][None, :] - both)
+        linked &= parts[left][:, None] != parts[right][None, :]
+        a, b = spanning(linked)
+        named = np.concatenate([names[left], names[right]])
+        return pa.table({"a": pa.array(named[a], pa.int64()), "b": pa.array(named[b], pa.int64())})
+
+    ship_package(groups.sparkSession)
+    return dealt.groupBy("pivot", "i", "j").applyInArrow(run, "a bigint, b bigint")
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set of `left` has in common with each one of `right`."""
+    shape, sides = (len(left), len(right)), []
+    for sets in (left, right):
+        flat, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(flat, kind="stable")
+        sides.append((flat[order], rows[order]))
+    (x, of_x), (y, of_y) = sides
+    tokens = np.intersect1d(x, y)
+    x_at, y_at = np.searchsorted(x, tokens), np.searchsorted(y, tokens)
+    x_held, y_held = np.searchsorted(x, tokens, "right") - x_at, np.searchsorted(y, tokens, "right") - y_at
+    pairs = x_held * y_held
+    common = pairs * RARE > shape[0] * shape[1]
+    often, rare = np.flatnonzero(common), np.flatnonzero(~common)
+    out = np.zeros(shape, np.float32)
+    for start in range(0, len(often), COLUMNS):
+        some = often[start : start + COLUMNS]
+        a, b = np.zeros((shape[0], len(some)), np.float32), np.zeros((shape[1], len(some)), np.float32)
+        for k, t in enumerate(some):
+            a[of_x[x_at[t] : x_at[t] + x_held[t]], k] = 1
+            b[of_y[y_at[t] : y_at[t] + y_held[t]], k] = 1
+        out += a @ b.T
+    counts, total = out.astype(np.int32).ravel(), np.cumsum(pairs[rare])
+    del out
+    start = 0
+    while start < len(rare):
+        end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + PAIRS, "right")))
+        some = rare[start:end]
+        t = np.repeat(some, pairs[some])
+        nth = np.arange(len(t)) - np.repeat(np.cumsum(pairs[some]) - pairs[some], pairs[some])
+        found = of_x[x_at[t] + nth // y_held[t]] * shape[1] + of_y[y_at[t] + nth % y_held[t]]
+        at, more = np.unique(found, return_counts=True)
+        counts[at] += more.astype(np.int32)
+        start = end
+    return counts.reshape(shape)
+
+
+def spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of nodes that connect what the links between rows and columns connect, one for
+    each node at most. Rows are numbered first, then columns."""
+    rows, columns = np.flatnonzero(linked.any(1)), np.flatnonzero(linked.any(0))
+    links, none = linked[np.ix_(rows, columns)], sum(linked.shape)
+    at, low, none = (columns + linked.shape[0]).astype(np.int32), rows.astype(np.int32), np.int32(none)
+    while len(rows):
+        high = np.minimum(at, np.where(links, low[:, None], none).min(0))
+        lowered = np.minimum(low, np.where(links, high[None, :], none).min(1))
+        at, same = high, bool((lowered == low).all())
+        low = lowered
+        if same:
+            break
+    nodes, least = np.concatenate([rows, columns + linked.shape[0]]), np.concatenate([low, at])
+    return nodes[nodes != least], least[nodes != least]
 
 
 def _pairs_of(found: DataFrame) -> DataFrame:

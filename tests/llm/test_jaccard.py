@@ -252,3 +252,49 @@ def test_texts_of_lone_sets_are_not_dealt(spark, docs_of, monkeypatch):
     found = jaccard.near_duplicates(docs_of(rows), size=3, percent=90).collect()
     assert sorted(tuple(r) for r in found) == plain(rows, 3, 90)
     assert "BroadcastHashJoin [slot" in made[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_family_with_many_strays_takes_two_rounds(spark, docs_of, monkeypatch):
+    """Strays that link with none of a large family do not take its pivots away one by one."""
+    made, store = [], jaccard.Tables.store
+    monkeypatch.setattr(jaccard.Tables, "store", lambda self, df, name: made.append(name) or store(self, df, name))
+    monkeypatch.setattr(jaccard, "MORE", 20)
+    monkeypatch.setattr(jaccard, "BLOCK", 1 << 14, raising=False)
+    rng = random.Random(15)
+    rows = family(6, 150)
+    for i in range(60):  # these differ from the original in more than 80 % allow, some from each other by less
+        words = rows[0][1].split()
+        for k in rng.sample(range(60), 8):
+            words[k] = f"u{i // 3}"
+        rows.append((500 + i, " ".join(words)))
+    found = jaccard.near_duplicates(docs_of(rows), 1, 80)
+    assert sorted(tuple(r) for r in found.collect()) == plain(rows, 1, 80)
+    assert made.count("compared") <= 2, made
+    assert "block-links" in made
+
+
+@pytest.mark.parametrize("rare, columns, pairs", [(100, 512, 1 << 21), (2, 3, 5), (10**9, 4, 7), (0.001, 5, 3)])
+def test_overlaps_of_all_pairs(monkeypatch, rare, columns, pairs):
+    for name, value in (("RARE", rare), ("COLUMNS", columns), ("PAIRS", pairs)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = np.random.default_rng(16)
+    for universe in (30, 60, 600):
+        left, right = ([np.unique(rng.integers(0, universe, rng.integers(1, 30))) for _ in range(n)] for n in (25, 14))
+        wanted = [[len(set(a.tolist()) & set(b.tolist())) for b in right] for a in left]
+        assert jaccard.overlaps(left, right).tolist() == wanted
+
+
+def test_spanning_pairs_connect_what_links_connect():
+    def parts(pairs, n):
+        root = list(range(n))
+        for _ in range(n):
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    rng = np.random.default_rng(17)
+    for share in (0, 0.05, 0.2, 1):
+        linked = rng.random((12, 9)) < share
+        a, b = jaccard.spanning(linked)
+        assert len(a) <= 21
+        assert parts(list(zip(a, b)), 21) == parts([(i, 12 + j) for i, j in zip(*np.nonzero(linked))], 21)
